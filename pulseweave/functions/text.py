@@ -37,10 +37,11 @@ def ngrams(text: Column, shortest: int = 3, longest: int = 8) -> Column:
     the default sizes), not by the data.
     """
     lowered = F.lower(text)
-    arrays = []
-    for n in range(shortest, longest + 1):
+
+    def of_length(n: int) -> Column:
         count = F.length(text) - F.lit(n - 1)
         starts = F.when(count >= 1, F.sequence(F.lit(1), count)).otherwise(
             F.array().cast("array<int>"))
-        arrays.append(F.transform(starts, lambda i, n=n: F.substring(lowered, i, F.lit(n))))
-    return F.array_distinct(F.concat(*arrays))
+        return F.transform(starts, lambda i: F.substring(lowered, i, F.lit(n)))
+
+    return F.array_distinct(F.concat(*[of_length(n) for n in range(shortest, longest + 1)]))

@@ -1,0 +1 @@
+"""Named queries over the test tables, with the SQL that checks them."""

@@ -1,0 +1 @@
+"""Where results go."""

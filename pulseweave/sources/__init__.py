@@ -1,0 +1 @@
+"""Where records and dimensions come from."""
