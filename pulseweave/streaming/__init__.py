@@ -1,0 +1 @@
+"""Structured Streaming: stateful processors, sinks and jobs."""
