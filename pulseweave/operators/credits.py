@@ -230,6 +230,10 @@ def find_long_series(records: DataFrame, keys: list[str] = KEYS,
 # state at its end and how many sessions were closed.  Slots compute their
 # tables in parallel; following the tables slot by slot gives the state each
 # slot starts with; then all slots are scanned in parallel from those states.
+# A slot of few records is passed on as its alert flags instead, one byte per
+# record, which is smaller than its table.
+
+FEW_RECORDS = 256
 
 def _all_states(cap: int) -> tuple[np.ndarray, np.ndarray]:
     grants, credits = np.meshgrid(np.arange(1, cap + 1), np.arange(0, cap + 1))
@@ -276,25 +280,56 @@ class SlotEffect:
         self.credits, self.grants = kept // (self.cap + 1), kept % (self.cap + 1)
         self.closed = np.zeros(len(kept), dtype=np.int64)
 
-    def table(self) -> tuple[list[int], list[int], list[int]]:
-        return (self.credits[self.row_of].tolist(), self.grants[self.row_of].tolist(),
-                (self.base + self.closed[self.row_of]).tolist())
+    def table(self) -> np.ndarray:
+        """One row per starting state: credits and grant at the end, closed."""
+        closed = self.base + self.closed[self.row_of]
+        return np.stack([self.credits[self.row_of], self.grants[self.row_of], closed], axis=1)
+
+
+def _advance(state: tuple[int, int, int], flags: bytes, cap: int,
+             floor: int) -> tuple[int, int, int]:
+    session_id, credits, grant = state
+    for is_alert in flags:
+        credits -= 1
+        if credits <= 0:
+            session_id += 1
+            credits, grant = grant, min(grant + 1, cap)
+        if is_alert:
+            credits, grant = on_alert(credits, grant, floor)
+    return session_id, credits, grant
+
+
+class SlotSummary:
+    """Collects one slot: its flags while they are few, then its table."""
 
+    def __init__(self, cap: int, floor: int):
+        self.cap, self.floor = cap, floor
+        self.flags, self.effect = bytearray(), None
 
+    def feed(self, flags: np.ndarray) -> None:
+        if self.effect is None:
+            self.flags += flags.astype(np.uint8).tobytes()
+            if len(self.flags) <= FEW_RECORDS:
+                return
+            self.effect, flags = SlotEffect(self.cap, self.floor), self.flags
+        for flag in flags:
+            self.effect.step(bool(flag))
+
+    def row(self) -> tuple[int, int, bytes | None, bytes | None]:
+        if self.effect is None:
+            return self.cap, self.floor, bytes(self.flags), None
+        return self.cap, self.floor, None, self.effect.table().tobytes()
+
+
+_EFFECT_COLUMNS = ["patient_id", "unit", "slot", "max_credits", "min_credits", "flags", "effect"]
 _EFFECT_SCHEMA = ("patient_id string, unit string, slot bigint, max_credits int, "
-                  "credits array<int>, grants array<int>, closed array<bigint>")
+                  "min_credits int, flags binary, effect binary")
 _ENTRY_SCHEMA = ("patient_id string, unit string, slot bigint, session_id bigint, "
                  "credits int, grant int")
 
 
 def _slot_effects(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    current, effect = None, None
-
-    def row():
-        credits, grants, closed = effect.table()
-        return (*current, effect.cap, credits, grants, closed)
-
-    names = ["patient_id", "unit", "slot", "max_credits", "credits", "grants", "closed"]
+    current, slot = None, None
     for frame in frames:
         done = []
         for start, end in _runs(frame, [*KEYS, "slot"]):
@@ -302,16 +337,15 @@ def _slot_effects(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                    int(frame["slot"].iat[start]))
             if key != current:
                 if current is not None:
-                    done.append(row())
+                    done.append((*current, *slot.row()))
                 current = key
-                effect = SlotEffect(int(frame["max_credits"].iat[start]),
-                                    int(frame["min_credits"].iat[start]))
-            for is_alert in frame["is_alert"].iloc[start:end].tolist():
-                effect.step(is_alert)
+                slot = SlotSummary(int(frame["max_credits"].iat[start]),
+                                   int(frame["min_credits"].iat[start]))
+            slot.feed(frame["is_alert"].to_numpy()[start:end])
         if done:
-            yield pd.DataFrame.from_records(done, columns=names)
+            yield pd.DataFrame.from_records(done, columns=_EFFECT_COLUMNS)
     if current is not None:
-        yield pd.DataFrame.from_records([row()], columns=names)
+        yield pd.DataFrame.from_records([(*current, *slot.row())], columns=_EFFECT_COLUMNS)
 
 
 def _slot_entries(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -324,8 +358,12 @@ def _slot_entries(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 current, state = (row.patient_id, row.unit), start_state()
             session_id, credits, grant = state
             entries.append((row.patient_id, row.unit, row.slot, session_id, credits, grant))
-            at = _state_index(credits, grant, row.max_credits)
-            state = (session_id + int(row.closed[at]), int(row.credits[at]), int(row.grants[at]))
+            if row.effect is None:
+                state = _advance(state, row.flags, row.max_credits, row.min_credits)
+            else:
+                table = np.frombuffer(row.effect, dtype=np.int64).reshape(-1, 3)
+                ends = table[_state_index(credits, grant, row.max_credits)]
+                state = (session_id + int(ends[2]), int(ends[0]), int(ends[1]))
         if entries:
             yield pd.DataFrame.from_records(entries, columns=[
                 "patient_id", "unit", "slot", "session_id", "credits", "grant"])

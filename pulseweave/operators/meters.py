@@ -84,32 +84,33 @@ def _latency_stats_of_table(records: DataFrame, size: str, percentiles: Sequence
         F.sum(F.col("n") * F.col(LATENCY)).alias("total"))
     whole = W.partitionBy("w")
     upto = whole.orderBy("coarse").rowsBetween(W.unboundedPreceding, W.currentRow)
-    placed = (coarse.withColumn("seen", F.sum("n").over(upto))
-              .withColumn("size", F.sum("n").over(whole)))
-    # Rank of percentile p is ceil(p * size / 100), in whole numbers.
+    placed = coarse.select(
+        "w", "coarse", "n", F.sum("n").over(upto).alias("seen"),
+        F.sum("n").over(whole).alias("n_records"), F.max("top").over(whole).alias("max_latency"),
+        F.min("low").over(whole).alias("min_latency"), F.sum("total").over(whole).alias("total"))
+    # Rank of percentile p is ceil(p * n / 100), in whole numbers.
     ranks = F.array(*[
         F.struct(F.lit(p).alias("p"),
-                 F.floor((F.lit(p) * F.col("size") + 99) / 100).alias("rank"))
+                 F.floor((F.lit(p) * F.col("n_records") + 99) / 100).alias("rank"))
         for p in percentiles])
     wanted = F.filter(ranks, lambda r: (r["rank"] <= F.col("seen"))
                       & (r["rank"] > F.col("seen") - F.col("n")))
+    summary = ["max_latency", "min_latency", "n_records", "total"]
     targets = (placed.select("w", "coarse", (F.col("seen") - F.col("n")).alias("earlier"),
-                             F.explode(wanted).alias("t"))
-               .select("w", "coarse", "earlier", "t.p", "t.rank"))
+                             *summary, F.explode(wanted).alias("t"))
+               .select("w", "coarse", "earlier", *summary, "t.p", "t.rank"))
     in_group = (W.partitionBy("w", "coarse", "p").orderBy(LATENCY)
                 .rowsBetween(W.unboundedPreceding, W.currentRow))
-    found = (fine.join(targets, ["w", "coarse"])
-             .withColumn("seen", F.col("earlier") + F.sum("n").over(in_group))
-             .filter((F.col("rank") <= F.col("seen")) & (F.col("rank") > F.col("seen") - F.col("n")))
-             .groupBy("w")
-             .agg(*[F.max(F.when(F.col("p") == p, F.col(LATENCY))).alias(f"p{p}")
-                    for p in percentiles]))
-    overall = coarse.groupBy("w").agg(
-        F.max("top").alias("max_latency"), F.min("low").alias("min_latency"),
-        (F.sum("total") / F.sum("n")).alias("avg_latency"), F.sum("n").alias("n_records"))
-    return overall.join(found, "w").select(
-        F.col("w.start").alias("window_start"), "max_latency", "min_latency", "avg_latency",
-        "n_records", *[f"p{p}" for p in percentiles])
+    return (fine.join(targets, ["w", "coarse"])
+            .withColumn("seen", F.col("earlier") + F.sum("n").over(in_group))
+            .filter((F.col("rank") <= F.col("seen"))
+                    & (F.col("rank") > F.col("seen") - F.col("n")))
+            .groupBy("w", *summary)
+            .agg(*[F.max(F.when(F.col("p") == p, F.col(LATENCY))).alias(f"p{p}")
+                   for p in percentiles])
+            .select(F.col("w.start").alias("window_start"), "max_latency", "min_latency",
+                    (F.col("total") / F.col("n_records")).alias("avg_latency"), "n_records",
+                    *[f"p{p}" for p in percentiles]))
 
 
 def with_running_max(windows: DataFrame, column: str, order: str, name: str,

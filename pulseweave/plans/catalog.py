@@ -83,7 +83,8 @@ def _ms(rows: DataFrame, *names: str) -> DataFrame:
 
 
 def _rounded(rows: DataFrame, *names: str) -> DataFrame:
-    return rows.withColumns({n: F.round(n, 6) for n in names})
+    """Sums of floats depend on their order in the last digits."""
+    return rows.withColumns({n: F.round(n, 9) for n in names})
 
 
 # --- alerts, routing, batches -----------------------------------------------------

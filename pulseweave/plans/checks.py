@@ -63,7 +63,7 @@ STEPS = {
         SELECT *, sum(opens) OVER (PARTITION BY patient_id, unit ORDER BY us) AS no FROM marked""",
     "class_sessions": """
         SELECT patient_id, unit, (min(us // 1000) + max(us // 1000)) // 2 AS ts,
-               round(avg(value), 6) AS avg_value, min(value) AS min_value,
+               round(avg(value), 9) AS avg_value, min(value) AS min_value,
                max(value) AS max_value, count(*) AS n_records, any_value(route) AS route
         FROM grouped GROUP BY patient_id, unit, no""",
     "burst_marks": f"""
@@ -150,7 +150,7 @@ def _credit(walk: str) -> str:
     return _with(f"""
         SELECT w.patient_id, w.unit, w.session_id, min(n.us // 1000) AS first_ts,
                max(n.us // 1000) AS last_ts, count(*) AS n_records,
-               round(avg(value), 6) AS avg_value, min(value) AS min_value,
+               round(avg(value), 9) AS avg_value, min(value) AS min_value,
                max(value) AS max_value
         FROM {walk} w JOIN numbered n
             ON n.patient_id = w.patient_id AND n.unit = w.unit AND n.rn = w.rn
@@ -161,7 +161,7 @@ def _stats(days: int) -> str:
     width = days * DAY
     return _with(f"""
         SELECT {_floor("arrival_us", str(width))} AS window_start, max(l) AS max_latency,
-               min(l) AS min_latency, round(avg(l), 6) AS avg_latency, count(*) AS n_records,
+               min(l) AS min_latency, round(avg(l), 9) AS avg_latency, count(*) AS n_records,
                quantile_disc(l, 0.2) AS p20, quantile_disc(l, 0.5) AS p50,
                quantile_disc(l, 0.8) AS p80
         FROM (SELECT *, arrival_us // 1000 - us // 1000 AS l FROM alert_rows) AS x
@@ -225,18 +225,18 @@ CHECKS: dict[str, str] = {
                           "sensor"),
     "flatten_batches": _with(f"SELECT {_SENSOR_MS} FROM sensor", "sensor"),
     "minutely": _with("""
-        SELECT patient_id, unit, ts, round(avg_value, 6) AS avg_value, min_value, max_value,
+        SELECT patient_id, unit, ts, round(avg_value, 9) AS avg_value, min_value, max_value,
                n_records FROM daily""", "daily"),
     "aggregated_records": _with("""
-        SELECT id, patient_id, ts, unit, round(avg_value, 6) AS avg_value, min_value, max_value
+        SELECT id, patient_id, ts, unit, round(avg_value, 9) AS avg_value, min_value, max_value
         FROM daily""", "daily"),
     "global_averages": _with(f"""
         SELECT '[' || unit || '@' || {_floor("us", str(HOUR))} || '/'
                || ({_floor("us", str(HOUR))} + 3600000) || ']' AS key,
-               round(avg(value), 6) AS value
+               round(avg(value), 9) AS value
         FROM sensor GROUP BY unit, {_floor("us", str(HOUR))}""", "sensor"),
     "global_averages_parse": _with(f"""
-        SELECT unit, {_floor("us", str(HOUR))} AS ts, round(avg(value), 6) AS value
+        SELECT unit, {_floor("us", str(HOUR))} AS ts, round(avg(value), 9) AS value
         FROM sensor GROUP BY unit, {_floor("us", str(HOUR))}""", "sensor"),
     "session_short": _with(
         "SELECT * EXCLUDE (route) FROM class_sessions WHERE route = 'short'", "class_sessions"),
@@ -245,7 +245,7 @@ CHECKS: dict[str, str] = {
     "session_union": _with("SELECT * EXCLUDE (route) FROM class_sessions", "class_sessions"),
     "sessionized_windows": _with("""
         SELECT patient_id, unit, session_id, (min(us // 1000) + max(us // 1000)) // 2 AS ts,
-               round(avg(value), 6) AS avg_value, min(value) AS min_value,
+               round(avg(value), 9) AS avg_value, min(value) AS min_value,
                max(value) AS max_value, count(*) AS n_records
         FROM (SELECT *, sum(opens) OVER (PARTITION BY patient_id, unit, session_id ORDER BY us) AS no
               FROM (SELECT n.*, w.session_id, CASE WHEN n.us - lag(n.us) OVER
@@ -281,7 +281,7 @@ CHECKS: dict[str, str] = {
               WHERE i + n - 1 <= 36) AS g
         GROUP BY gram""", "sensor"),
     "patient_records": _with(f"""
-        SELECT id, patient_id, ts AS timestamp, unit, round(avg_value, 6) AS avg_value,
+        SELECT id, patient_id, ts AS timestamp, unit, round(avg_value, 9) AS avg_value,
                min_value, max_value
         FROM daily WHERE patient_id = '{s.PATIENT}'
             AND ts BETWEEN {s.WEEK_MS[0]} AND {s.WEEK_MS[1]}""", "daily"),
@@ -330,12 +330,12 @@ CHECKS: dict[str, str] = {
         SELECT id, patient_id, unit, from_us // 1000 AS "from", to_us // 1000 AS "to"
         FROM bursts""", "bursts"),
     "chart_series": _with(f"""
-        SELECT patient_id, unit, 'min' AS series, ts, round(min_value, 6) AS y FROM daily
-        UNION ALL SELECT patient_id, unit, 'avg', ts, round(avg_value, 6) FROM daily
-        UNION ALL SELECT patient_id, unit, 'max', ts, round(max_value, 6) FROM daily
-        UNION ALL SELECT patient_id, unit, 'alert', ts, round(value, 6) FROM alert_rows
+        SELECT patient_id, unit, 'min' AS series, ts, round(min_value, 9) AS y FROM daily
+        UNION ALL SELECT patient_id, unit, 'avg', ts, round(avg_value, 9) FROM daily
+        UNION ALL SELECT patient_id, unit, 'max', ts, round(max_value, 9) FROM daily
+        UNION ALL SELECT patient_id, unit, 'alert', ts, round(value, 9) FROM alert_rows
         UNION ALL SELECT patient_id, unit, 'drift', unnest([from_us // 1000, to_us // 1000]),
-                         round(floor, 6)
+                         round(floor, 9)
         FROM bursts JOIN {_BURST_FLOOR} AS f USING (patient_id, unit)""",
                           "daily", "alert_rows", "bursts"),
     "chart_floor": _with(f"SELECT * FROM {_BURST_FLOOR} AS f", "daily"),

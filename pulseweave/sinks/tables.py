@@ -16,13 +16,14 @@ def stored_rows(records: DataFrame, spec: TableSpec) -> DataFrame:
 
 
 def laid_out(rows: DataFrame, spec: TableSpec) -> DataFrame:
-    """Rows of one partition and cluster value close together in few files.
+    """Rows of one partition in few files, sorted by patient or unit.
 
-    ``rebalance`` lets the adaptive planner split a partition that one busy
-    patient or hour makes too big and merge small ones; sorted files give the
-    reader narrow min/max ranges per row group.
+    ``rebalance`` keeps a partition together for as long as it fits in one task
+    and lets the adaptive planner split the ones that do not, so neither a busy
+    hour nor a busy patient ends up in one task; sorted files give the reader
+    narrow min/max ranges per row group.
     """
-    return (rows.hint("rebalance", spec.partition, spec.cluster)
+    return (rows.hint("rebalance", spec.partition)
             .sortWithinPartitions(spec.partition, spec.cluster, spec.time))
 
 
