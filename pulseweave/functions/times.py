@@ -50,8 +50,7 @@ def latency_ms(now: Column, ts: Column) -> Column:
 
 def midpoint(first: Column, last: Column) -> Column:
     """Middle of two moments in whole milliseconds."""
-    return F.timestamp_millis(
-        F.floor((F.unix_millis(first) + F.unix_millis(last)) / F.lit(2)).cast("bigint"))
+    return F.timestamp_millis(F.shiftright(F.unix_millis(first) + F.unix_millis(last), 1))
 
 
 def slot_start(ts: Column, duration: str) -> Column:

@@ -55,7 +55,7 @@ def session_length(number: Column, cap: Column) -> Column:
 def with_session_id(records: DataFrame, caps: DataFrame, default_cap: int = DEFAULT_CAP,
                     slot: str = "1 hour") -> DataFrame:
     """Records with the 1-based id of their credit session, without alerts."""
-    placed = with_position(with_caps(records, caps, default_cap), KEYS, slot)
+    placed = with_caps(with_position(records, KEYS, slot), caps, default_cap)
     number = session_number(F.col("position"), F.col("max_credits"))
     return placed.withColumn("session_id", number + 1)
 

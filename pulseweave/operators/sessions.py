@@ -27,7 +27,7 @@ def merge_by_gap(records: DataFrame, keys: list[str], gap_us: Column,
     """
     us = F.unix_micros(ts)
     slots = (records.withColumn("gap_us", gap_us)
-             .groupBy(*keys, "gap_us", F.floor(us / F.col("gap_us")).alias("slot"))
+             .groupBy(*keys, "gap_us", (us - F.pmod(us, F.col("gap_us"))).alias("slot"))
              .agg(F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts"),
                   F.sum(value).alias("total"), F.count(value).alias("n"),
                   F.min(value).alias("lowest"), F.max(value).alias("highest")))
