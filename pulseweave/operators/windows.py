@@ -60,5 +60,5 @@ def parse_global_averages(keyed: DataFrame) -> DataFrame:
     """Read unit and window start back from the key; other keys are dropped."""
     return keyed.filter(is_window_key(F.col("key"))).select(
         window_key_part(F.col("key"), 1).alias("unit"),
-        F.timestamp_millis(window_key_part(F.col("key"), 2).cast("bigint")).alias("ts"),
+        F.timestamp_millis(window_key_part(F.col("key"), 2).try_cast("bigint")).alias("ts"),
         "value")
