@@ -25,6 +25,7 @@ SCAN_SCHEMA = (
     "last_us bigint, n_records bigint, avg_value double, min_value double, "
     "max_value double"
 )
+_SCAN_COLUMNS = [field.split()[0] for field in SCAN_SCHEMA.split(", ")]
 
 
 def with_caps(records: DataFrame, caps: DataFrame, default_cap: int = DEFAULT_CAP) -> DataFrame:
@@ -125,12 +126,6 @@ class SessionScan:
         self.credits, self.grant = on_alert(self.credits, self.grant, self.floor)
 
 
-def _sessions_frame(closed: list[tuple]) -> pd.DataFrame:
-    return pd.DataFrame.from_records(closed, columns=[
-        "patient_id", "unit", "session_id", "first_us", "last_us", "n_records",
-        "avg_value", "min_value", "max_value"])
-
-
 def with_moments(scanned: DataFrame) -> DataFrame:
     """Scan output with timestamps for the session's first and last record."""
     return scanned.select(
@@ -151,28 +146,111 @@ def _runs(frame: pd.DataFrame, columns: list[str]) -> Iterator[tuple[int, int]]:
     yield from zip(starts[:-1].tolist(), starts[1:].tolist())
 
 
+def session_ends(alert_at: list[int], n: int, credits: int, grant: int, cap: int,
+                 floor: int) -> tuple[list[int], int, int]:
+    """Which of the next ``n`` records close a session, and the state after them.
+
+    ``alert_at`` are the records that raise an alert.  The loop goes from event
+    to event (a session that closes, an alert), not from record to record.
+    """
+    ends, at, pending = [], 0, iter(alert_at)
+    alert = next(pending, n)
+    while at < n:
+        end = at + max(credits, 1) - 1
+        if alert < min(end, n):
+            credits, grant = on_alert(credits - (alert - at + 1), grant, floor)
+            at, alert = alert + 1, next(pending, n)
+        elif end < n:
+            ends.append(end)
+            credits, grant = grant, min(grant + 1, cap)
+            at = end + 1
+            if alert == end:
+                credits, grant = on_alert(credits, grant, floor)
+                alert = next(pending, n)
+        else:
+            credits -= n - at
+            at = n
+    return ends, credits, grant
+
+
+class _OpenSession:
+    """The part of a session seen in earlier Arrow batches."""
+
+    __slots__ = ("n", "total", "lowest", "highest", "first_us")
+
+    def __init__(self):
+        self.n, self.total, self.first_us = 0, 0.0, 0
+        self.lowest, self.highest = float("inf"), float("-inf")
+
+    def merge(self, row: dict) -> None:
+        """Put this part before ``row``'s."""
+        if self.n:
+            row["first_us"] = self.first_us
+            row["n_records"] += self.n
+            row["total"] += self.total
+            row["min_value"] = min(row["min_value"], self.lowest)
+            row["max_value"] = max(row["max_value"], self.highest)
+
+    @classmethod
+    def of(cls, row: dict) -> _OpenSession:
+        part = cls()
+        part.n, part.total, part.first_us = row["n_records"], row["total"], row["first_us"]
+        part.lowest, part.highest = row["min_value"], row["max_value"]
+        return part
+
+
 def _scan_series(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Sessions of whole series that arrive sorted, in constant memory: a
-    series may run over any number of Arrow batches."""
-    current, scan = None, None
+    """Sessions of whole series that arrive sorted, in constant memory.
+
+    A series may run over any number of Arrow batches.  Each batch is cut into
+    sessions first and aggregated by array operations over all of them.
+    """
+    current, state, part = None, start_state(), _OpenSession()
     for frame in frames:
-        closed = []
+        if len(frame) == 0:
+            continue
+        alert_rows = np.flatnonzero(frame["is_alert"].to_numpy())
+        starts, closed, ids = [], [], []
+        carries_on = False
         for start, end in _runs(frame, KEYS):
-            patient, unit = frame["patient_id"].iat[start], frame["unit"].iat[start]
-            if (patient, unit) != current:
-                current = (patient, unit)
-                scan = SessionScan(int(frame["max_credits"].iat[start]),
-                                   int(frame["min_credits"].iat[start]))
-            for us, value, is_alert in zip(frame["us"].iloc[start:end].tolist(),
-                                           frame["value"].iloc[start:end].tolist(),
-                                           frame["is_alert"].iloc[start:end].tolist()):
-                done = scan.step(us, value)
-                if done is not None:
-                    closed.append((patient, unit, *done))
-                if is_alert:
-                    scan.alert()
-        if closed:
-            yield _sessions_frame(closed)
+            key = (frame["patient_id"].iat[start], frame["unit"].iat[start])
+            if key != current:
+                current, state = key, start_state()
+            elif start == 0:
+                carries_on = True
+            session_id, credits, grant = state
+            low, high = np.searchsorted(alert_rows, (start, end))
+            ends, credits, grant = session_ends(
+                (alert_rows[low:high] - start).tolist(), end - start, credits, grant,
+                int(frame["max_credits"].iat[start]), int(frame["min_credits"].iat[start]))
+            starts.append(start)
+            starts += [start + e + 1 for e in ends]
+            closed += [True] * len(ends)
+            ids += range(session_id, session_id + len(ends))
+            if starts[-1] == end:
+                starts.pop()
+            else:
+                closed.append(False)
+                ids.append(session_id + len(ends))
+            state = (session_id + len(ends), credits, grant)
+        at = np.asarray(starts)
+        until = np.append(at[1:], len(frame)) - 1
+        us, values = frame["us"].to_numpy(), frame["value"].to_numpy()
+        found = pd.DataFrame({
+            "patient_id": frame["patient_id"].to_numpy()[at], "unit": frame["unit"].to_numpy()[at],
+            "session_id": ids, "first_us": us[at], "last_us": us[until],
+            "n_records": until - at + 1, "total": np.add.reduceat(values, at),
+            "min_value": np.minimum.reduceat(values, at),
+            "max_value": np.maximum.reduceat(values, at)})
+        if carries_on:
+            first = found.iloc[0].to_dict()
+            part.merge(first)
+            for name in ("first_us", "n_records", "total", "min_value", "max_value"):
+                found.loc[0, name] = first[name]
+        part = _OpenSession() if closed[-1] else _OpenSession.of(found.iloc[-1].to_dict())
+        full = found[np.asarray(closed)]
+        if len(full):
+            yield full.assign(avg_value=full["total"] / full["n_records"])[_SCAN_COLUMNS]
 
 
 def _inputs(flagged: DataFrame, caps: DataFrame, default_cap: int, *extra: str) -> DataFrame:
@@ -288,15 +366,9 @@ class SlotEffect:
 
 def _advance(state: tuple[int, int, int], flags: bytes, cap: int,
              floor: int) -> tuple[int, int, int]:
-    session_id, credits, grant = state
-    for is_alert in flags:
-        credits -= 1
-        if credits <= 0:
-            session_id += 1
-            credits, grant = grant, min(grant + 1, cap)
-        if is_alert:
-            credits, grant = on_alert(credits, grant, floor)
-    return session_id, credits, grant
+    alert_at = np.flatnonzero(np.frombuffer(flags, dtype=np.uint8)).tolist()
+    ends, credits, grant = session_ends(alert_at, len(flags), *state[1:], cap, floor)
+    return state[0] + len(ends), credits, grant
 
 
 class SlotSummary:
@@ -371,27 +443,29 @@ def _slot_entries(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def _number_records(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Session of each record of a slot, from the slot's entry state."""
-    current = None
-    session_id, credits, grant = start_state()
+    current, state = None, start_state()
     for frame in frames:
-        ids, closes = [], []
+        if len(frame) == 0:
+            continue
+        alert_rows = np.flatnonzero(frame["is_alert"].to_numpy())
+        closes = np.zeros(len(frame), dtype=bool)
+        ids = np.zeros(len(frame), dtype=np.int64)
         for start, end in _runs(frame, [*KEYS, "slot"]):
             key = (frame["patient_id"].iat[start], frame["unit"].iat[start],
                    int(frame["slot"].iat[start]))
-            cap, floor = int(frame["max_credits"].iat[start]), int(frame["min_credits"].iat[start])
             if key != current:
                 current = key
-                session_id = int(frame["session_id"].iat[start])
-                credits, grant = int(frame["credits"].iat[start]), int(frame["grant"].iat[start])
-            for is_alert in frame["is_alert"].iloc[start:end].tolist():
-                ids.append(session_id)
-                credits -= 1
-                closes.append(credits <= 0)
-                if credits <= 0:
-                    session_id += 1
-                    credits, grant = grant, min(grant + 1, cap)
-                if is_alert:
-                    credits, grant = on_alert(credits, grant, floor)
+                state = (int(frame["session_id"].iat[start]), int(frame["credits"].iat[start]),
+                         int(frame["grant"].iat[start]))
+            session_id, credits, grant = state
+            low, high = np.searchsorted(alert_rows, (start, end))
+            ends, credits, grant = session_ends(
+                (alert_rows[low:high] - start).tolist(), end - start, credits, grant,
+                int(frame["max_credits"].iat[start]), int(frame["min_credits"].iat[start]))
+            closes[[start + e for e in ends]] = True
+            before = np.cumsum(closes[start:end]) - closes[start:end]
+            ids[start:end] = session_id + before
+            state = (session_id + len(ends), credits, grant)
         yield frame[["patient_id", "unit", "us", "value"]].assign(session_id=ids, closes=closes)
 
 

@@ -236,8 +236,8 @@ def _per_patient(records: DataFrame) -> DataFrame:
     return records.withColumn("unit", F.lit("all"))
 
 
-def _drifts(spark: SparkSession, folder: str, emit: str = "per_drift") -> DataFrame:
-    shifted = _per_patient(_records(spark, folder)).withColumn(
+def _drifts(records: DataFrame, emit: str = "per_drift") -> DataFrame:
+    shifted = _per_patient(records).withColumn(
         "value", F.when(F.col("ts") >= F.lit(s.DRIFT_FROM).cast("timestamp"),
                         F.col("value") + 200).otherwise(F.col("value")))
     return drift.detect_drift(shifted, adaptive=F.lit(False), emit=emit)
@@ -249,12 +249,12 @@ def _drifts_out(rows: DataFrame) -> DataFrame:
 
 @query
 def drift_alerts(spark: SparkSession, folder: str) -> DataFrame:
-    return _drifts_out(_drifts(spark, folder))
+    return _drifts_out(_drifts(_records(spark, folder)))
 
 
 @query
 def drift_alerts_per_batch(spark: SparkSession, folder: str) -> DataFrame:
-    return _drifts_out(_drifts(spark, folder, "per_batch"))
+    return _drifts_out(_drifts(_records(spark, folder), "per_batch"))
 
 
 @query
@@ -315,7 +315,7 @@ def patient_alerts(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def patient_drifts(spark: SparkSession, folder: str) -> DataFrame:
-    stored = _stored(_drifts(spark, folder), DRIFT_ALERTS)
+    stored = _stored(_drifts(_one_user(spark, folder)), DRIFT_ALERTS)
     return reads.shown(reads.patient_drifts(stored, s.PATIENT, s.NOW, *s.MONTH_MS))
 
 

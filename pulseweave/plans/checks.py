@@ -6,7 +6,7 @@ the records of a series, whole-window quantiles), not from the Spark plans.
 
 from __future__ import annotations
 
-from pulseweave.plans import settings as s
+from pulseweave.plans import drift_check, settings as s
 
 
 def _values(rows) -> str:
@@ -77,6 +77,15 @@ STEPS = {
         SELECT {_id("'burst'", "patient_id", "unit", "min(us)")} AS id, patient_id, unit,
                min(us) AS from_us, max(us) AS to_us
         FROM burst_groups GROUP BY patient_id, unit, no HAVING count(*) >= 3""",
+    # Drifts: one series per patient, over all units.
+    "drift_rows": """
+        SELECT patient_id, row_number() OVER (PARTITION BY patient_id ORDER BY us, value) AS rn,
+               us, value FROM sensor""",
+    "shifted_rows": f"""
+        SELECT patient_id, row_number() OVER (PARTITION BY patient_id ORDER BY us, value) AS rn,
+               us, CASE WHEN ts >= TIMESTAMP '{s.DRIFT_FROM}' THEN value + 200 ELSE value END
+                   AS value
+        FROM sensor""",
     # Credit sessions, one record of every series per step.
     "numbered": """
         SELECT *, row_number() OVER (PARTITION BY patient_id, unit ORDER BY us, value) AS rn
@@ -124,7 +133,7 @@ NEEDS = {
     "grouped": ["marked"], "class_sessions": ["grouped"], "burst_marks": ["sensor"],
     "burst_groups": ["burst_marks"], "bursts": ["burst_groups"], "numbered": ["sensor"],
     "walk_plain": ["numbered", "caps"], "flagged": ["numbered", "ranges"],
-    "walk_alerts": ["flagged", "caps"],
+    "walk_alerts": ["flagged", "caps"], "drift_rows": ["sensor"], "shifted_rows": ["sensor"],
 }
 
 
@@ -143,6 +152,23 @@ def _with(select: str, *steps: str) -> str:
     return f"WITH RECURSIVE {ctes}\n{select}"
 
 
+def _drifts(adaptive: bool, select: str) -> str:
+    """``found``: one row per cut; ``walked``: every series after every reading."""
+    source = "drift_rows" if adaptive else "shifted_rows"
+    base = _with("", source).rstrip()
+    return f"""{base},
+        drift_walk AS ({drift_check.walk(source, adaptive)}),
+        walked AS (SELECT *, rows[-1][1].t AS from_us, rows[1][-1].t AS to_us
+                   FROM drift_walk WHERE phase = 0 AND rn > 0),
+        found AS (SELECT {_id("'drift'", "patient_id", "'all'", "from_us", "to_us")} AS id, *
+                  FROM walked WHERE cut)
+        {select}"""
+
+
+_DRIFT_COLUMNS = """id, patient_id, 'all' AS unit, from_us // 1000 AS "from",
+               to_us // 1000 AS "to", round(value, 9) AS value, CAST(width AS INTEGER) AS width,
+               round(total, 9) AS total"""
+
 _SENSOR_MS = "patient_id, unit, us // 1000 AS ts, value"
 
 
@@ -258,6 +284,20 @@ CHECKS: dict[str, str] = {
     "credit_sessions": _credit("walk_plain"),
     "credit_sessions_alerts": _credit("walk_alerts"),
     "credit_sessions_alerts_long": _credit("walk_alerts"),
+    "drift_alerts": _drifts(False, f"SELECT {_DRIFT_COLUMNS} FROM found"),
+    "drift_alerts_adaptive": _drifts(True, f"SELECT {_DRIFT_COLUMNS} FROM found"),
+    "drift_alerts_per_batch": _drifts(False, """
+        SELECT f.id, patient_id, 'all' AS unit, f.from_us // 1000 AS "from",
+               f.to_us // 1000 AS "to", round(e.value, 9) AS value,
+               CAST(e.width AS INTEGER) AS width, round(e.total, 9) AS total
+        FROM (SELECT * FROM found QUALIFY row_number() OVER (
+                  PARTITION BY patient_id ORDER BY rn DESC) = 1) AS f
+        JOIN (SELECT * FROM walked QUALIFY row_number() OVER (
+                  PARTITION BY patient_id ORDER BY rn DESC) = 1) AS e USING (patient_id)"""),
+    "patient_drifts": _drifts(False, f"""
+        SELECT id, patient_id, 'all' AS unit, from_us // 1000 AS "from", to_us // 1000 AS "to"
+        FROM found WHERE patient_id = '{s.PATIENT}'
+            AND from_us BETWEEN {s.MONTH_MS[0]} * 1000 AND {s.MONTH_MS[1]} * 1000"""),
     "recent_patients": _with(f"""
         SELECT patient_id, count(*) AS alert_count FROM alert_rows
         WHERE us >= epoch_us(TIMESTAMP '{s.NOW}' - INTERVAL 7 DAY)

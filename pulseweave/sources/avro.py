@@ -33,6 +33,10 @@ AGGREGATED_RECORD = record_schema(
 DRIFT_ALERT = record_schema(
     "AdwinAlert", {"Id": "bytes", "PatientId": "bytes", "Unit": "string", "From": "long",
                    "To": "long"})
+HUB_RECORD_BATCH = record_schema("HubRecordBatch", {"Batch": {"type": "array", "items": {
+    "type": "record", "name": "HubRecord", "fields": [
+        {"name": "PatientId", "type": "bytes"},
+        {"name": "Records", "type": {"type": "array", "items": json.loads(SENSOR_RECORD)}}]}}})
 
 
 def body(framed: Column) -> Column:
@@ -43,6 +47,12 @@ def framed(encoded: Column, schema_number: int) -> Column:
     return F.concat(F.unhex(F.lit(f"00{schema_number:08x}")), encoded)
 
 
+def decode_hub_batches(messages: DataFrame) -> DataFrame:
+    """Messages as hub record batches, for ``batches.flatten_batches``."""
+    parsed = messages.withColumn("r", from_avro(body(F.col("value")), HUB_RECORD_BATCH))
+    return parsed.select("r.Batch", "arrival_ts")
+
+
 def decode_sensor_records(messages: DataFrame) -> DataFrame:
     """Messages keyed by patient as sensor records."""
     parsed = messages.withColumn("r", from_avro(body(F.col("value")), SENSOR_RECORD))

@@ -6,10 +6,13 @@ and ``avro``), file streams in tests.  Nothing here starts a query.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pulseweave.dims import credit_caps, normal_ranges, unit_classes
-from pulseweave.operators import alerts as al, batches, sessions, windows
+from pulseweave.operators import alerts as al, batches, reads, sessions, windows
+from pulseweave.sources.tables import read_table
 from pulseweave.streaming.processors import (sessionized_records, stream_credit_sessions,
                                              stream_drift)
 
@@ -80,3 +83,15 @@ def session_window_job(records: DataFrame, grace: str = "70 seconds",
 
 def drift_job(records: DataFrame, **options) -> DataFrame:
     return stream_drift(records, **options)
+
+
+def recently_alerted(root: str, window: str = "15 minutes",
+                     top: int = 100) -> Callable[[SparkSession], DataFrame]:
+    """The patients with most recent alerts, read again on every call: pass it
+    to ``sinks.notification_target`` to follow whoever alerts at the moment."""
+    def read(spark: SparkSession) -> DataFrame:
+        table = read_table(spark, root, "alerts")
+        return reads.with_alerts(
+            reads.recent_patients(table, F.current_timestamp(), window, top))
+
+    return read

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pulseweave.dims import credit_caps, normal_ranges
 from pulseweave.operators.alerts import with_alert_flag
 from pulseweave.operators.credits import (SessionScan, SlotEffect, credit_sessions,
-                                          credit_sessions_with_alerts, find_long_series)
+                                          credit_sessions_with_alerts, find_long_series, session_ends)
 
 
 def lengths(cap, n, alerts=()):
@@ -126,3 +126,33 @@ def test_no_records(spark, records):
     flagged = with_alert_flag(records([("p", "u", 0, 1.0)]).filter("value > 5"),
                               normal_ranges(spark))
     assert credit_sessions_with_alerts(flagged, credit_caps(spark)).count() == 0
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_session_ends_agree_with_single_steps(seed):
+    rng = random.Random(seed)
+    for _ in range(60):
+        cap, n = rng.randint(1, 12), rng.randint(0, 80)
+        flags = [rng.random() < rng.choice([0, 0.05, 0.4, 1]) for _ in range(n)]
+        credits, grant = rng.randint(0, cap), rng.randint(1, cap)
+        scan = SessionScan(cap, 1, (1, credits, grant))
+        ends = []
+        for i, flag in enumerate(flags):
+            if scan.step(i, 0.0):
+                ends.append(i)
+            if flag:
+                scan.alert()
+        assert session_ends([i for i, f in enumerate(flags) if f], n, credits, grant, cap, 1) == \
+            (ends, scan.credits, scan.grant)
+
+
+@pytest.mark.parametrize("rows_per_batch", ["1", "7", "64"])
+def test_sessions_span_arrow_batches(spark, records, rows_per_batch):
+    rows = rows_of(60, patients=2)
+    flagged = with_alert_flag(records(rows), normal_ranges(spark))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows_per_batch)
+    try:
+        found = collected(credit_sessions_with_alerts(flagged, credit_caps(spark)))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert found == expected(rows, True)
