@@ -8,15 +8,17 @@ record off the next grant and halves what is left of the running session.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pulseweave.functions.times import slot_start
-from pulseweave.operators.ordering import with_position
+from pulseweave.operators.ordering import key_at, runs, to_batch, values_of, with_position
 
 KEYS = ["patient_id", "unit"]
+CAPS = ["max_credits", "min_credits"]
 DEFAULT_CAP = 40
 
 # What a scan hands back: moments stay epoch microseconds in Python.
@@ -25,7 +27,10 @@ SCAN_SCHEMA = (
     "last_us bigint, n_records bigint, avg_value double, min_value double, "
     "max_value double"
 )
-_SCAN_COLUMNS = [field.split()[0] for field in SCAN_SCHEMA.split(", ")]
+_SCANNED = pa.schema([
+    ("patient_id", pa.string()), ("unit", pa.string()), ("session_id", pa.int64()),
+    ("first_us", pa.int64()), ("last_us", pa.int64()), ("n_records", pa.int64()),
+    ("avg_value", pa.float64()), ("min_value", pa.float64()), ("max_value", pa.float64())])
 
 
 def with_caps(records: DataFrame, caps: DataFrame, default_cap: int = DEFAULT_CAP) -> DataFrame:
@@ -134,18 +139,6 @@ def with_moments(scanned: DataFrame) -> DataFrame:
         "min_value", "max_value")
 
 
-def _runs(frame: pd.DataFrame, columns: list[str]) -> Iterator[tuple[int, int]]:
-    """Start and end of each run of equal values in sorted rows."""
-    if len(frame) == 0:
-        return
-    change = np.zeros(len(frame), dtype=bool)
-    for name in columns:
-        column = frame[name].to_numpy()
-        change[1:] |= column[1:] != column[:-1]
-    starts = np.concatenate(([0], np.flatnonzero(change), [len(frame)]))
-    yield from zip(starts[:-1].tolist(), starts[1:].tolist())
-
-
 def session_ends(alert_at: list[int], n: int, credits: int, grant: int, cap: int,
                  floor: int) -> tuple[list[int], int, int]:
     """Which of the next ``n`` records close a session, and the state after them.
@@ -173,47 +166,31 @@ def session_ends(alert_at: list[int], n: int, credits: int, grant: int, cap: int
     return ends, credits, grant
 
 
-class _OpenSession:
+class _OpenSession(NamedTuple):
     """The part of a session seen in earlier Arrow batches."""
 
-    __slots__ = ("n", "total", "lowest", "highest", "first_us")
-
-    def __init__(self):
-        self.n, self.total, self.first_us = 0, 0.0, 0
-        self.lowest, self.highest = float("inf"), float("-inf")
-
-    def merge(self, row: dict) -> None:
-        """Put this part before ``row``'s."""
-        if self.n:
-            row["first_us"] = self.first_us
-            row["n_records"] += self.n
-            row["total"] += self.total
-            row["min_value"] = min(row["min_value"], self.lowest)
-            row["max_value"] = max(row["max_value"], self.highest)
+    n: int = 0
+    total: float = 0.0
+    lowest: float = 0.0
+    highest: float = 0.0
+    first_us: int = 0
 
-    @classmethod
-    def of(cls, row: dict) -> _OpenSession:
-        part = cls()
-        part.n, part.total, part.first_us = row["n_records"], row["total"], row["first_us"]
-        part.lowest, part.highest = row["min_value"], row["max_value"]
-        return part
 
-
-def _scan_series(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _scan_series(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sessions of whole series that arrive sorted, in constant memory.
 
     A series may run over any number of Arrow batches.  Each batch is cut into
     sessions first and aggregated by array operations over all of them.
     """
     current, state, part = None, start_state(), _OpenSession()
-    for frame in frames:
-        if len(frame) == 0:
+    for batch in batches:
+        if batch.num_rows == 0:
             continue
-        alert_rows = np.flatnonzero(frame["is_alert"].to_numpy())
+        alert_rows = np.flatnonzero(values_of(batch, "is_alert"))
         starts, closed, ids = [], [], []
         carries_on = False
-        for start, end in _runs(frame, KEYS):
-            key = (frame["patient_id"].iat[start], frame["unit"].iat[start])
+        for start, end in runs(batch, KEYS):
+            key = key_at(batch, KEYS, start)
             if key != current:
                 current, state = key, start_state()
             elif start == 0:
@@ -222,7 +199,7 @@ def _scan_series(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             low, high = np.searchsorted(alert_rows, (start, end))
             ends, credits, grant = session_ends(
                 (alert_rows[low:high] - start).tolist(), end - start, credits, grant,
-                int(frame["max_credits"].iat[start]), int(frame["min_credits"].iat[start]))
+                *key_at(batch, CAPS, start))
             starts.append(start)
             starts += [start + e + 1 for e in ends]
             closed += [True] * len(ends)
@@ -234,23 +211,25 @@ def _scan_series(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 ids.append(session_id + len(ends))
             state = (session_id + len(ends), credits, grant)
         at = np.asarray(starts)
-        until = np.append(at[1:], len(frame)) - 1
-        us, values = frame["us"].to_numpy(), frame["value"].to_numpy()
-        found = pd.DataFrame({
-            "patient_id": frame["patient_id"].to_numpy()[at], "unit": frame["unit"].to_numpy()[at],
-            "session_id": ids, "first_us": us[at], "last_us": us[until],
-            "n_records": until - at + 1, "total": np.add.reduceat(values, at),
-            "min_value": np.minimum.reduceat(values, at),
-            "max_value": np.maximum.reduceat(values, at)})
-        if carries_on:
-            first = found.iloc[0].to_dict()
-            part.merge(first)
-            for name in ("first_us", "n_records", "total", "min_value", "max_value"):
-                found.loc[0, name] = first[name]
-        part = _OpenSession() if closed[-1] else _OpenSession.of(found.iloc[-1].to_dict())
-        full = found[np.asarray(closed)]
+        until = np.append(at[1:], batch.num_rows) - 1
+        us, values = values_of(batch, "us"), values_of(batch, "value")
+        first_us, last_us, counts = us[at], us[until], until - at + 1
+        totals, lows, highs = (f.reduceat(values, at)
+                               for f in (np.add, np.minimum, np.maximum))
+        if carries_on and part.n:
+            first_us[0] = part.first_us
+            counts[0] += part.n
+            totals[0] += part.total
+            lows[0], highs[0] = min(lows[0], part.lowest), max(highs[0], part.highest)
+        part = _OpenSession() if closed[-1] else _OpenSession(
+            int(counts[-1]), float(totals[-1]), float(lows[-1]), float(highs[-1]),
+            int(first_us[-1]))
+        full = np.flatnonzero(closed)
         if len(full):
-            yield full.assign(avg_value=full["total"] / full["n_records"])[_SCAN_COLUMNS]
+            keys = [batch.column(name).take(pa.array(at[full])) for name in KEYS]
+            numbers = (np.asarray(ids), first_us, last_us, counts, totals / counts, lows, highs)
+            yield pa.RecordBatch.from_arrays(
+                keys + [pa.array(column[full]) for column in numbers], schema=_SCANNED)
 
 
 def _inputs(flagged: DataFrame, caps: DataFrame, default_cap: int, *extra: str) -> DataFrame:
@@ -275,7 +254,7 @@ def credit_sessions_with_alerts(flagged: DataFrame, caps: DataFrame,
     order = [*KEYS, "us", "value"]
     ordinary = rows if long_series is None else rows.join(long_series, KEYS, "left_anti")
     scanned = (ordinary.repartition(*KEYS).sortWithinPartitions(*order)
-               .mapInPandas(_scan_series, SCAN_SCHEMA))
+               .mapInArrow(_scan_series, SCAN_SCHEMA))
     if long_series is not None:
         scanned = scanned.unionByName(
             _long_series_sessions(rows.join(long_series, KEYS, "left_semi"), slot))
@@ -393,93 +372,99 @@ class SlotSummary:
         return self.cap, self.floor, None, self.effect.table().tobytes()
 
 
-_EFFECT_COLUMNS = ["patient_id", "unit", "slot", "max_credits", "min_credits", "flags", "effect"]
 _EFFECT_SCHEMA = ("patient_id string, unit string, slot bigint, max_credits int, "
                   "min_credits int, flags binary, effect binary")
+_EFFECTS = pa.schema([
+    ("patient_id", pa.string()), ("unit", pa.string()), ("slot", pa.int64()),
+    ("max_credits", pa.int32()), ("min_credits", pa.int32()), ("flags", pa.binary()),
+    ("effect", pa.binary())])
 _ENTRY_SCHEMA = ("patient_id string, unit string, slot bigint, session_id bigint, "
                  "credits int, grant int")
+_ENTRIES = pa.schema([
+    ("patient_id", pa.string()), ("unit", pa.string()), ("slot", pa.int64()),
+    ("session_id", pa.int64()), ("credits", pa.int32()), ("grant", pa.int32())])
+_SLOT = [*KEYS, "slot"]
 
 
-def _slot_effects(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _slot_effects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     current, slot = None, None
-    for frame in frames:
-        done = []
-        for start, end in _runs(frame, [*KEYS, "slot"]):
-            key = (frame["patient_id"].iat[start], frame["unit"].iat[start],
-                   int(frame["slot"].iat[start]))
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        flags, done = values_of(batch, "is_alert"), []
+        for start, end in runs(batch, _SLOT):
+            key = key_at(batch, _SLOT, start)
             if key != current:
                 if current is not None:
                     done.append((*current, *slot.row()))
-                current = key
-                slot = SlotSummary(int(frame["max_credits"].iat[start]),
-                                   int(frame["min_credits"].iat[start]))
-            slot.feed(frame["is_alert"].to_numpy()[start:end])
+                current, slot = key, SlotSummary(*key_at(batch, CAPS, start))
+            slot.feed(flags[start:end])
         if done:
-            yield pd.DataFrame.from_records(done, columns=_EFFECT_COLUMNS)
+            yield to_batch(done, _EFFECTS)
     if current is not None:
-        yield pd.DataFrame.from_records([(*current, *slot.row())], columns=_EFFECT_COLUMNS)
+        yield to_batch([(*current, *slot.row())], _EFFECTS)
 
 
-def _slot_entries(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _slot_entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Follow the slots of each series in order; one small row per slot."""
     current, state = None, start_state()
-    for frame in frames:
+    for batch in batches:
         entries = []
-        for row in frame.itertuples(index=False):
-            if (row.patient_id, row.unit) != current:
-                current, state = (row.patient_id, row.unit), start_state()
+        for row in batch.to_pylist():
+            key = (row["patient_id"], row["unit"])
+            if key != current:
+                current, state = key, start_state()
             session_id, credits, grant = state
-            entries.append((row.patient_id, row.unit, row.slot, session_id, credits, grant))
-            if row.effect is None:
-                state = _advance(state, row.flags, row.max_credits, row.min_credits)
+            entries.append((*key, row["slot"], session_id, credits, grant))
+            if row["effect"] is None:
+                state = _advance(state, row["flags"], row["max_credits"], row["min_credits"])
             else:
-                table = np.frombuffer(row.effect, dtype=np.int64).reshape(-1, 3)
-                ends = table[_state_index(credits, grant, row.max_credits)]
+                table = np.frombuffer(row["effect"], dtype=np.int64).reshape(-1, 3)
+                ends = table[_state_index(credits, grant, row["max_credits"])]
                 state = (session_id + int(ends[2]), int(ends[0]), int(ends[1]))
         if entries:
-            yield pd.DataFrame.from_records(entries, columns=[
-                "patient_id", "unit", "slot", "session_id", "credits", "grant"])
+            yield to_batch(entries, _ENTRIES)
 
 
-def _number_records(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _number_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Session of each record of a slot, from the slot's entry state."""
     current, state = None, start_state()
-    for frame in frames:
-        if len(frame) == 0:
+    for batch in batches:
+        n = batch.num_rows
+        if n == 0:
             continue
-        alert_rows = np.flatnonzero(frame["is_alert"].to_numpy())
-        closes = np.zeros(len(frame), dtype=bool)
-        ids = np.zeros(len(frame), dtype=np.int64)
-        for start, end in _runs(frame, [*KEYS, "slot"]):
-            key = (frame["patient_id"].iat[start], frame["unit"].iat[start],
-                   int(frame["slot"].iat[start]))
+        alert_rows = np.flatnonzero(values_of(batch, "is_alert"))
+        closes, ids = np.zeros(n, dtype=bool), np.zeros(n, dtype=np.int64)
+        for start, end in runs(batch, _SLOT):
+            key = key_at(batch, _SLOT, start)
             if key != current:
                 current = key
-                state = (int(frame["session_id"].iat[start]), int(frame["credits"].iat[start]),
-                         int(frame["grant"].iat[start]))
+                state = key_at(batch, ["session_id", "credits", "grant"], start)
             session_id, credits, grant = state
             low, high = np.searchsorted(alert_rows, (start, end))
             ends, credits, grant = session_ends(
                 (alert_rows[low:high] - start).tolist(), end - start, credits, grant,
-                int(frame["max_credits"].iat[start]), int(frame["min_credits"].iat[start]))
+                *key_at(batch, CAPS, start))
             closes[[start + e for e in ends]] = True
-            before = np.cumsum(closes[start:end]) - closes[start:end]
-            ids[start:end] = session_id + before
+            ids[start:end] = session_id + np.cumsum(closes[start:end]) - closes[start:end]
             state = (session_id + len(ends), credits, grant)
-        yield frame[["patient_id", "unit", "us", "value"]].assign(session_id=ids, closes=closes)
+        kept = [batch.column(name) for name in (*KEYS, "us", "value")]
+        yield pa.RecordBatch.from_arrays(
+            [*kept, pa.array(ids), pa.array(closes)],
+            names=[*KEYS, "us", "value", "session_id", "closes"])
 
 
 def _long_series_sessions(rows: DataFrame, slot: str) -> DataFrame:
     slotted = rows.withColumn("slot", slot_start(F.timestamp_micros("us"), slot))
     sorted_slots = (slotted.repartition(*KEYS, "slot")
                     .sortWithinPartitions(*KEYS, "slot", "us", "value"))
-    effects = sorted_slots.mapInPandas(_slot_effects, _EFFECT_SCHEMA)
+    effects = sorted_slots.mapInArrow(_slot_effects, _EFFECT_SCHEMA)
     entries = (effects.repartition(*KEYS).sortWithinPartitions(*KEYS, "slot")
-               .mapInPandas(_slot_entries, _ENTRY_SCHEMA))
+               .mapInArrow(_slot_entries, _ENTRY_SCHEMA))
     numbered = (slotted.join(entries, [*KEYS, "slot"])
                 .repartition(*KEYS, "slot")
                 .sortWithinPartitions(*KEYS, "slot", "us", "value")
-                .mapInPandas(_number_records,
+                .mapInArrow(_number_records,
                              "patient_id string, unit string, us bigint, value double, "
                              "session_id bigint, closes boolean"))
     # A session may span slots; its last record says whether it was full.

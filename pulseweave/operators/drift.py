@@ -19,11 +19,12 @@ import math
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pulseweave.dims import STEADY_DRIFT_UNITS
 from pulseweave.functions.ids import stable_id
+from pulseweave.operators.ordering import key_at, runs, to_batch, values_of
 
 KEYS = ["patient_id", "unit"]
 
@@ -197,9 +198,13 @@ STATE_SCHEMA = (
     "variances array<double>, times array<bigint>"
 )
 
-_DRIFT_COLUMNS = ["patient_id", "unit", "from_us", "to_us", "value", "width", "total", "state"]
-_SCAN_SCHEMA = ("patient_id string, unit string, from_us bigint, to_us bigint, value double, "
-                "width int, total double, state string")
+SCAN_SCHEMA = ("patient_id string, unit string, from_us bigint, to_us bigint, value double, "
+               "width int, total double, state string")
+SCAN_COLUMNS = [field.split()[0] for field in SCAN_SCHEMA.split(", ")]
+_SCANNED = pa.schema([
+    ("patient_id", pa.string()), ("unit", pa.string()), ("from_us", pa.int64()),
+    ("to_us", pa.int64()), ("value", pa.float64()), ("width", pa.int32()),
+    ("total", pa.float64()), ("state", pa.string())])
 
 
 class DriftCall:
@@ -232,11 +237,11 @@ class DriftCall:
         return [(*self.last, self.value, self.window.width, self.window.total)]
 
 
-def _scanner(emit: str, published: bool,
-             keep_state: bool) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    from pulseweave.operators.credits import _runs
+def _scanner(emit: str, published: bool, keep_state: bool,
+             ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A scan over sorted series; a series may span any number of batches."""
 
-    def scan(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, call = None, None
 
         def finish() -> list[tuple]:
@@ -246,34 +251,33 @@ def _scanner(emit: str, published: bool,
                 rows.append((*current, None, None, None, None, None, state))
             return rows
 
-        for frame in frames:
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            values, times = values_of(batch, "value"), values_of(batch, "us")
             out = []
-            for start, end in _runs(frame, KEYS):
-                key = (frame["patient_id"].iat[start], frame["unit"].iat[start])
+            for start, end in runs(batch, KEYS):
+                key = key_at(batch, KEYS, start)
                 if key != current:
                     if current is not None:
                         out += finish()
                     current = key
-                    adaptive = bool(frame["adaptive"].iat[start])
+                    adaptive = batch.column("adaptive")[start].as_py()
                     call = DriftCall(DriftWindow(adaptive, published), emit)
-                    if keep_state and frame["state"].iat[start] is not None:
+                    stored = batch.column("state")[start].as_py() if keep_state else None
+                    if stored is not None:
                         # Stored state sorts before the readings of its series.
-                        stored = json.loads(frame["state"].iat[start])
-                        call.window = DriftWindow.load(stored, adaptive, published)
+                        call.window = DriftWindow.load(json.loads(stored), adaptive, published)
                         call.window.trim()
                         start += 1
-                out += [(*key, *r, None) for r in call.feed(
-                    frame["value"].iloc[start:end].tolist(), frame["us"].iloc[start:end].tolist())]
+                found = call.feed(values[start:end].tolist(), times[start:end].tolist())
+                out += [(*key, *r, None) for r in found]
             if out:
-                yield _frame(out)
+                yield to_batch(out, _SCANNED)
         if current is not None:
             out = finish()
             if out:
-                yield _frame(out)
-
-    def _frame(rows: list[tuple]) -> pd.DataFrame:
-        frame = pd.DataFrame.from_records(rows, columns=_DRIFT_COLUMNS)
-        return frame.astype({"from_us": "Int64", "to_us": "Int64", "width": "Int32"})
+                yield to_batch(out, _SCANNED)
 
     return scan
 
@@ -306,7 +310,7 @@ def detect_drift(records: DataFrame, adaptive: Column | None = None,
     """
     rows = _series_rows(records, adaptive)
     scanned = (rows.repartition(*KEYS).sortWithinPartitions(*KEYS, "us", "value")
-               .mapInPandas(_scanner(emit, variant == "paper", False), _SCAN_SCHEMA))
+               .mapInArrow(_scanner(emit, variant == "paper", False), SCAN_SCHEMA))
     return _drift_rows(scanned)
 
 
@@ -339,7 +343,7 @@ def detect_drift_in_slices(records: DataFrame, edges: Sequence[str], work_dir: s
                 F.lit(0.0).alias("value"), flags.alias("adaptive"), "state"))
         previous = f"{work_dir}/slice={i}"
         (part.repartition(*KEYS).sortWithinPartitions(*KEYS, "us", "value")
-         .mapInPandas(scan, _SCAN_SCHEMA).write.mode("overwrite").parquet(previous))
-    found = (spark.read.schema(_SCAN_SCHEMA + ", slice int").parquet(work_dir)
+         .mapInArrow(scan, SCAN_SCHEMA).write.mode("overwrite").parquet(previous))
+    found = (spark.read.schema(SCAN_SCHEMA + ", slice int").parquet(work_dir)
              .filter(F.col("state").isNull()))
     return _drift_rows(found)

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from pulseweave.functions.times import slot_start
@@ -27,3 +32,30 @@ def with_position(records: DataFrame, keys: list[str], slot: str = "1 hour",
             .join(starts, [*keys, "slot"])
             .withColumn("position", F.col("in_slot") + F.col("earlier"))
             .drop("slot", "in_slot", "earlier"))
+
+
+def runs(batch: pa.RecordBatch, columns: list[str]) -> Iterator[tuple[int, int]]:
+    """Start and end of each run of equal keys in a sorted Arrow batch."""
+    n = batch.num_rows
+    change = np.zeros(n, dtype=bool)
+    for name in columns:
+        column = batch.column(name)
+        change[1:] |= pc.not_equal(column.slice(1), column.slice(0, n - 1)).to_numpy(
+            zero_copy_only=False)
+    starts = [0, *np.flatnonzero(change).tolist(), n]
+    return zip(starts[:-1], starts[1:])
+
+
+def key_at(batch: pa.RecordBatch, columns: list[str], row: int) -> tuple:
+    return tuple(batch.column(name)[row].as_py() for name in columns)
+
+
+def values_of(batch: pa.RecordBatch, name: str) -> np.ndarray:
+    return batch.column(name).to_numpy(zero_copy_only=False)
+
+
+def to_batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    columns = zip(*rows) if rows else [[] for _ in schema]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(column, type=field.type) for column, field in zip(columns, schema)],
+        schema=schema)

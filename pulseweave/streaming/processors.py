@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from pulseweave.operators.credits import KEYS, SessionScan, with_caps, with_moments
 from pulseweave.operators.credits import SCAN_SCHEMA as SESSION_ROWS
-from pulseweave.operators.drift import (_DRIFT_COLUMNS, _SCAN_SCHEMA, STATE_SCHEMA, DriftCall,
+from pulseweave.operators.drift import (SCAN_COLUMNS, SCAN_SCHEMA, STATE_SCHEMA, DriftCall,
                                         DriftWindow, _drift_rows, _series_rows)
 
 RECORD, ALERT = 0, 1
@@ -153,7 +153,7 @@ class DriftDetection(StatefulProcessor):
         self.state.update(tuple(stored[n] for n in self.names))
         if found:
             yield pd.DataFrame.from_records([(*key, *r, None) for r in found],
-                                            columns=_DRIFT_COLUMNS)
+                                            columns=SCAN_COLUMNS)
 
     def close(self) -> None:
         pass
@@ -167,6 +167,6 @@ def stream_drift(records: DataFrame, adaptive: Column | None = None, emit: str =
     ``per_batch`` a series yields at most one row per micro-batch.
     """
     found = _series_rows(records, adaptive).groupBy(*KEYS).transformWithStateInPandas(
-        DriftDetection(emit, variant == "paper", ttl_ms), outputStructType=_SCAN_SCHEMA,
+        DriftDetection(emit, variant == "paper", ttl_ms), outputStructType=SCAN_SCHEMA,
         outputMode="Update", timeMode="ProcessingTime" if ttl_ms else "None")
     return _drift_rows(found)
