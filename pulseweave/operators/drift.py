@@ -214,13 +214,17 @@ class DriftCall:
     the extent at the last cut and the value, width and sum at the end.
     """
 
-    def __init__(self, window: DriftWindow, emit: str):
+    def __init__(self, window: DriftWindow, emit: str, resumed: bool = False):
         self.window, self.per_drift = window, emit == "per_drift"
+        self.trim_due = resumed
         self.last = None
         self.value = 0.0
 
     def feed(self, values: Sequence[float], times: Sequence[int]) -> list[tuple]:
         window, found = self.window, []
+        if self.trim_due and values:
+            window.trim()
+            self.trim_due = False
         add = window.add
         for value, time in zip(values, times):
             if add(value, time):
@@ -263,12 +267,13 @@ def _scanner(emit: str, published: bool, keep_state: bool,
                         out += finish()
                     current = key
                     adaptive = batch.column("adaptive")[start].as_py()
-                    call = DriftCall(DriftWindow(adaptive, published), emit)
                     stored = batch.column("state")[start].as_py() if keep_state else None
-                    if stored is not None:
+                    if stored is None:
+                        call = DriftCall(DriftWindow(adaptive, published), emit)
+                    else:
                         # Stored state sorts before the readings of its series.
-                        call.window = DriftWindow.load(json.loads(stored), adaptive, published)
-                        call.window.trim()
+                        window = DriftWindow.load(json.loads(stored), adaptive, published)
+                        call = DriftCall(window, emit, resumed=True)
                         start += 1
                 found = call.feed(values[start:end].tolist(), times[start:end].tolist())
                 out += [(*key, *r, None) for r in found]

@@ -141,13 +141,13 @@ class DriftDetection(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         frame = _in_order(rows, ["us", "value"])
         adaptive = bool(frame["adaptive"].iat[0])
-        if self.state.exists():
+        resumed = self.state.exists()
+        if resumed:
             window = DriftWindow.load(dict(zip(self.names, self.state.get())), adaptive,
                                       self.published)
-            window.trim()
         else:
             window = DriftWindow(adaptive, self.published)
-        call = DriftCall(window, self.emit)
+        call = DriftCall(window, self.emit, resumed)
         found = call.feed(frame["value"].tolist(), frame["us"].tolist()) + call.close()
         stored = window.dump()
         self.state.update(tuple(stored[n] for n in self.names))

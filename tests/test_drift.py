@@ -204,20 +204,41 @@ def test_per_batch_keeps_the_last_drift(records):
 
 
 def test_slices_equal_calls_with_stored_state(spark, records, tmp_path):
-    rows, frame = series(records)
+    """Each slice with readings of a series is one call on its stored window."""
+    rows, _ = series(records)
+    # One series pauses for the whole middle slice.
+    rows = [r for r in rows if r[0] != "p1" or not 5400 <= r[2] < 14400]
     edges = ["1970-01-01 01:30:00", "1970-01-01 04:00:00"]
-    found = detect_drift_in_slices(frame, edges, str(tmp_path / "slices"), F.lit(False))
-    expected = []
+    found = detect_drift_in_slices(records(rows), edges, str(tmp_path / "slices"), F.lit(False))
+    expected, trimmed = [], 0
     for p in sorted({r[0] for r in rows}):
         mine = sorted((r for r in rows if r[0] == p), key=lambda r: r[2])
-        window = DriftWindow(False)
+        window = None
         for low, high in ((0, 5400), (5400, 14400), (14400, 1e9)):
-            if low:
-                window.trim()
-            call = DriftCall(window, "per_drift")
             part = [r for r in mine if low <= r[2] < high]
-            expected += [(p, r[0], r[1]) for r in call.feed(
+            if not part:
+                continue
+            if window is None:
+                window = DriftWindow(False)
+            else:
+                before = window.width
+                window.trim()
+                trimmed += window.width < before
+            expected += [(p, r[0], r[1]) for r in DriftCall(window, "per_drift").feed(
                 [r[3] for r in part], [int(r[2]) for r in part])]
     got = sorted((r.patient_id, int(r["from"].timestamp()), int(r["to"].timestamp()))
                  for r in found.collect())
-    assert got == sorted(expected)
+    assert got == sorted(expected) and found.count() > 0
+
+
+def test_trim_drops_one_bucket_of_a_wide_window():
+    window = DriftWindow(False)
+    for i in range(120):
+        window.add(50.0 + i % 2, i)
+    oldest = 1 << (len(window.rows) - 1)
+    again = DriftWindow.load(window.dump(), False)
+    call = DriftCall(again, "per_drift", resumed=True)
+    call.feed([], [])
+    assert again.width == 120
+    call.feed([50.0], [120])
+    assert again.width == 121 - oldest
