@@ -141,35 +141,47 @@ def with_running_max(windows: DataFrame, column: str, order: str, name: str,
             .drop("block", "here", "edge", "earlier"))
 
 
+def _counted(records: DataFrame, size: str) -> DataFrame:
+    """Per arrival window: records, latest record time, worst latency."""
+    return (with_latency(records).groupBy(_arrival_window(size))
+            .agg(F.count("*").alias("n_records"), F.max("ts").alias("latest_here"),
+                 F.max(LATENCY).alias("max_latency"))
+            .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+                    "n_records", "latest_here", "max_latency"))
+
+
+def _with_latest(records: DataFrame, size: str) -> DataFrame:
+    counted = _counted(records, size)
+    if records.isStreaming:
+        from pulseweave.streaming.processors import carry_over
+
+        return carry_over(counted)
+    return with_running_max(counted, "latest_here", "window_start", "latest_ts")
+
+
 def record_throughput(records: DataFrame, size: str = "5 seconds") -> DataFrame:
     """Records per arrival window, latest record time so far, and how far that
     is behind the end of the window."""
-    counted = (records.groupBy(_arrival_window(size))
-               .agg(F.count("*").alias("n_records"), F.max("ts").alias("latest_here"))
-               .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
-                       "n_records", "latest_here"))
-    return (with_running_max(counted, "latest_here", "window_start", "latest_ts")
+    return (_with_latest(records, size)
             .withColumn("latest_latency", latency_ms(F.col("window_end"), F.col("latest_ts")))
             .select("window_start", "n_records", "latest_ts", "latest_latency"))
 
 
 def alert_throughput(alerts: DataFrame, size: str = "5 seconds") -> DataFrame:
     """Alerts per arrival window, latest alert time so far, worst latency."""
-    counted = (with_latency(alerts).groupBy(_arrival_window(size))
-               .agg(F.count("*").alias("n_records"), F.max("ts").alias("latest_here"),
-                    F.max(LATENCY).alias("max_latency"))
-               .select(F.col("w.start").alias("window_start"), "n_records", "latest_here",
-                       "max_latency"))
-    return (with_running_max(counted, "latest_here", "window_start", "latest_ts")
-            .select("window_start", "n_records", "latest_ts", "max_latency"))
+    return _with_latest(alerts, size).select(
+        "window_start", "n_records", "latest_ts", "max_latency")
 
 
 def period_counts(records: DataFrame, size: str = "10 seconds") -> DataFrame:
     """Records per arrival period and in the period just before it.
 
-    Each count is sent to its own period and, as ``previous``, to the next one,
-    so neighbours meet by equality instead of by one ordering of all periods.
+    On a table each count is sent to its own period and, as ``previous``, to the
+    next one, so neighbours meet by equality instead of by one ordering of all
+    periods.  On a stream the previous count is kept as state.
     """
+    if records.isStreaming:
+        return _with_latest(records, size).select("window_start", "n_records", "n_previous")
     counted = (records.groupBy(_arrival_window(size)).agg(F.count("*").alias("n"))
                .select(F.col("w.start").alias("start"), F.col("w.end").alias("end"), "n"))
     zero = F.lit(0).cast("bigint")

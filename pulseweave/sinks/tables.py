@@ -55,8 +55,10 @@ def add_new_patients(records: DataFrame, root: str) -> int:
     """Append ids that the ``patient_ids`` table lacks; returns how many.
 
     One writer at a time: run it from a single query.  Run again on the same
-    records it adds nothing.
+    records it adds nothing.  The table is only read when there are records.
     """
+    if records.isEmpty():
+        return 0
     spark = records.sparkSession
     path = f"{root.rstrip('/')}/patient_ids"
     try:

@@ -28,3 +28,14 @@ def write_topic(messages: DataFrame, servers: str, topic: str, checkpoint: str,
     return (messages.select("key", "value").writeStream.format("kafka").outputMode(mode)
             .option("kafka.bootstrap.servers", servers).option("topic", topic)
             .option("checkpointLocation", checkpoint))
+
+
+def text_messages(keyed: DataFrame) -> DataFrame:
+    """Rows of (key text, number), such as keyed global averages, as messages."""
+    return keyed.select(F.col("key").cast("string").alias("key"),
+                        F.col("value").cast("string").alias("value"))
+
+
+def from_text_messages(messages: DataFrame) -> DataFrame:
+    return messages.select(F.col("key").cast("string").alias("key"),
+                           F.col("value").cast("string").cast("double").alias("value"))

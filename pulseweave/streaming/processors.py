@@ -170,3 +170,49 @@ def stream_drift(records: DataFrame, adaptive: Column | None = None, emit: str =
         DriftDetection(emit, variant == "paper", ttl_ms), outputStructType=SCAN_SCHEMA,
         outputMode="Update", timeMode="ProcessingTime" if ttl_ms else "None")
     return _drift_rows(found)
+
+
+class CarryOver(StatefulProcessor):
+    """Runs along closed windows: latest record time so far, previous count.
+
+    The input is one row per window over all keys, so one state is enough.
+    """
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.state = handle.getValueState(
+            "last", "latest_us bigint, end_us bigint, n_records bigint")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        frame = _in_order(rows, ["start_us"])
+        latest, last_end, last_n = self.state.get() if self.state.exists() else (None, None, 0)
+        latest_us, previous = [], []
+        for start, end, n, here in zip(*(frame[c].tolist() for c in (
+                "start_us", "end_us", "n_records", "here_us"))):
+            latest = here if latest is None else max(latest, here)
+            latest_us.append(latest)
+            previous.append(last_n if start == last_end else 0)
+            last_end, last_n = end, n
+        self.state.update((latest, last_end, last_n))
+        yield frame[["start_us", "end_us", "n_records", "max_latency"]].assign(
+            latest_us=latest_us, n_previous=previous)
+
+    def close(self) -> None:
+        pass
+
+
+def carry_over(windows: DataFrame) -> DataFrame:
+    """Add ``latest_ts`` and ``n_previous`` to a stream of closed windows with
+    columns window_start, window_end, n_records, latest_here and max_latency."""
+    rows = windows.select(
+        F.lit(0).alias("all"), F.unix_micros("window_start").alias("start_us"),
+        F.unix_micros("window_end").alias("end_us"), "n_records",
+        F.unix_micros("latest_here").alias("here_us"), "max_latency")
+    carried = rows.groupBy("all").transformWithStateInPandas(
+        CarryOver(),
+        outputStructType="start_us bigint, end_us bigint, n_records bigint, max_latency bigint, "
+                         "latest_us bigint, n_previous bigint",
+        outputMode="Append", timeMode="None")
+    return carried.select(
+        F.timestamp_micros("start_us").alias("window_start"),
+        F.timestamp_micros("end_us").alias("window_end"), "n_records",
+        F.timestamp_micros("latest_us").alias("latest_ts"), "max_latency", "n_previous")

@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from pulseweave.operators.patients import distinct_patients
 from pulseweave.schemas import TableSpec
 from pulseweave.sinks.tables import add_new_patients, replace_batch, stored_rows
 
@@ -52,7 +53,25 @@ def table_target(spec: TableSpec, root: str, writer: str, patients: bool = False
     return write
 
 
-def notification_target(spec_root: str, make: Callable[[DataFrame, DataFrame], DataFrame],
+def patient_stream(records: DataFrame, root: str, checkpoint: str,
+                   accepted: Accepted | None = None,
+                   trigger: dict | None = None) -> StreamingQuery:
+    """Keep the ``patient_ids`` table up to date from a stream.
+
+    State remembers the ids this query has seen, so the table is consulted only
+    for ids that are new to the query, which is rare once it has run for a while.
+    """
+    def add(batch: DataFrame, batch_id: int) -> None:
+        added = add_new_patients(batch, root)
+        if accepted is not None:
+            accepted.new_patients += added
+
+    return (distinct_patients(records).writeStream.outputMode("append").foreachBatch(add)
+            .option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"processingTime": "2 seconds"})).start())
+
+
+def notification_target(make: Callable[[DataFrame, DataFrame], DataFrame],
                         subscriptions: Callable[[SparkSession], DataFrame],
                         write: Callable[[DataFrame, int], None]) -> Target:
     """Notifications of a micro-batch for whoever is subscribed at that time.

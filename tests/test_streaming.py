@@ -185,7 +185,7 @@ def test_fan_out_to_tables_patients_and_notifications(spark, source, tmp_path):
     targets = {
         "table": sinks.table_target(ALERTS, root, "alerts", patients=True, accepted=accepted),
         "push": sinks.notification_target(
-            root, notify.alert_events, lambda s: subscribed.select("patient_id").distinct(),
+            notify.alert_events, lambda s: subscribed.select("patient_id").distinct(),
             lambda frame, i: sent.extend(frame.collect())),
         "off": lambda batch, i: skipped.append(i),
     }
@@ -213,12 +213,47 @@ def test_native_table_stream(spark, source, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/alerts").count() == al.alerts(records, ranges).count()
 
 
-def test_latency_stats(spark, source, tmp_path):
+def arriving(frame):
+    late = F.timestamp_micros(F.unix_micros("ts") + F.crc32(F.col("patient_id")) % 90 * 1000000)
+    return frame.withColumn("arrival_ts", late)
+
+
+@pytest.mark.parametrize("meter", [meters.record_throughput, meters.alert_throughput,
+                                   meters.period_counts, meters.latency_per_window])
+def test_meters(spark, source, tmp_path, meter):
+    records, folder = source
+    timed = windows.with_event_time(arriving(stream(spark, folder, 1)), "1 hour", "arrival_ts")
+    found = run(meter(timed, "6 hours"), tmp_path)
+    table = rows(meter(arriving(records), "6 hours"))
+    assert len(found) >= len(table) - 2
+    assert found == table[:len(found)]
+
+
+def test_patient_table_from_a_stream(spark, source, tmp_path):
     records, folder = source
+    root, accepted = str(tmp_path / "ids"), sinks.Accepted()
+    for i in range(2):  # a second query starts without state but finds the table
+        query = sinks.patient_stream(stream(spark, folder, 2), root, str(tmp_path / f"c{i}"),
+                                     accepted, {"availableNow": True})
+        query.awaitTermination()
+    ids = spark.read.parquet(f"{root}/patient_ids")
+    expected = records.select("patient_id").distinct().count()
+    assert ids.count() == ids.distinct().count() == accepted.new_patients == expected
 
-    def arriving(frame):
-        late = F.timestamp_micros(F.unix_micros("ts") + F.crc32(F.col("patient_id")) % 90 * 1000000)
-        return frame.withColumn("arrival_ts", late)
+
+def test_following_recently_alerted_patients(spark, source, tmp_path):
+    from pulseweave.schemas import ALERTS as SPEC
+    from pulseweave.sinks.tables import append_table
+
+    records, folder = source
+    now = records.withColumn("ts", F.current_timestamp()).filter(
+        "patient_id <= '00000000-0000-0000-0000-000000000004'")
+    append_table(al.alerts(now, normal_ranges(spark, RANGES)), SPEC, str(tmp_path))
+    assert jobs.recently_alerted(str(tmp_path))(spark).count() == 5
+
+
+def test_latency_stats(spark, source, tmp_path):
+    records, folder = source
 
     timed = windows.with_event_time(arriving(stream(spark, folder, 1)), "2 days", "arrival_ts")
     found = rounded(run(meters.latency_stats(timed, "1 day"), tmp_path))
