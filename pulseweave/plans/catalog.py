@@ -372,35 +372,37 @@ def period_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 # --- notifications and patients ---------------------------------------------------------
 
-def _subscribers(spark: SparkSession, folder: str) -> DataFrame:
-    chosen = events(spark, folder).filter(F.col("user_id") % 3 == 0)
-    return patients.distinct_patients(as_sensor_records(chosen))
+def _subscribers(records: DataFrame) -> DataFrame:
+    """Someone listens to the patients who ever had a very high alert."""
+    return patients.distinct_patients(_alerts(records).filter(F.col("value") > s.WATCHED_ABOVE))
 
 
 @query
 def notify_alerts(spark: SparkSession, folder: str) -> DataFrame:
-    found = _alerts(_records(spark, folder))
-    return _ms(notify.alert_events(found, _subscribers(spark, folder)), "ts")
+    records = _records(spark, folder)
+    return _ms(notify.alert_events(_alerts(records), _subscribers(records)), "ts")
 
 
 @query
 def notify_debounced(spark: SparkSession, folder: str) -> DataFrame:
-    sent = notify.record_events(_arrivals(spark, folder), _subscribers(spark, folder),
+    sent = notify.record_events(_arrivals(spark, folder), _subscribers(_records(spark, folder)),
                                 s.QUIET_SECONDS)
     return _ms(sent, "sent_ts")
 
 
 @query
 def notify_totals(spark: SparkSession, folder: str) -> DataFrame:
-    sent = notify.record_events(_arrivals(spark, folder), _subscribers(spark, folder),
+    sent = notify.record_events(_arrivals(spark, folder), _subscribers(_records(spark, folder)),
                                 s.QUIET_SECONDS)
     return _ms(notify.sent_per_period(sent, "1 day"), "window_start")
 
 
 @query
 def new_patients(spark: SparkSession, folder: str) -> DataFrame:
-    known = as_sensor_records(events(spark, folder).filter(F.col("user_id") < 50))
-    return patients.new_patients(_records(spark, folder), patients.distinct_patients(known))
+    """Patients who are not among those of the first day."""
+    records = _records(spark, folder)
+    known = records.filter(F.col("ts") < F.lit(s.FIRST_DAY_ENDS).cast("timestamp"))
+    return patients.new_patients(records, patients.distinct_patients(known))
 
 
 # --- display ------------------------------------------------------------------------

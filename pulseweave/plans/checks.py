@@ -50,6 +50,7 @@ STEPS = {
         SELECT {_id("'alert'", "patient_id", "unit", "us")} AS id, patient_id, us // 1000 AS ts,
                unit, value, us, arrival_us, user_id
         FROM sensor JOIN ranges USING (unit) WHERE NOT (value BETWEEN lo AND hi)""",
+    "watched": f"SELECT DISTINCT patient_id FROM alert_rows WHERE value > {s.WATCHED_ABOVE}",
     "daily": f"""
         SELECT {_id("'aggregate'", "patient_id", "unit", f"us // {DAY} * {DAY}")} AS id,
                patient_id, {_floor("us", str(DAY))} AS ts, unit, avg(value) AS avg_value,
@@ -129,7 +130,7 @@ STEPS = {
 
 # What each step is built from.
 NEEDS = {
-    "alert_rows": ["sensor", "ranges"], "daily": ["sensor"], "marked": ["sensor", "classes"],
+    "alert_rows": ["sensor", "ranges"], "watched": ["alert_rows"], "daily": ["sensor"], "marked": ["sensor", "classes"],
     "grouped": ["marked"], "class_sessions": ["grouped"], "burst_marks": ["sensor"],
     "burst_groups": ["burst_marks"], "bursts": ["burst_groups"], "numbered": ["sensor"],
     "walk_plain": ["numbered", "caps"], "flagged": ["numbered", "ranges"],
@@ -210,7 +211,7 @@ _NOTIFY_GROUPS = f"""
           FROM (SELECT *, CASE WHEN arrival_us - lag(arrival_us) OVER
                               (PARTITION BY patient_id ORDER BY arrival_us, us)
                               > {s.QUIET_SECONDS * SECOND} THEN 1 ELSE 0 END AS opens
-                FROM sensor WHERE user_id % 3 = 0) AS a) AS b
+                FROM sensor WHERE patient_id IN (SELECT patient_id FROM watched)) AS a) AS b
     GROUP BY patient_id, no"""
 
 _BURST_FLOOR = """(SELECT patient_id, unit, least(1000.0, min(min_value)) AS floor
@@ -358,13 +359,14 @@ CHECKS: dict[str, str] = {
             ON b.window_start = a.window_start - 3600000""",
     "notify_alerts": _with("""
         SELECT patient_id AS channel, 'newAlert' AS event, id, ts, unit, value
-        FROM alert_rows WHERE user_id % 3 = 0""", "alert_rows"),
-    "notify_debounced": _with(_NOTIFY_GROUPS, "sensor"),
+        FROM alert_rows WHERE patient_id IN (SELECT patient_id FROM watched)""", "watched"),
+    "notify_debounced": _with(_NOTIFY_GROUPS, "watched"),
     "notify_totals": _with(f"""
         SELECT sent_ts // 86400000 * 86400000 AS window_start, count(*) AS n_sent
-        FROM ({_NOTIFY_GROUPS}) AS n GROUP BY sent_ts // 86400000""", "sensor"),
-    "new_patients": _with(
-        "SELECT DISTINCT patient_id FROM sensor WHERE user_id >= 50", "sensor"),
+        FROM ({_NOTIFY_GROUPS}) AS n GROUP BY sent_ts // 86400000""", "watched"),
+    "new_patients": _with(f"""
+        SELECT patient_id FROM sensor GROUP BY patient_id
+        HAVING min(ts) >= TIMESTAMP '{s.FIRST_DAY_ENDS}'""", "sensor"),
     "dedup_records": _with(f"SELECT {_SENSOR_MS} FROM sensor", "sensor"),
     "dedup_drifts": _with("""
         SELECT id, patient_id, unit, from_us // 1000 AS "from", to_us // 1000 AS "to"

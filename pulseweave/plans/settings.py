@@ -24,5 +24,7 @@ FRAGMENT = "0001"
 WEEK_MS = (1_706_054_400_000, 1_706_659_200_000)  # 2024-01-24 to 2024-01-31
 MONTH_MS = (1_704_067_200_000, 1_706_659_200_000)  # 2024-01-01 to 2024-01-31
 DRIFT_FROM = "2024-01-16 00:00:00"
+WATCHED_ABOVE = 200.0
+FIRST_DAY_ENDS = "2024-01-02 00:00:00"
 QUIET_SECONDS = 6 * 3600
 HALF = "2024-01-16 00:00:00"

@@ -24,3 +24,27 @@ def test_framing(spark):
     row = spark.range(1).select(avro.framed(F.unhex(F.lit("abcd")), 258).alias("m")).select(
         "m", avro.body(F.col("m")).alias("b")).first()
     assert row.m.hex() == "0000000102abcd" and row.b.hex() == "abcd"
+
+
+def test_keyed_averages_as_text_messages(spark):
+    keyed = spark.sql("SELECT '[u@0/60000]' AS key, 1.25D AS value")
+    back = kafka.from_text_messages(kafka.text_messages(keyed)).first()
+    assert tuple(back) == ("[u@0/60000]", 1.25)
+
+
+def test_text_stream(spark, small, tmp_path):
+    from pulseweave.sinks.text import stream_console, stream_lines
+    from pulseweave.sources.tables import EVENTS_SCHEMA
+    from pulseweave.streaming.jobs import file_stream
+
+    rows = file_stream(spark, EVENTS_SCHEMA, f"{small}/events*.parquet")
+    query = (stream_lines(rows.select("event_id", "value"), str(tmp_path / "out"),
+                          str(tmp_path / "check")).trigger(availableNow=True).start())
+    query.awaitTermination()
+    lines = spark.read.text(str(tmp_path / "out"))
+    assert lines.count() == 1000
+    assert lines.first().value.startswith("event_id=")
+    console = stream_console(rows.filter("event_id < 3").select("event_id")).trigger(
+        availableNow=True).start()
+    console.awaitTermination()
+    assert console.exception() is None
