@@ -15,23 +15,40 @@ def stored_rows(records: DataFrame, spec: TableSpec) -> DataFrame:
     return renamed.withColumn(spec.partition, F.date_trunc(spec.grain, spec.time))
 
 
-def laid_out(rows: DataFrame, spec: TableSpec) -> DataFrame:
+def rebalanced(rows: DataFrame, spec: TableSpec) -> DataFrame:
     """Rows of one partition in few files, sorted by patient or unit.
 
     ``rebalance`` keeps a partition together for as long as it fits in one task
     and lets the adaptive planner split the ones that do not, so neither a busy
-    hour nor a busy patient ends up in one task; sorted files give the reader
-    narrow min/max ranges per row group.
+    hour nor a busy patient ends up in one task.  The input is computed once.
     """
     return (rows.hint("rebalance", spec.partition)
             .sortWithinPartitions(spec.partition, spec.cluster, spec.time))
 
 
-def append_table(records: DataFrame, spec: TableSpec, root: str) -> str:
-    """Append a table of records; returns where."""
+def ranged(rows: DataFrame, spec: TableSpec, tasks: int | None = None) -> DataFrame:
+    """Rows in equal ranges of (partition, patient or unit, time).
+
+    Bounds come from a sample, so a busy hour or patient is cut into as many
+    ranges as its share of the rows calls for, and every file covers a narrow
+    range of patients.  Sampling computes the input a second time.
+    """
+    order = (spec.partition, spec.cluster, spec.time)
+    if tasks is None:
+        tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
+
+
+def append_table(records: DataFrame, spec: TableSpec, root: str, layout: str = "range",
+                 tasks: int | None = None) -> str:
+    """Append a table of records; returns where.
+
+    ``layout="rebalance"`` is for inputs that are costly to compute twice.
+    """
     path = f"{root.rstrip('/')}/{spec.name}"
-    (laid_out(stored_rows(records, spec), spec)
-     .write.mode("append").partitionBy(spec.partition).parquet(path))
+    rows = stored_rows(records, spec)
+    placed = ranged(rows, spec, tasks) if layout == "range" else rebalanced(rows, spec)
+    placed.write.mode("append").partitionBy(spec.partition).parquet(path)
     return path
 
 
@@ -44,7 +61,7 @@ def replace_batch(records: DataFrame, spec: TableSpec, root: str, writer: str,
     ``writer`` names the query; keep it with the query's checkpoint.
     """
     path = f"{root.rstrip('/')}/{spec.name}"
-    rows = (laid_out(stored_rows(records, spec), spec)
+    rows = (rebalanced(stored_rows(records, spec), spec)
             .withColumn("writer", F.lit(writer)).withColumn("batch_id", F.lit(batch_id)))
     (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("writer", "batch_id", spec.partition).parquet(path))

@@ -338,6 +338,21 @@ def test_replaced_batch_leaves_one_copy(spark, records, tmp_path):
     assert table.select("ts_day").distinct().count() == 11
 
 
+@pytest.mark.parametrize("layout", ["range", "rebalance"])
+def test_appended_rows_are_all_there(spark, records, tmp_path, layout):
+    """With most rows in one patient and one day."""
+    rows = [("hot", "HeartRate/Bpm", 86_400 + i, 10) for i in range(500)]
+    rows += [(f"p{i}", "HeartRate/Bpm", i * 40_000, 10) for i in range(30)]
+    frame = al.alerts(records(rows), normal_ranges(spark))
+    path = append_table(frame, ALERTS, str(tmp_path), layout)
+    back = spark.read.parquet(path)
+    assert sorted(r.id for r in back.select("id").collect()) == \
+        sorted(r.id for r in frame.select("id").collect())
+    if layout == "range":
+        hot = back.filter("patient_id = 'hot'").select(F.input_file_name()).distinct().count()
+        assert hot > 1
+
+
 def test_stored_columns(spark, records):
     aggregates = windows.aggregated_records(windows.patient_windows(records([("p", "u", 3700, 1)])))
     row = stored_rows(aggregates, AGGREGATED_RECORDS).first()
