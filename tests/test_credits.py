@@ -1,7 +1,6 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from pulseweave.dims import credit_caps, normal_ranges
 from pulseweave.operators.alerts import with_alert_flag
