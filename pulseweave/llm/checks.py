@@ -6,7 +6,7 @@ from pulseweave.llm.quality import LineLimits
 
 _LIMITS = LineLimits()
 
-_WORDS = r"list_filter(regexp_split_to_array({t}, '[\x20\x09-\x0D]+'), x -> x <> '')"
+_WORDS = r"list_filter(regexp_split_to_array({t}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 _NORMAL = (r"trim(regexp_replace(regexp_replace(lower({x}), '[\x20\x09-\x0D]+', ' ', 'g'),"
            r" '[0-9]+', '0', 'g'))")
 
@@ -21,7 +21,7 @@ grams AS (
 twice AS (SELECT r, i FROM (
   SELECT r, i, count(*) OVER (PARTITION BY r, g) AS n FROM grams) WHERE n > 1),
 covered AS (SELECT r, count(DISTINCT i + k) AS n FROM twice, range(3) AS o(k) GROUP BY r),
-worded AS (SELECT r, list_filter(lines, x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
+worded AS (SELECT r, list_filter(lines, lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
            FROM cut),
 rows_ AS (
   SELECT r, line, length(line) AS chars FROM (

@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,20 +28,28 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(31))
 
 
-@lru_cache(maxsize=1)
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    def run(base: int) -> np.ndarray:
-        steps = np.full(n, base, U64)
-        steps[0] = 1
-        return np.cumprod(steps, dtype=U64)
-    return run(BASE), run(INVERSE)
+class _Powers:
+    """Powers of the base and its inverse, kept per process and never sent to another."""
 
+    def __init__(self) -> None:
+        self.tables: tuple[np.ndarray, ...] = ()
 
-def _powers_for(n: int) -> tuple[np.ndarray, np.ndarray]:
-    size = SLICE
-    while size < n:
-        size *= 2
-    return _powers(size)
+    def __reduce__(self):
+        return _Powers, ()
+
+    def get(self, n: int) -> tuple[np.ndarray, ...]:
+        if not self.tables or len(self.tables[0]) < n:
+            size = SLICE
+            while size < n:
+                size *= 2
+            steps = np.empty((2, size), U64)
+            steps[0], steps[1] = U64(BASE), U64(INVERSE)
+            steps[:, 0] = 1
+            self.tables = tuple(np.cumprod(steps, axis=1, dtype=U64))
+        return self.tables
+
+
+_POWERS = _Powers()
 
 
 @dataclass
@@ -61,7 +68,7 @@ class Words:
     def hashes(self) -> np.ndarray:
         if not len(self.starts):
             return np.zeros(0, U64)
-        power, inverse = _powers_for(len(self.data))
+        power, inverse = _POWERS.get(len(self.data))
         sums = np.empty(len(self.data) + 1, U64)
         sums[0] = 0
         np.cumsum((self.data.astype(U64) + U64(1)) * power[:len(self.data)], out=sums[1:])
@@ -69,8 +76,13 @@ class Words:
         return mix(raw + (self.ends - self.starts).astype(U64) * U64(0xD6E8FEB86659FD93))
 
 
-def words_of(texts: pa.Array, lower: bool = False) -> Words:
-    """The words ``[^\\x20\\x09-\\x0D]+`` of every text; nulls have none."""
+#: Which bytes part words: the blanks, or every ASCII byte but letters and digits.
+BLANK = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+NOT_ALNUM = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
+
+
+def words_of(texts: pa.Array, lower: bool = False, parting: np.ndarray = BLANK) -> Words:
+    """The words of every text, ``[^\\x20\\x09-\\x0D]+`` by default; nulls have none."""
     texts = texts.fill_null("").cast(pa.large_string())
     _, bounds, values = texts.buffers()
     at = np.frombuffer(bounds, np.int64)[texts.offset:texts.offset + len(texts) + 1]
@@ -80,7 +92,7 @@ def words_of(texts: pa.Array, lower: bool = False) -> Words:
     if lower:
         data = data + ((data >= 65) & (data <= 90)).astype(np.uint8) * np.uint8(32)
     inside = np.ones(len(data) + 1, bool)
-    inside[:-1] = ~((data == 32) | ((data >= 9) & (data <= 13)))
+    inside[:-1] = ~parting[data]
     inside[-1] = False
     fresh = np.ones(len(data) + 1, bool)
     fresh[1:] = ~inside[:-1]
