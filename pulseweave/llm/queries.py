@@ -6,13 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pulseweave.llm import kd_shards, pseudonyms, quality, simhash
+from pulseweave.llm import (decontamination, kd_shards, line_dedup, lm_scoring, pseudonyms,
+                            quality, sentencepiece_backend, simhash)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 SHARDS = 24
 PSEUDONYM_KEY = "pulseweave-check"
+#: The default model file; ``op10`` and the pipeline's last stage read it on the driver.
+MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
 
 def query(function: Query) -> Query:
@@ -44,6 +47,25 @@ def op3_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "text", F.size("pii_kinds").cast("long").alias("n_values"), "pii_kinds")
 
 
+@query
+def op5_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    """Base and model score of every document."""
+    return lm_scoring.score(documents(spark, folder))
+
+
+@query
+def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines removed from every document, and a digest of the rest."""
+    return line_dedup.dedup_report(spark, documents(spark, folder))
+
+
+@query
+def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Benchmark items in every document, and whether it is contaminated."""
+    return decontamination.contamination(spark, documents(spark, folder),
+                                         benchmark(spark, folder))
+
+
 @query
 def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint and component of every document."""
@@ -54,3 +76,14 @@ def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
 def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Counts and verdict of every document."""
     return quality.judge(documents(spark, folder)).drop("lost_chars")
+
+
+def model_bytes(path: str = MODEL) -> bytes:
+    with open(path, "rb") as file:
+        return file.read()
+
+
+@query
+def op10_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    """Token ids of every document, parity with sentencepiece, and the round trip."""
+    return sentencepiece_backend.encode(documents(spark, folder), model_bytes())
