@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pulseweave.llm import (decontamination, kd_shards, line_dedup, lm_scoring, pseudonyms,
-                            quality, sentencepiece_backend, simhash)
+                            quality, sentencepiece_backend, simhash, substring_dedup)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -47,6 +47,12 @@ def op3_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "text", F.size("pii_kinds").cast("long").alias("n_values"), "pii_kinds")
 
 
+@query
+def op4_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Words removed from every document, and a digest of the rest."""
+    return substring_dedup.dedup_substrings(spark, documents(spark, folder)).drop("kept")
+
+
 @query
 def op5_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     """Base and model score of every document."""
