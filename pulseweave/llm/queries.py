@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pulseweave.llm import (decontamination, kd_shards, line_dedup, lm_scoring, pseudonyms,
-                            quality, sentencepiece_backend, simhash, substring_dedup)
+                            quality, secrets, sentencepiece_backend, simhash, substring_dedup)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -31,6 +31,12 @@ def benchmark(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/benchmark.parquet")
 
 
+@query
+def op1_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    """Spans of secrets in every document."""
+    return secrets.scan_secrets(spark, documents(spark, folder))
+
+
 @query
 def op2_kd_shards(spark: SparkSession, folder: str) -> DataFrame:
     """Every document in one of 24 shards of near-equal bytes."""
