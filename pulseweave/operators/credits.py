@@ -3,12 +3,16 @@
 A session lasts a number of records, its credits.  Each new session is granted
 one more record than the one before, up to the unit's cap.  An alert takes one
 record off the next grant and halves what is left of the running session.
+
+One rule for odd records in the closed form, the scan with alerts and the stream:
+a record without patient, unit or moment belongs to no series and is left out; a
+record without value counts, as one whose value is NaN, and NaN takes over its
+session's average, minimum and maximum.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -27,10 +31,19 @@ SCAN_SCHEMA = (
     "last_us bigint, n_records bigint, avg_value double, min_value double, "
     "max_value double"
 )
-_SCANNED = pa.schema([
-    ("patient_id", pa.string()), ("unit", pa.string()), ("session_id", pa.int64()),
-    ("first_us", pa.int64()), ("last_us", pa.int64()), ("n_records", pa.int64()),
-    ("avg_value", pa.float64()), ("min_value", pa.float64()), ("max_value", pa.float64())])
+
+
+def in_series(records: DataFrame) -> DataFrame:
+    """Records that belong to a series, with NaN for no value."""
+    known = F.col("patient_id").isNotNull() & F.col("unit").isNotNull() & F.col("ts").isNotNull()
+    return records.filter(known).withColumn("value", F.coalesce("value", F.lit(float("nan"))))
+
+
+def _value_aggregates() -> list[Column]:
+    """Average, minimum and maximum of a session; NaN takes over each of them."""
+    lowest = F.when(F.bool_or(F.isnan("value")), F.lit(float("nan"))).otherwise(F.min("value"))
+    return [F.avg("value").alias("avg_value"), lowest.alias("min_value"),
+            F.max("value").alias("max_value")]
 
 
 def with_caps(records: DataFrame, caps: DataFrame, default_cap: int = DEFAULT_CAP) -> DataFrame:
@@ -61,7 +74,7 @@ def session_length(number: Column, cap: Column) -> Column:
 def with_session_id(records: DataFrame, caps: DataFrame, default_cap: int = DEFAULT_CAP,
                     slot: str = "1 hour") -> DataFrame:
     """Records with the 1-based id of their credit session, without alerts."""
-    placed = with_caps(with_position(records, KEYS, slot), caps, default_cap)
+    placed = with_caps(with_position(in_series(records), KEYS, slot), caps, default_cap)
     number = session_number(F.col("position"), F.col("max_credits"))
     return placed.withColumn("session_id", number + 1)
 
@@ -73,8 +86,7 @@ def credit_sessions(records: DataFrame, caps: DataFrame, default_cap: int = DEFA
     full = session_length(F.col("session_id") - 1, F.col("max_credits"))
     return (numbered.groupBy(*KEYS, "session_id", "max_credits")
             .agg(F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"),
-                 F.count("*").alias("n_records"), F.avg("value").alias("avg_value"),
-                 F.min("value").alias("min_value"), F.max("value").alias("max_value"))
+                 F.count("*").alias("n_records"), *_value_aggregates())
             .filter(F.col("n_records") == full)
             .drop("max_credits"))
 
@@ -112,9 +124,9 @@ class SessionScan:
             self.first_us = us
         self.n += 1
         self.total += value
-        if value < self.lowest:
+        if value < self.lowest or value != value:
             self.lowest = value
-        if value > self.highest:
+        if value > self.highest or value != value:
             self.highest = value
         self.credits -= 1
         if self.credits > 0:
@@ -166,72 +178,6 @@ def session_ends(alert_at: list[int], n: int, credits: int, grant: int, cap: int
     return ends, credits, grant
 
 
-class _OpenSession(NamedTuple):
-    """The part of a session seen in earlier Arrow batches."""
-
-    n: int = 0
-    total: float = 0.0
-    lowest: float = 0.0
-    highest: float = 0.0
-    first_us: int = 0
-
-
-def _scan_series(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sessions of whole series that arrive sorted, in constant memory.
-
-    A series may run over any number of Arrow batches.  Each batch is cut into
-    sessions first and aggregated by array operations over all of them.
-    """
-    current, state, part = None, start_state(), _OpenSession()
-    for batch in batches:
-        if batch.num_rows == 0:
-            continue
-        alert_rows = np.flatnonzero(values_of(batch, "is_alert"))
-        starts, closed, ids = [], [], []
-        carries_on = False
-        for start, end in runs(batch, KEYS):
-            key = key_at(batch, KEYS, start)
-            if key != current:
-                current, state = key, start_state()
-            elif start == 0:
-                carries_on = True
-            session_id, credits, grant = state
-            low, high = np.searchsorted(alert_rows, (start, end))
-            ends, credits, grant = session_ends(
-                (alert_rows[low:high] - start).tolist(), end - start, credits, grant,
-                *key_at(batch, CAPS, start))
-            starts.append(start)
-            starts += [start + e + 1 for e in ends]
-            closed += [True] * len(ends)
-            ids += range(session_id, session_id + len(ends))
-            if starts[-1] == end:
-                starts.pop()
-            else:
-                closed.append(False)
-                ids.append(session_id + len(ends))
-            state = (session_id + len(ends), credits, grant)
-        at = np.asarray(starts)
-        until = np.append(at[1:], batch.num_rows) - 1
-        us, values = values_of(batch, "us"), values_of(batch, "value")
-        first_us, last_us, counts = us[at], us[until], until - at + 1
-        totals, lows, highs = (f.reduceat(values, at)
-                               for f in (np.add, np.minimum, np.maximum))
-        if carries_on and part.n:
-            first_us[0] = part.first_us
-            counts[0] += part.n
-            totals[0] += part.total
-            lows[0], highs[0] = min(lows[0], part.lowest), max(highs[0], part.highest)
-        part = _OpenSession() if closed[-1] else _OpenSession(
-            int(counts[-1]), float(totals[-1]), float(lows[-1]), float(highs[-1]),
-            int(first_us[-1]))
-        full = np.flatnonzero(closed)
-        if len(full):
-            keys = [batch.column(name).take(pa.array(at[full])) for name in KEYS]
-            numbers = (np.asarray(ids), first_us, last_us, counts, totals / counts, lows, highs)
-            yield pa.RecordBatch.from_arrays(
-                keys + [pa.array(column[full]) for column in numbers], schema=_SCANNED)
-
-
 def _inputs(flagged: DataFrame, caps: DataFrame, default_cap: int, *extra: str) -> DataFrame:
     return with_caps(flagged, caps, default_cap).select(
         *KEYS, F.unix_micros("ts").alias("us"), "value", "is_alert",
@@ -240,57 +186,30 @@ def _inputs(flagged: DataFrame, caps: DataFrame, default_cap: int, *extra: str)
 
 def credit_sessions_with_alerts(flagged: DataFrame, caps: DataFrame,
                                 default_cap: int = DEFAULT_CAP,
-                                long_series: DataFrame | None = None,
                                 slot: str = "1 hour") -> DataFrame:
     """Full credit sessions of a table whose records carry ``is_alert``.
 
-    A record is counted before the alert it raises.  Series are independent, so
-    records are shuffled by series, sorted, and scanned once with constant
-    memory.  Series listed in ``long_series`` (see ``find_long_series``) are too
-    long for one task and are scanned in time slots in parallel, with the same
-    result.
-    """
-    rows = _inputs(flagged, caps, default_cap)
-    order = [*KEYS, "us", "value"]
-    ordinary = rows if long_series is None else rows.join(long_series, KEYS, "left_anti")
-    scanned = (ordinary.repartition(*KEYS).sortWithinPartitions(*order)
-               .mapInArrow(_scan_series, SCAN_SCHEMA))
-    if long_series is not None:
-        scanned = scanned.unionByName(
-            _long_series_sessions(rows.join(long_series, KEYS, "left_semi"), slot))
-    return with_moments(scanned)
-
-
-def find_long_series(records: DataFrame, keys: list[str] = KEYS,
-                     long_rows: int = 5_000_000, limit: int = 10_000) -> DataFrame | None:
-    """The series with more than ``long_rows`` records, or None if there are none.
-
-    This runs one job over the key columns; counts are combined map-side.  Up to
-    ``limit`` series the answer is a local table, small enough to broadcast by
-    construction; beyond that it stays a distributed table joined by shuffle.
+    A record is counted before the alert it raises.  Every series is cut into time
+    slots, which are scanned in parallel, so a series that holds a large share of
+    all records spreads over its slots.
     """
-    found = (records.groupBy(*keys).agg(F.count("*").alias("n"))
-             .filter(F.col("n") > long_rows).select(*keys))
-    rows = found.limit(limit + 1).collect()
-    if not rows:
-        return None
-    if len(rows) > limit:
-        return found
-    local = records.sparkSession.createDataFrame(rows, found.schema)
-    return F.broadcast(local)
-
-
-# --- long series ---------------------------------------------------------------
+    rows = _inputs(in_series(flagged), caps, default_cap)
+    return with_moments(_sessions_by_slot(rows, slot))
+
+
+# --- slots -----------------------------------------------------------------------
 #
 # (credits left, next grant) takes only cap * (cap + 1) values, so what a time
 # slot does to a series is a table: for every state at the slot's start, the
 # state at its end and how many sessions were closed.  Slots compute their
 # tables in parallel; following the tables slot by slot gives the state each
 # slot starts with; then all slots are scanned in parallel from those states.
-# A slot of few records is passed on as its alert flags instead, one byte per
-# record, which is smaller than its table.
+# What a slot hands on is the smaller of two encodings of the same effect: its
+# alert flags, one byte per record, or its table.  Both give the same states.
+
+def _table_bytes(cap: int) -> int:
+    return cap * (cap + 1) * 3 * 8
 
-FEW_RECORDS = 256
 
 def _all_states(cap: int) -> tuple[np.ndarray, np.ndarray]:
     grants, credits = np.meshgrid(np.arange(1, cap + 1), np.arange(0, cap + 1))
@@ -360,7 +279,7 @@ class SlotSummary:
     def feed(self, flags: np.ndarray) -> None:
         if self.effect is None:
             self.flags += flags.astype(np.uint8).tobytes()
-            if len(self.flags) <= FEW_RECORDS:
+            if len(self.flags) <= _table_bytes(self.cap):
                 return
             self.effect, flags = SlotEffect(self.cap, self.floor), self.flags
         for flag in flags:
@@ -427,19 +346,21 @@ def _slot_entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _number_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Session of each record of a slot, from the slot's entry state."""
-    current, state = None, start_state()
+    """Session of each record of a slot; the slot's entry state is its first row."""
+    state = start_state()
     for batch in batches:
         n = batch.num_rows
         if n == 0:
             continue
+        is_entry = values_of(batch, "is_entry")
         alert_rows = np.flatnonzero(values_of(batch, "is_alert"))
         closes, ids = np.zeros(n, dtype=bool), np.zeros(n, dtype=np.int64)
         for start, end in runs(batch, _SLOT):
-            key = key_at(batch, _SLOT, start)
-            if key != current:
-                current = key
+            if is_entry[start]:
                 state = key_at(batch, ["session_id", "credits", "grant"], start)
+                start += 1
+            if start == end:
+                continue
             session_id, credits, grant = state
             low, high = np.searchsorted(alert_rows, (start, end))
             ends, credits, grant = session_ends(
@@ -451,26 +372,34 @@ def _number_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         kept = [batch.column(name) for name in (*KEYS, "us", "value")]
         yield pa.RecordBatch.from_arrays(
             [*kept, pa.array(ids), pa.array(closes)],
-            names=[*KEYS, "us", "value", "session_id", "closes"])
+            names=[*KEYS, "us", "value", "session_id", "closes"]).filter(pa.array(~is_entry))
 
 
-def _long_series_sessions(rows: DataFrame, slot: str) -> DataFrame:
+def _sessions_by_slot(rows: DataFrame, slot: str) -> DataFrame:
     slotted = rows.withColumn("slot", slot_start(F.timestamp_micros("us"), slot))
-    sorted_slots = (slotted.repartition(*KEYS, "slot")
-                    .sortWithinPartitions(*KEYS, "slot", "us", "value"))
-    effects = sorted_slots.mapInArrow(_slot_effects, _EFFECT_SCHEMA)
-    entries = (effects.repartition(*KEYS).sortWithinPartitions(*KEYS, "slot")
+    effects = (slotted.select(*_SLOT, "us", "value", "is_alert", *CAPS)
+               .repartition(*_SLOT).sortWithinPartitions(*_SLOT, "us", "value")
+               .mapInArrow(_slot_effects, _EFFECT_SCHEMA))
+    entries = (effects.repartition(*KEYS).sortWithinPartitions(*_SLOT)
                .mapInArrow(_slot_entries, _ENTRY_SCHEMA))
-    numbered = (slotted.join(entries, [*KEYS, "slot"])
-                .repartition(*KEYS, "slot")
-                .sortWithinPartitions(*KEYS, "slot", "us", "value")
+    # A slot's entry state travels as one more row of the slot, in front of its
+    # records: one shuffle brings both to one task, whatever the sizes.
+    state = ["session_id", "credits", "grant"]
+    records = slotted.select(*_SLOT, F.lit(False).alias("is_entry"), "us", "value", "is_alert",
+                             *CAPS, F.lit(0).cast("bigint").alias("session_id"),
+                             F.lit(0).alias("credits"), F.lit(0).alias("grant"))
+    states = entries.select(*_SLOT, F.lit(True).alias("is_entry"),
+                            F.lit(0).cast("bigint").alias("us"), F.lit(0.0).alias("value"),
+                            F.lit(False).alias("is_alert"), F.lit(0).alias(CAPS[0]),
+                            F.lit(0).alias(CAPS[1]), *state)
+    numbered = (records.unionByName(states).repartition(*_SLOT)
+                .sortWithinPartitions(*_SLOT, F.desc("is_entry"), "us", "value")
                 .mapInArrow(_number_records,
                              "patient_id string, unit string, us bigint, value double, "
                              "session_id bigint, closes boolean"))
     # A session may span slots; its last record says whether it was full.
     return (numbered.groupBy(*KEYS, "session_id")
             .agg(F.min("us").alias("first_us"), F.max("us").alias("last_us"),
-                 F.count("*").alias("n_records"), F.avg("value").alias("avg_value"),
-                 F.min("value").alias("min_value"), F.max("value").alias("max_value"),
+                 F.count("*").alias("n_records"), *_value_aggregates(),
                  F.bool_or("closes").alias("full"))
             .filter("full").drop("full"))

@@ -209,25 +209,21 @@ def credit_sessions(spark: SparkSession, folder: str) -> DataFrame:
     return _ms(_rounded(found, "avg_value"), "first_ts", "last_ts")
 
 
-def _credit_sessions_with_alerts(spark: SparkSession, folder: str,
-                                 long_rows: int | None) -> DataFrame:
-    records = _records(spark, folder)
-    long_series = None if long_rows is None else credits.find_long_series(
-        records, long_rows=long_rows)
+def _credit_sessions_with_alerts(spark: SparkSession, folder: str, slot: str) -> DataFrame:
     found = credits.credit_sessions_with_alerts(
-        _flagged(records), credit_caps(spark, s.CAPS), long_series=long_series, slot="7 days")
+        _flagged(_records(spark, folder)), credit_caps(spark, s.CAPS), slot=slot)
     return _ms(_rounded(found, "avg_value"), "first_ts", "last_ts")
 
 
 @query
 def credit_sessions_alerts(spark: SparkSession, folder: str) -> DataFrame:
-    return _credit_sessions_with_alerts(spark, folder, 5_000_000)
+    return _credit_sessions_with_alerts(spark, folder, "30 days")
 
 
 @query
 def credit_sessions_alerts_long(spark: SparkSession, folder: str) -> DataFrame:
-    """The same, with every series above 15 records split into time slots."""
-    return _credit_sessions_with_alerts(spark, folder, 15)
+    """The same over shorter slots, so that sessions span several of them."""
+    return _credit_sessions_with_alerts(spark, folder, "7 days")
 
 
 # --- drift --------------------------------------------------------------------------

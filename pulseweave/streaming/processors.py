@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from pulseweave.operators.credits import KEYS, SessionScan, with_caps, with_moments
+from pulseweave.operators.credits import KEYS, SessionScan, in_series, with_caps, with_moments
 from pulseweave.operators.credits import SCAN_SCHEMA as SESSION_ROWS
 from pulseweave.operators.drift import (SCAN_COLUMNS, SCAN_SCHEMA, STATE_SCHEMA, DriftCall,
                                         DriftWindow, _drift_rows, _series_rows)
@@ -76,9 +76,10 @@ def stream_credit_sessions(flagged: DataFrame, caps: DataFrame, alerts: DataFram
     rows = flagged
     if "is_alert" not in rows.columns:
         rows = rows.withColumn("is_alert", F.lit(False))
-    rows = rows.select(*KEYS, "ts", "value", "is_alert", F.lit(RECORD).alias("kind"))
+    rows = in_series(rows).select(*KEYS, "ts", "value", "is_alert", F.lit(RECORD).alias("kind"))
     if alerts is not None:
-        rows = rows.unionByName(alerts.select(
+        known = [F.col(c).isNotNull() for c in (*KEYS, "ts")]
+        rows = rows.unionByName(alerts.filter(known[0] & known[1] & known[2]).select(
             *KEYS, "ts", F.lit(0.0).alias("value"), F.lit(False).alias("is_alert"),
             F.lit(ALERT).alias("kind")))
     inputs = with_caps(rows, caps).withColumn("us", F.unix_micros("ts")).drop("ts")
@@ -121,7 +122,7 @@ def sessionized_records(flagged: DataFrame, caps: DataFrame) -> DataFrame:
     rows = flagged
     if "is_alert" not in rows.columns:
         rows = rows.withColumn("is_alert", F.lit(False))
-    return with_caps(rows, caps).groupBy(*KEYS).transformWithStateInPandas(
+    return with_caps(in_series(rows), caps).groupBy(*KEYS).transformWithStateInPandas(
         NumberBySession(),
         outputStructType="patient_id string, unit string, ts timestamp, value double, "
                          "session_id bigint",

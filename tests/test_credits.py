@@ -1,11 +1,13 @@
 import random
 
+import numpy as np
 import pytest
 
 from pulseweave.dims import credit_caps, normal_ranges
 from pulseweave.operators.alerts import with_alert_flag
 from pulseweave.operators.credits import (SessionScan, SlotEffect, credit_sessions,
-                                          credit_sessions_with_alerts, find_long_series, session_ends)
+                                          SlotSummary, _table_bytes, credit_sessions_with_alerts,
+                                          session_ends, _advance, _state_index)
 
 
 def lengths(cap, n, alerts=()):
@@ -71,29 +73,64 @@ def test_scan_with_alerts(spark, records):
 
 
 @pytest.mark.parametrize("slot", ["1 minute", "10 minutes", "1 hour"])
-def test_long_series_are_split_with_the_same_result(spark, records, slot):
+def test_a_dominant_series_spreads_over_its_slots(spark, records, slot):
     rows = rows_of(300) + [("busy", "HeartRate/Bpm", i * 3.0, 70.0 + i % 60) for i in range(3000)]
-    frame = records(rows)
-    flagged = with_alert_flag(frame, normal_ranges(spark))
-    long_series = find_long_series(frame, long_rows=1000)
-    assert [r.patient_id for r in long_series.collect()] == ["busy"]
-    found = credit_sessions_with_alerts(flagged, credit_caps(spark), long_series=long_series,
-                                        slot=slot)
-    assert collected(found) == expected(rows, True)
-
-
-def test_many_long_series_fall_back_to_a_shuffled_join(spark, records):
-    rows = rows_of(50)
-    frame = records(rows)
-    flagged = with_alert_flag(frame, normal_ranges(spark))
-    long_series = find_long_series(frame, long_rows=10, limit=3)
-    found = credit_sessions_with_alerts(flagged, credit_caps(spark), long_series=long_series,
-                                        slot="1 minute")
+    flagged = with_alert_flag(records(rows), normal_ranges(spark))
+    found = credit_sessions_with_alerts(flagged, credit_caps(spark), slot=slot)
     assert collected(found) == expected(rows, True)
 
 
-def test_no_long_series(records):
-    assert find_long_series(records(rows_of(5)), long_rows=1000) is None
+@pytest.mark.parametrize("cap", [1, 2, 6])
+def test_both_encodings_of_a_slot_have_one_effect(cap):
+    rng = random.Random(cap)
+    n = _table_bytes(cap) + 1
+    flags = np.array([rng.random() < 0.1 for _ in range(n)])
+    short, long = SlotSummary(cap, 1), SlotSummary(cap, 1)
+    short.feed(flags[:-1])
+    long.feed(flags)
+    assert short.row()[3] is None and long.row()[2] is None
+    table = np.frombuffer(long.row()[3], dtype=np.int64).reshape(-1, 3)
+    for credits in range(cap + 1):
+        for grant in range(1, cap + 1):
+            walked = _advance((1, credits, grant), flags.astype(np.uint8).tobytes(), cap, 1)
+            found = table[_state_index(credits, grant, cap)]
+            assert walked == (1 + found[2], found[0], found[1])
+
+
+def odd_rows(seed):
+    rng = random.Random(seed)
+    odd = [None, float("nan"), 70.0, 200.0, 100.0, 100.0]
+    return [(p, "HeartRate/Bpm" if u else None, None if rng.random() < 0.05 else i,
+             rng.choice(odd)) for p, u in (("p", 1), (None, 1), ("q", 0), ("busy", 1))
+            for i in range(150 if p != "busy" else 900)]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_one_rule_for_null_and_nan(spark, seed):
+    rows = odd_rows(seed)
+    frame = spark.createDataFrame(rows, "patient_id string, unit string, sec int, value double") \
+        .selectExpr("patient_id", "unit", "timestamp_seconds(sec) AS ts", "value")
+    key = lambda r: tuple("nan" if v != v else v for v in r)
+    plain, with_flags = [], []
+    for out, raises in ((plain, False), (with_flags, True)):
+        for p in ("busy", "p"):
+            scan = SessionScan(20, 1)
+            ordered = sorted(((r[2], float("inf") if r[3] is None or r[3] != r[3] else r[3])
+                              for r in rows if r[0] == p and r[1] and r[2] is not None))
+            for sec, value in ordered:
+                value = float("nan") if value == float("inf") else value
+                done = scan.step(sec, value)
+                if done:
+                    out.append(key((p, *done[:4], round(done[4], 6), *done[5:])))
+                if raises and value == 200.0:
+                    scan.alert()
+    flagged = frame.withColumn("is_alert", frame.value == 200.0).na.fill(False, ["is_alert"])
+    closed_form = credit_sessions(frame, credit_caps(spark), slot="1 minute")
+    got = lambda f: sorted(key((*r[:1], *r[2:])) for r in collected(f))
+    assert got(closed_form) == sorted(plain)
+    for slot in ("1 minute", "1 day"):
+        assert got(credit_sessions_with_alerts(flagged, credit_caps(spark), slot=slot)) == \
+            sorted(with_flags)
 
 
 @pytest.mark.parametrize("cap", [1, 2, 5, 12])
