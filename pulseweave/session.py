@@ -52,7 +52,8 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder all nodes share")
         root = tempfile.mkdtemp(prefix="pulseweave-")
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -1,13 +1,23 @@
-"""Time-partitioned tables."""
+"""Time-partitioned tables.
+
+All writers share one layout: the time partition first, below it who wrote
+(``writer``) and which batch (``batch_id``).  Appends, replaced micro-batches and
+streams may therefore write to one table at the same time, every reader sees all
+of them, and a batch that is written again replaces itself and nothing else.
+"""
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, functions as F
+import uuid
+from urllib.parse import unquote
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pulseweave.operators.patients import distinct_patients, new_patients
 from pulseweave.schemas import TableSpec
 
+BATCH = ["writer", "batch_id"]
+
 
 def stored_rows(records: DataFrame, spec: TableSpec) -> DataFrame:
     """Record columns under their stored names, plus the partition column."""
@@ -39,16 +49,23 @@ def ranged(rows: DataFrame, spec: TableSpec, tasks: int | None = None) -> DataFr
     return rows.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
 
 
-def append_table(records: DataFrame, spec: TableSpec, root: str, layout: str = "range",
+def _write(rows: DataFrame, spec: TableSpec, path: str, writer: str, batch_id: int) -> None:
+    (rows.withColumn("writer", F.lit(writer)).withColumn("batch_id", F.lit(batch_id))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(spec.partition, *BATCH).parquet(path))
+
+
+def append_table(records: DataFrame, spec: TableSpec, root: str, layout: str = "rebalance",
                  tasks: int | None = None) -> str:
     """Append a table of records; returns where.
 
-    ``layout="rebalance"`` is for inputs that are costly to compute twice.
+    ``layout="range"`` makes files of narrow patient ranges, for inputs that are
+    cheap to compute twice.
     """
     path = f"{root.rstrip('/')}/{spec.name}"
     rows = stored_rows(records, spec)
     placed = ranged(rows, spec, tasks) if layout == "range" else rebalanced(rows, spec)
-    placed.write.mode("append").partitionBy(spec.partition).parquet(path)
+    _write(placed, spec, path, f"append-{uuid.uuid4().hex}", 0)
     return path
 
 
@@ -56,32 +73,78 @@ def replace_batch(records: DataFrame, spec: TableSpec, root: str, writer: str,
                   batch_id: int) -> str:
     """Write one micro-batch; writing it again replaces it.
 
-    The batch has its own directories (writer, batch), and only those are
-    overwritten, so a retry after a failure leaves neither gaps nor copies.
-    ``writer`` names the query; keep it with the query's checkpoint.
+    Only the directories of this writer and batch are overwritten, so a retry
+    after a failure leaves neither gaps nor copies.  ``writer`` names the query;
+    keep it with the query's checkpoint.
     """
     path = f"{root.rstrip('/')}/{spec.name}"
-    rows = (rebalanced(stored_rows(records, spec), spec)
-            .withColumn("writer", F.lit(writer)).withColumn("batch_id", F.lit(batch_id)))
-    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("writer", "batch_id", spec.partition).parquet(path))
+    _write(rebalanced(stored_rows(records, spec), spec), spec, path, writer, batch_id)
     return path
 
 
+def read_stored(spark: SparkSession, spec: TableSpec, root: str) -> DataFrame:
+    """The rows of a table, whoever wrote them."""
+    return spark.read.parquet(f"{root.rstrip('/')}/{spec.name}").drop(*BATCH)
+
+
+def _file_system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def compact(spark: SparkSession, spec: TableSpec, root: str, before: str) -> int:
+    """Rewrite each time partition before ``before`` ('yyyy-MM-dd HH:mm:ss') that has
+    several batches as one; returns how many.
+
+    For closed partitions: nothing may write to or read from them meanwhile.  The new
+    files are complete in a folder beside the table before they take the place of
+    the old ones.
+    """
+    path = f"{root.rstrip('/')}/{spec.name}"
+    files, table = _file_system(spark, path)
+    closed = []
+    for entry in files.listStatus(table):
+        name = entry.getPath().getName()
+        if not name.startswith(f"{spec.partition}=") or unquote(name.split("=", 1)[1]) >= before:
+            continue
+        batches = sum(len(files.listStatus(w.getPath()))
+                      for w in files.listStatus(entry.getPath()) if w.isDirectory())
+        if batches > 1:
+            closed.append(name)
+    for name in closed:
+        staged = f"{root.rstrip('/')}/_compact/{spec.name}-{uuid.uuid4().hex}"
+        rows = spark.read.parquet(f"{path}/{name}").drop(*BATCH)
+        (rows.hint("rebalance").sortWithinPartitions(spec.cluster, spec.time)
+         .write.parquet(f"{staged}/writer=compact/batch_id=0"))
+        old = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}")
+        files.delete(old, True)
+        files.rename(spark._jvm.org.apache.hadoop.fs.Path(staged), old)
+    return len(closed)
+
+
 def add_new_patients(records: DataFrame, root: str) -> int:
     """Append ids that the ``patient_ids`` table lacks; returns how many.
 
     One writer at a time: run it from a single query.  Run again on the same
     records it adds nothing.  The table is only read when there are records.
     """
-    if records.isEmpty():
-        return 0
     spark = records.sparkSession
     path = f"{root.rstrip('/')}/patient_ids"
+    ids = distinct_patients(records).persist()
     try:
-        found = new_patients(records, spark.read.schema("patient_id string").parquet(path))
-    except AnalysisException:  # no table yet
-        found = distinct_patients(records)
-    seen = Observation()
-    (found.observe(seen, F.count("*").alias("n")).write.mode("append").parquet(path))
-    return int(seen.get["n"])
+        if ids.isEmpty():
+            return 0
+        files, table = _file_system(spark, path)
+        found = ids
+        if files.exists(table):
+            found = new_patients(ids, spark.read.schema("patient_id string").parquet(path))
+        found = found.persist()
+        try:
+            added = found.count()
+            if added:
+                found.write.mode("append").parquet(path)
+            return added
+        finally:
+            found.unpersist()
+    finally:
+        ids.unpersist()

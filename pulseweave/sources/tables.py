@@ -13,7 +13,8 @@ EVENTS_SCHEMA = (
 
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{root.rstrip('/')}/{name}")
+    """The rows of a stored table, without who wrote them."""
+    return spark.read.parquet(f"{root.rstrip('/')}/{name}").drop("writer", "batch_id")
 
 
 def known_patients(spark: SparkSession, root: str) -> DataFrame:

@@ -2,36 +2,49 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from pulseweave.operators.patients import distinct_patients
 from pulseweave.schemas import TableSpec
-from pulseweave.sinks.tables import add_new_patients, replace_batch, stored_rows
+from pulseweave.sinks.tables import add_new_patients, replace_batch
 
 Target = Callable[[DataFrame, int], None]
 
 
 @dataclass
 class Accepted:
-    """How many rows the batches of a sink held, and how many patients were new."""
+    """How many rows a sink's batches held, and how many patients were new.
+
+    Running totals; a batch that is tried again is not counted again.
+    """
 
     rows: int = 0
     new_patients: int = 0
-    per_batch: dict[int, int] = field(default_factory=dict)
+    batches: int = 0
+    last_batch: int = -1
+
+    def add(self, batch_id: int, rows: int) -> None:
+        if batch_id > self.last_batch:
+            self.rows += rows
+            self.batches += 1
+            self.last_batch = batch_id
 
 
 def table_stream(records: DataFrame, spec: TableSpec, root: str, checkpoint: str,
-                 trigger: dict | None = None) -> StreamingQuery:
-    """Append to a partitioned table with the file sink, which is exactly-once."""
-    return (stored_rows(records, spec).writeStream.format("parquet")
-            .partitionBy(spec.partition).outputMode("append")
-            .option("path", f"{root.rstrip('/')}/{spec.name}")
-            .option("checkpointLocation", checkpoint)
-            .trigger(**(trigger or {"processingTime": spec.trigger})).start())
+                 trigger: dict | None = None, writer: str | None = None) -> StreamingQuery:
+    """Append to a partitioned table; a batch that is tried again replaces itself.
+
+    ``writer`` names the query in the table and has to stay the same over
+    restarts; by default it follows from the checkpoint's place.
+    """
+    name = writer or f"stream-{hashlib.md5(checkpoint.encode()).hexdigest()[:12]}"
+    return fan_out(records, {"table": table_target(spec, root, name)}, {}, checkpoint,
+                   trigger or {"processingTime": spec.trigger})
 
 
 def table_target(spec: TableSpec, root: str, writer: str, patients: bool = False,
@@ -39,17 +52,16 @@ def table_target(spec: TableSpec, root: str, writer: str, patients: bool = False
     """A target that stores each micro-batch once, however often it is tried."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        counted = Observation()
-        replace_batch(batch.observe(counted, F.count("*").alias("n")), spec, root, writer,
-                      batch_id)
-        if accepted is not None:
-            accepted.per_batch[batch_id] = int(counted.get["n"])
-            accepted.rows = sum(accepted.per_batch.values())
-        if patients:
-            added = add_new_patients(batch, root)
+        rows = batch.count()
+        if rows:
+            replace_batch(batch, spec, root, writer, batch_id)
+            added = add_new_patients(batch, root) if patients else 0
             if accepted is not None:
                 accepted.new_patients += added
+        if accepted is not None:
+            accepted.add(batch_id, rows)
 
+    write.reads_again = True  # type: ignore[attr-defined]
     return write
 
 
@@ -90,19 +102,20 @@ def fan_out(records: DataFrame, targets: dict[str, Target], enabled: dict[str, b
             mode: str = "append") -> StreamingQuery:
     """Give each micro-batch to every enabled target.
 
-    The batch is cached while more than one target reads it, so the stream is
-    computed once per batch.
+    The batch is cached while it is read more than once, so the stream is computed
+    once per batch.
     """
     active = [t for name, t in targets.items() if enabled.get(name, True)]
+    keep = len(active) > 1 or any(getattr(t, "reads_again", False) for t in active)
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        if len(active) > 1:
+        if keep:
             batch = batch.persist()
         try:
             for target in active:
                 target(batch, batch_id)
         finally:
-            if len(active) > 1:
+            if keep:
                 batch.unpersist()
 
     writer: DataStreamWriter = (records.writeStream.outputMode(mode).foreachBatch(run)

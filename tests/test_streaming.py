@@ -195,7 +195,7 @@ def test_fan_out_to_tables_patients_and_notifications(spark, source, tmp_path):
     expected = al.alerts(records, ranges)
     stored = spark.read.parquet(f"{root}/alerts")
     assert stored.count() == accepted.rows == expected.count()
-    assert sorted(accepted.per_batch) == [0, 1, 2, 3, 4]
+    assert (accepted.batches, accepted.last_batch) == (5, 4)
     ids = spark.read.parquet(f"{root}/patient_ids")
     assert ids.count() == ids.distinct().count() == accepted.new_patients
     assert ids.count() == expected.select("patient_id").distinct().count()
@@ -259,3 +259,45 @@ def test_latency_stats(spark, source, tmp_path):
     found = rounded(run(meters.latency_stats(timed, "1 day"), tmp_path))
     table = rounded(rows(meters.latency_stats(arriving(records), "1 day")))
     assert found and set(found) <= set(table)
+
+
+@pytest.mark.parametrize("kept", [[0, 1], [1, 2], [0, 2], []])
+def test_batches_without_rows(spark, tmp_path, records, kept):
+    folder, root = str(tmp_path / "in"), str(tmp_path / "out")
+    for i in range(3):
+        value = 500.0 if i in kept else 100.0
+        records([("p", "HeartRate/Bpm", 1000 + 60 * i, value)]).coalesce(1).write.parquet(
+            f"{folder}/part{i}")
+    accepted = sinks.Accepted()
+    for n, frame in enumerate((
+            jobs.alert_job(stream(spark, folder, 1)),
+            jobs.alert_job(stream(spark, folder, 1)).dropDuplicates(["id"]))):
+        target = sinks.table_target(ALERTS, root, f"q{n}", patients=True, accepted=accepted)
+        query = sinks.fan_out(frame, {"t": target}, {}, str(tmp_path / f"check{n}"))
+        query.awaitTermination()
+        assert query.exception() is None
+        accepted.last_batch = -1
+    assert accepted.rows == 2 * len(kept) and accepted.new_patients == (1 if kept else 0)
+    if kept:
+        assert spark.read.parquet(f"{root}/alerts").count() == accepted.rows
+
+
+def test_writers_of_one_table(spark, source, tmp_path):
+    from pulseweave.sinks.tables import append_table, compact, read_stored, replace_batch
+
+    records, folder = source
+    ranges, root = normal_ranges(spark, RANGES), str(tmp_path / "out")
+    rows_ = al.alerts(records, ranges)
+    for i in range(2):
+        query = sinks.table_stream(jobs.alert_job(stream(spark, folder, 2), ranges), ALERTS, root,
+                                   str(tmp_path / f"check{i}"), {"availableNow": True})
+        query.awaitTermination()
+        append_table(rows_, ALERTS, root)
+        for _ in range(2):  # a retry
+            replace_batch(rows_, ALERTS, root, "batch", 7)
+    expected = sorted(r.id for r in rows_.collect())
+    assert sorted(r.id for r in read_stored(spark, ALERTS, root).collect()) == sorted(5 * expected)
+    days = rows_.selectExpr("date_trunc('day', ts) AS d").filter("d < '2024-01-20'").distinct()
+    assert compact(spark, ALERTS, root, "2024-01-20 00:00:00") == days.count()
+    assert sorted(r.id for r in read_stored(spark, ALERTS, root).collect()) == sorted(5 * expected)
+    assert compact(spark, ALERTS, root, "2024-01-20 00:00:00") == 0
