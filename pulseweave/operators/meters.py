@@ -56,7 +56,11 @@ def worst_per_window(records: DataFrame, size: str = "1 second",
 
 def latency_stats(records: DataFrame, size: str = "1 minute",
                   percentiles: Sequence[int] = PERCENTILES) -> DataFrame:
-    """max, min, mean and exact nearest-rank percentiles per arrival window."""
+    """max, min, mean and exact nearest-rank percentiles per arrival window.
+
+    Records without a latency (no moment or no arrival) are left out everywhere.
+    """
+    records = records.filter(F.col("ts").isNotNull() & F.col("arrival_ts").isNotNull())
     if records.isStreaming:
         ranks = [F.expr(f"percentile_disc({p / 100}) WITHIN GROUP (ORDER BY {LATENCY})")
                  .cast("bigint").alias(f"p{p}") for p in percentiles]

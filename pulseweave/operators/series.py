@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from pulseweave.functions.text import unit_label
 from pulseweave.functions.times import UNITS_US, slot_start
@@ -41,11 +41,18 @@ def chart_floor(aggregates: DataFrame) -> DataFrame:
             .agg(F.least(F.lit(HIGHEST_FLOOR), F.min("min_value")).alias("floor")))
 
 
-def since_latest(rows: DataFrame, latest_of: DataFrame) -> DataFrame:
-    """Rows at or after the latest time in ``latest_of``: an incremental read."""
+def since_latest(rows: DataFrame, latest_of: DataFrame, now: Column | str | None = None,
+                 default: str = "15 minutes") -> DataFrame:
+    """Rows at or after the latest time in ``latest_of``: an incremental read.
+
+    With nothing seen yet, the rows of the ``default`` range before ``now`` (the
+    present unless given).
+    """
     # A scalar subquery: evaluated first, then an ordinary filter on the scan.
     latest = latest_of.agg(F.max("ts")).scalar()
-    return rows.filter(F.col("ts") >= latest)
+    present = F.current_timestamp() if now is None else (
+        now if isinstance(now, Column) else F.lit(now).cast("timestamp"))
+    return rows.filter(F.col("ts") >= F.coalesce(latest, present - F.expr(f"INTERVAL {default}")))
 
 
 def chart_series(aggregates: DataFrame, alerts: DataFrame,

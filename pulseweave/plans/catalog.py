@@ -17,11 +17,17 @@ from pulseweave.operators import (alerts as al, batches, credits, drift, meters,
                                   patients, reads, routing, series, sessions, windows)
 from pulseweave.plans import settings as s
 from pulseweave.schemas import (AGGREGATED_RECORDS, ALERTS, DRIFT_ALERTS, GLOBAL_AVERAGES,
-                                TableSpec)
-from pulseweave.session import shared_dir
-from pulseweave.sinks.tables import append_table, stored_rows
+                                SENSOR_RECORD, TableSpec)
+from pulseweave.session import ROCKSDB_PROVIDER, shared_dir
+from pulseweave.sinks.tables import append_table, read_stored, replace_batch, stored_rows
 from pulseweave.sources.dimensions import parse_ranges
-from pulseweave.sources.tables import as_sensor_records, events, user_of, with_arrival
+from pulseweave.sources.tables import (EVENTS_SCHEMA, as_sensor_records, events, user_of,
+                                       with_arrival)
+from pulseweave.streaming.jobs import alert_job, file_stream, global_average_job, minute_job
+from pulseweave.streaming.processors import (stream_credit_sessions as stream_credits,
+                                             stream_drift as drift_stream)
+from pulseweave.streaming.sinks import (fan_out, notification_target, patient_stream,
+                                        table_stream, table_target)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -444,6 +450,13 @@ def incremental_read(spark: SparkSession, folder: str) -> DataFrame:
 
 # --- conversions and storage --------------------------------------------------------------
 
+@query
+def incremental_first_read(spark: SparkSession, folder: str) -> DataFrame:
+    """Nothing seen yet: the default range before now."""
+    records = _records(spark, folder)
+    return _ms(series.since_latest(records, records.limit(0), s.NOW, "7 days"), "ts")
+
+
 @query
 def uuid_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     records = _records(spark, folder)
@@ -475,3 +488,165 @@ def table_sink_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
                   "part", "first_ts")
         counts = one if counts is None else counts.unionByName(one)
     return counts
+
+
+@query
+def table_mixed_writers(spark: SparkSession, folder: str) -> DataFrame:
+    """An append, a batch that is written twice and a stream, all in one table."""
+    rows = _alerts(_records(spark, folder))
+    root = shared_dir(spark, "mixed")
+    append_table(rows, ALERTS, root)
+    for _ in range(2):
+        replace_batch(rows, ALERTS, root, "batch", 1)
+    incoming = as_sensor_records(file_stream(spark, EVENTS_SCHEMA, f"{folder}/event[s].parquet"))
+    run = table_stream(al.alerts(incoming, normal_ranges(spark, s.RANGES)), ALERTS, root,
+                       shared_dir(spark, "checkpoint"), {"availableNow": True})
+    run.awaitTermination()
+    stored = read_stored(spark, ALERTS, root)
+    return _ms(stored.groupBy("id", "ts", "patient_id", "u", "v")
+               .agg(F.count("*").alias("n")), "ts")
+
+
+# --- the settings of production streams ---------------------------------------------------
+
+@query
+def minutely_1m(spark: SparkSession, folder: str) -> DataFrame:
+    return _ms(_rounded(windows.patient_windows(_records(spark, folder)), "avg_value"), "ts")
+
+
+@query
+def global_averages_1m(spark: SparkSession, folder: str) -> DataFrame:
+    found = windows.global_averages(_records(spark, folder))
+    return _ms(_rounded(found.drop("end_ts"), "value"), "ts")
+
+
+@query
+def sessions_40s_70s(spark: SparkSession, folder: str) -> DataFrame:
+    return _sessions_out(sessions.all_sessions(_records(spark, folder), _classes(spark)))
+
+
+@query
+def latency_1s(spark: SparkSession, folder: str) -> DataFrame:
+    return _ms(meters.latency_per_window(_arrivals(spark, folder), "1 second"), "window_start")
+
+
+@query
+def throughput_5s(spark: SparkSession, folder: str) -> DataFrame:
+    return _ms(meters.record_throughput(_arrivals(spark, folder), "5 seconds"),
+               "window_start", "latest_ts")
+
+
+# --- streams --------------------------------------------------------------------------
+#
+# The events are laid out in time slices, which a file stream then reads one per
+# micro-batch until they are used up; each query returns what its stream stored.
+
+def _slices(spark: SparkSession, folder: str) -> str:
+    path = shared_dir(spark, "slices")
+    records = _records(spark, folder)
+    for i, (low, high) in enumerate(zip(s.SLICES, s.SLICES[1:])):
+        part = records.filter((F.col("ts") >= F.lit(low).cast("timestamp"))
+                              & (F.col("ts") < F.lit(high).cast("timestamp")))
+        part.coalesce(1).write.parquet(f"{path}/part{i}")
+    return path
+
+
+def _stream(spark: SparkSession, path: str) -> DataFrame:
+    if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != ROCKSDB_PROVIDER:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+    return file_stream(spark, SENSOR_RECORD, f"{path}/part*/*.parquet", 1)
+
+
+def _stored_stream(spark: SparkSession, rows: DataFrame, spec: TableSpec,
+                   mode: str = "append") -> DataFrame:
+    root = shared_dir(spark, "stream")
+    run = fan_out(rows, {"table": table_target(spec, root, "stream")}, {},
+                  shared_dir(spark, "checkpoint"), mode=mode)
+    run.awaitTermination()
+    return read_stored(spark, spec, root)
+
+
+def _kept_stream(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    """What an update-mode stream emits, batch by batch."""
+    root = shared_dir(spark, "stream")
+
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{root}/batch_id={batch_id}")
+
+    run = fan_out(rows, {"files": keep}, {}, shared_dir(spark, "checkpoint"), mode="update")
+    run.awaitTermination()
+    return spark.read.parquet(root).drop("batch_id")
+
+
+@query
+def stream_alerts(spark: SparkSession, folder: str) -> DataFrame:
+    incoming = _stream(spark, _slices(spark, folder))
+    found = _stored_stream(spark, alert_job(incoming, normal_ranges(spark, s.RANGES)), ALERTS)
+    return _ms(found.drop(ALERTS.partition), "ts")
+
+
+@query
+def stream_minutely(spark: SparkSession, folder: str) -> DataFrame:
+    incoming = _stream(spark, _slices(spark, folder))
+    found = _stored_stream(spark, minute_job(incoming, "1 day"), AGGREGATED_RECORDS)
+    return _ms(_rounded(found.drop(AGGREGATED_RECORDS.partition), "avg_v"), "ts")
+
+
+@query
+def stream_global_averages(spark: SparkSession, folder: str) -> DataFrame:
+    incoming = _stream(spark, _slices(spark, folder))
+    found = _stored_stream(spark, global_average_job(incoming, "1 hour"), GLOBAL_AVERAGES)
+    return _ms(_rounded(found.select(F.col("u").alias("unit"), "ts", F.col("v").alias("value")),
+                        "value"), "ts")
+
+
+@query
+def stream_credit_sessions(spark: SparkSession, folder: str) -> DataFrame:
+    """Records and their alerts as two streams."""
+    path = _slices(spark, folder)
+    ranges = normal_ranges(spark, s.RANGES)
+    raised = al.out_of_range(_stream(spark, path), ranges)
+    found = _kept_stream(spark, stream_credits(_stream(spark, path), credit_caps(spark, s.CAPS),
+                                               raised))
+    return _ms(_rounded(found, "avg_value"), "first_ts", "last_ts")
+
+
+@query
+def stream_drift(spark: SparkSession, folder: str) -> DataFrame:
+    incoming = _per_patient(_stream(spark, _slices(spark, folder)))
+    return _drifts_out(_kept_stream(spark, drift_stream(incoming, F.lit(True), "per_drift")))
+
+
+@query
+def stream_new_patients(spark: SparkSession, folder: str) -> DataFrame:
+    root = shared_dir(spark, "ids")
+    run = patient_stream(_stream(spark, _slices(spark, folder)), root,
+                         shared_dir(spark, "checkpoint"), trigger={"availableNow": True})
+    run.awaitTermination()
+    return spark.read.parquet(f"{root}/patient_ids")
+
+
+@query
+def stream_fan_out(spark: SparkSession, folder: str) -> DataFrame:
+    """Alerts to a table, the patients' table and notifications; one target is off."""
+    root = shared_dir(spark, "fan-out")
+    watched = _subscribers(_records(spark, folder))
+
+    def send(rows: DataFrame, batch_id: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{root}/sent/batch_id={batch_id}")
+
+    targets = {
+        "table": table_target(ALERTS, root, "alerts", patients=True),
+        "push": notification_target(notify.alert_events, lambda _: watched, send),
+        "off": table_target(ALERTS, root, "off"),
+    }
+    incoming = _stream(spark, _slices(spark, folder))
+    run = fan_out(alert_job(incoming, normal_ranges(spark, s.RANGES)), targets, {"off": False},
+                  shared_dir(spark, "checkpoint"))
+    run.awaitTermination()
+    counts = [read_stored(spark, ALERTS, root), spark.read.parquet(f"{root}/patient_ids"),
+              spark.read.parquet(f"{root}/sent")]
+    names = ["n_alerts", "n_patients", "n_sent"]
+    parts = [c.agg(F.count("*").alias(n)) for c, n in zip(counts, names)]
+    return parts[0].select(parts[0].n_alerts, parts[1].scalar().alias("n_patients"),
+                           parts[2].scalar().alias("n_sent"))

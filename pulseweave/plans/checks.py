@@ -195,12 +195,34 @@ def _stats(days: int) -> str:
         GROUP BY arrival_us // {width}""", "alert_rows")
 
 
-def _hourly(select: str, source: str = "sensor") -> str:
-    """Per arrival hour of records with their latency ``l``."""
+def _hourly(select: str, source: str = "sensor", width: int = HOUR) -> str:
+    """Per arrival hour (or ``width``) of records with their latency ``l``."""
     return _with(f"""
-        SELECT {_floor("arrival_us", str(HOUR))} AS window_start, {select}
+        SELECT {_floor("arrival_us", str(width))} AS window_start, {select}
         FROM (SELECT *, arrival_us // 1000 - us // 1000 AS l FROM {source}) AS x
-        GROUP BY arrival_us // {HOUR}""", source)
+        GROUP BY arrival_us // {width}""", source)
+
+
+def _throughput(width: int) -> str:
+    return f"""
+        SELECT window_start, n_records, latest_us // 1000 AS latest_ts,
+               window_start + {width // 1000} - latest_us // 1000 AS latest_latency
+        FROM (SELECT window_start, n_records, max(top) OVER (ORDER BY window_start) AS latest_us
+              FROM ({_hourly("count(*) AS n_records, max(us) AS top", width=width)}) AS h) AS x"""
+
+
+def _averages(width: int, where: str = "TRUE") -> str:
+    return _with(f"""
+        SELECT unit, {_floor("us", str(width))} AS ts, round(avg(value), 9) AS value
+        FROM sensor WHERE {where} GROUP BY unit, us // {width}""", "sensor")
+
+
+def _per_patient(width: int) -> str:
+    return _with(f"""
+        SELECT patient_id, unit, {_floor("us", str(width))} AS ts,
+               round(avg(value), 9) AS avg_value, min(value) AS min_value,
+               max(value) AS max_value, count(*) AS n_records
+        FROM sensor GROUP BY patient_id, unit, us // {width}""", "sensor")
 
 
 _NOTIFY_GROUPS = f"""
@@ -342,11 +364,7 @@ CHECKS: dict[str, str] = {
         max(l) AS latency_ms, arg_max(us // 1000, (l, us, patient_id, unit)) AS ts,
         arg_max(patient_id, (l, us, patient_id, unit)) AS patient_id,
         arg_max(unit, (l, us, patient_id, unit)) AS unit"""),
-    "throughput_records": f"""
-        SELECT window_start, n_records, latest_us // 1000 AS latest_ts,
-               window_start + 3600000 - latest_us // 1000 AS latest_latency
-        FROM (SELECT window_start, n_records, max(top) OVER (ORDER BY window_start) AS latest_us
-              FROM ({_hourly("count(*) AS n_records, max(us) AS top")}) AS h) AS x""",
+    "throughput_records": _throughput(HOUR),
     "throughput_alerts": f"""
         SELECT window_start, n_records, latest_us // 1000 AS latest_ts, max_latency
         FROM (SELECT *, max(top) OVER (ORDER BY window_start) AS latest_us
@@ -402,4 +420,44 @@ CHECKS: dict[str, str] = {
         UNION ALL SELECT 'global_averages', {_floor("us", str(DAY))},
                          count(DISTINCT (unit, us // {HOUR})), min(us // {HOUR} * {HOUR} // 1000)
             FROM sensor GROUP BY us // {DAY}""", "daily", "alert_rows", "bursts"),
+    # The settings of production streams on the same data.
+    "minutely_1m": _per_patient(60 * SECOND),
+    "global_averages_1m": _averages(60 * SECOND),
+    "sessions_40s_70s": _with(f"""
+        SELECT patient_id, unit, (min(us // 1000) + max(us // 1000)) // 2 AS ts,
+               round(avg(value), 9) AS avg_value, min(value) AS min_value,
+               max(value) AS max_value, count(*) AS n_records
+        FROM (SELECT *, sum(opens) OVER (PARTITION BY patient_id, unit ORDER BY us) AS no
+              FROM (SELECT *, CASE WHEN us - lag(us) OVER
+                            (PARTITION BY patient_id, unit ORDER BY us)
+                            > CASE route WHEN 'short' THEN 40 ELSE 70 END * {SECOND}
+                            THEN 1 ELSE 0 END AS opens
+                    FROM sensor JOIN classes USING (unit)) AS a) AS b
+        GROUP BY patient_id, unit, no""", "sensor", "classes"),
+    "latency_1s": _hourly("greatest(0, max(l)) AS max_latency, count(*) AS n_records",
+                          width=SECOND),
+    "throughput_5s": _throughput(5 * SECOND),
+    "incremental_first_read": _with(f"""
+        SELECT {_SENSOR_MS} FROM sensor
+        WHERE us >= epoch_us(TIMESTAMP '{s.NOW}' - INTERVAL 7 DAY)""", "sensor"),
+    "table_mixed_writers": _with("""
+        SELECT id, ts, patient_id, unit AS u, value AS v, CAST(3 AS BIGINT) AS n
+        FROM alert_rows""", "alert_rows"),
+    # Streams: windows and sessions that are closed when the input ends.
+    "stream_alerts": _with("SELECT id, patient_id, ts, unit AS u, value AS v FROM alert_rows",
+                           "alert_rows"),
+    "stream_minutely": _with(f"""
+        SELECT id, patient_id, ts, unit AS u, round(avg_value, 9) AS avg_v,
+               min_value AS min_v, max_value AS max_v FROM daily
+        WHERE ts < (SELECT max(us) // {DAY} * {DAY // 1000} FROM sensor)""", "daily"),
+    "stream_global_averages": _averages(
+        HOUR, f"us // {HOUR} < (SELECT max(us) - 30 * {SECOND} FROM sensor) // {HOUR}"),
+    "stream_credit_sessions": _credit("walk_alerts"),
+    "stream_drift": _drifts(True, f"SELECT {_DRIFT_COLUMNS} FROM found"),
+    "stream_new_patients": _with("SELECT DISTINCT patient_id FROM sensor", "sensor"),
+    "stream_fan_out": _with("""
+        SELECT (SELECT count(*) FROM alert_rows) AS n_alerts,
+               (SELECT count(DISTINCT patient_id) FROM alert_rows) AS n_patients,
+               (SELECT count(*) FROM alert_rows WHERE patient_id IN (SELECT * FROM watched))
+                   AS n_sent""", "alert_rows", "watched"),
 }

@@ -28,3 +28,5 @@ WATCHED_ABOVE = 200.0
 FIRST_DAY_ENDS = "2024-01-02 00:00:00"
 QUIET_SECONDS = 6 * 3600
 HALF = "2024-01-16 00:00:00"
+# Edges of the time slices that streams read one by one; together all of the data.
+SLICES = ("1970-01-01", "2024-01-09", "2024-01-17", "2024-01-25", "2100-01-01")
