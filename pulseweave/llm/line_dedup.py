@@ -26,7 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from pulseweave.llm.columns import text_or_empty, written
 from pulseweave.llm.exchange import GROUP_BYTES, per_group
@@ -140,8 +140,7 @@ def _variants(table: pa.Table, wanted: pa.Table) -> pa.Table:
             out["left_out"] += [place, np.full(len(a), -1)]
             out["n"] += [n[line], n]
             for c in ("h1", "h2", "place", "line"):
-                values = np.array([asked[x][f"{c}" if c[0] == "h" else f"first_{c}"]
-                                   for x in number.tolist()], np.int64)
+                values = np.array([asked[x][c] for x in number.tolist()], np.int64)
                 out[c] += [values[line], values]
     return pa.table({c: np.concatenate(x).astype(np.int64) for c, x in out.items()})
 
@@ -163,37 +162,32 @@ def removed_lines(spark: SparkSession, docs: DataFrame, bound: EditBound) -> tup
     lines = written(spark, rows.select("grp", "place", "text_hash", "text").mapInArrow(
         lambda parts: _scan(parts, bound), LINES), "lines")
     first = F.min(F.struct("place", "line", "grp", "text_hash")).alias("first")
-    classes = lines.groupBy("h1", "h2").agg(first, *[
-        F.first(k).alias(k) for k in ("k1", "k2", "k3", "k4")])
+    classes = written(spark, lines.groupBy("h1", "h2").agg(first, *[
+        F.first(k).alias(k) for k in ("k1", "k2", "k3", "k4")]), "line-classes")
     halves = classes.filter("k1 IS NOT NULL").select(
-        "h1", "h2", "first", F.explode(F.array("k1", "k2", "k3", "k4")).alias("half"))
+        "h1", F.explode(F.array("k1", "k2", "k3", "k4")).alias("half"))
     live = (halves.groupBy("half").agg(F.min("h1").alias("low"), F.max("h1").alias("high"))
             .filter("low <> high").select("half"))
-    wanted = (halves.join(live, "half", "left_semi").groupBy("h1", "h2")
-              .agg(F.first("first").alias("first"))
+    # h1 alone may take in a class too many here, which the variants then tell apart.
+    lively = halves.join(live, "half", "left_semi").select("h1").distinct()
+    wanted = (classes.filter("k1 IS NOT NULL").join(lively, "h1")
               .select(F.col("first.grp").alias("grp"), F.col("first.place").alias("place"),
                       F.col("first.text_hash").alias("text_hash"),
-                      F.col("first.line").alias("line"), "h1", "h2",
-                      F.col("first.place").alias("first_place"),
-                      F.col("first.line").alias("first_line")))
-    variants = written(spark, per_group(rows.select("grp", "place", "text_hash", "text"), wanted,
-                                        _variants, VARIANTS), "variants")
+                      F.col("first.line").alias("line"), "h1", "h2"))
     at = F.struct("place", "line")
-    key = ["v1", "v2"]
-    # One substitution: same length, same place left out.
-    swaps = (variants.filter("left_out >= 0").groupBy(*key, "n", "left_out")
-             .agg(F.min(at).alias("least"), F.count("*").alias("members"))
-             .filter("members > 1").drop("members"))
-    near = variants.join(swaps, [*key, "n", "left_out"]).select("h1", "h2", "least")
-    # One insertion: a whole line equal to a variant of a line one word longer.
-    whole = variants.filter("left_out < 0").select(
-        *key, "n", F.col("h1").alias("w1"), F.col("h2").alias("w2"), at.alias("whole_at"))
-    longer = variants.filter("left_out >= 0").withColumn("n", F.col("n") - 1)
-    both = longer.join(whole, [*key, "n"])
-    near = near.union(both.select("h1", "h2", F.col("whole_at").alias("least"))).union(
-        both.groupBy(F.col("w1").alias("h1"), F.col("w2").alias("h2"))
-        .agg(F.min(at).alias("least")))
-    earlier = near.groupBy("h1", "h2").agg(F.min("least").alias("least"))
+    # One shuffle by variant serves both kinds of edit.
+    same = Window.partitionBy("v1", "v2")
+    is_whole = F.col("left_out") < 0
+    variants = per_group(rows, wanted, _variants, VARIANTS).repartition("v1").withColumns({
+        # One substitution: same length, same place left out.
+        "swapped": F.min(at).over(Window.partitionBy("v1", "v2", "n", "left_out")),
+        # One insertion: a whole line equal to a variant of a line one word longer.
+        "whole": F.min(F.when(is_whole, at)).over(same),
+        "longer": F.min(F.when(~is_whole, at)).over(same)})
+    least = F.when(is_whole, F.col("longer")).otherwise(F.least("swapped", F.coalesce(
+        "whole", "swapped")))
+    earlier = (variants.withColumn("least", least).filter(F.col("least") < at)
+               .groupBy("h1", "h2").agg(F.min("least").alias("least")))
     known = (classes.select("h1", "h2", F.struct(
         F.col("first.place").alias("place"), F.col("first.line").alias("line")).alias("own"))
         .join(earlier, ["h1", "h2"], "left")
