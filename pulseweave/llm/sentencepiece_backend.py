@@ -33,6 +33,8 @@ MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = range(1, 7)
 UNIGRAM, BPE = 1, 2
 TABLE = 400_000
+#: Bytes of text that are encoded together.
+PART = 2 << 20
 
 ENCODED = "doc_id long, ids array<int>, parity boolean, round_trip boolean"
 
@@ -233,13 +235,16 @@ class Encoder:
             return np.fromiter((i for x in ids for i in x), np.int32, int(size.sum())), size, agree
         found = stretches_of(texts)
         keys, at, back = np.unique(found.hashes(), return_index=True, return_inverse=True)
-        for fresh in (~np.isin(keys, self.keys), None):
-            if fresh is not None and fresh.any():
-                if len(self.keys) + int(fresh.sum()) > TABLE:
-                    fresh[:] = True  # the table is emptied first
-                raw = found.data.tobytes()
-                self._learn(keys[fresh], [raw[a:b].decode() for a, b in zip(
-                    _without_space(found, at[fresh]).tolist(), found.ends[at[fresh]].tolist())])
+        fresh = np.ones(len(keys), bool)
+        if len(self.keys):
+            near = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+            fresh = self.keys[near] != keys
+        if fresh.any():
+            if len(self.keys) + int(fresh.sum()) > TABLE:
+                fresh[:] = True  # the table is emptied first
+            raw = found.data.tobytes()
+            self._learn(keys[fresh], [raw[a:b].decode() for a, b in zip(
+                _without_space(found, at[fresh]).tolist(), found.ends[at[fresh]].tolist())])
         place = np.searchsorted(self.keys, keys)[back]
         size = np.diff(self.first)[place]
         ids = _gather(self.ids, self.first[:-1][place], size)
@@ -298,7 +303,7 @@ def encode(docs: DataFrame, model: bytes, threads: int = 2, verify: bool = True)
         os.environ["RAYON_NUM_THREADS"] = str(threads)
         encoder = Encoder(model, verify, backend)
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, size=PART):
                 texts = part.column("text")
                 ids, size, agree = encoder.encode(texts)
                 first = np.concatenate(([0], np.cumsum(size)))

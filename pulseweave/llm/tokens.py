@@ -103,12 +103,13 @@ def words_of(texts: pa.Array, lower: bool = False, parting: np.ndarray = BLANK)
     return Words(data, starts, ends, np.searchsorted(starts, at))
 
 
-def slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch]:
-    """Consecutive parts of a batch of about ``SLICE`` bytes of text, one row at least."""
+def slices(batch: pa.RecordBatch, column: str = "text",
+           size: int = SLICE) -> Iterator[pa.RecordBatch]:
+    """Consecutive parts of a batch of about ``size`` bytes of text, one row at least."""
     if not batch.num_rows:
         return
     sizes = pa.compute.binary_length(batch.column(column).fill_null("")).to_numpy(False)
-    cut = np.cumsum(sizes.astype(np.int64)) // SLICE
+    cut = np.cumsum(sizes.astype(np.int64)) // size
     edges = np.flatnonzero(np.diff(cut)) + 1
     for a, b in zip([0, *edges], [*edges, batch.num_rows]):
         yield batch.slice(a, b - a)
