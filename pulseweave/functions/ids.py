@@ -32,5 +32,18 @@ def random_id() -> Column:
 
 
 def stable_id(*parts: Column) -> Column:
-    """An id derived from the row, so that a retry writes the same row again."""
-    return _dashed(F.md5(F.concat_ws(":", *[p.cast("string") for p in parts])))
+    """An id derived from the row, so that a retry writes the same row again.
+
+    Each part goes in with its length, so that no two lists of parts look alike.
+    """
+    def part(p: Column) -> Column:
+        text = p.cast("string")
+        return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-"))
+
+    return _dashed(F.md5(F.concat(*[part(p) for p in parts])))
+
+
+def value_part(value: Column) -> Column:
+    """A reading as a part of an id, to millionths."""
+    return (F.when(F.isnan(value), F.lit("nan"))
+            .otherwise(F.round(value * 1_000_000).try_cast("bigint").cast("string")))

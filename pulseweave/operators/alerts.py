@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from pulseweave.functions.ids import stable_id
+from pulseweave.functions.ids import stable_id, value_part
 
 
 def with_alert_flag(records: DataFrame, ranges: DataFrame) -> DataFrame:
@@ -29,7 +29,7 @@ def alerts(records: DataFrame, ranges: DataFrame, id_column: Column | None = Non
     """One alert per out-of-range record."""
     if id_column is None:
         id_column = stable_id(F.lit("alert"), F.col("patient_id"), F.col("unit"),
-                              F.unix_micros("ts"))
+                              F.unix_micros("ts"), value_part(F.col("value")))
     return out_of_range(records, ranges).select(
         id_column.alias("id"), "patient_id", "ts", "unit", "value")
 

@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pulseweave.dims import STEADY_DRIFT_UNITS
 from pulseweave.functions.ids import stable_id
 from pulseweave.operators.ordering import key_at, runs, to_batch, values_of
+from pulseweave.session import shared_dir
 
 KEYS = ["patient_id", "unit"]
 
@@ -33,6 +34,15 @@ SHORTEST_WINDOW = 16     # no test until the window is longer than this
 BUCKETS_PER_ROW = 5
 START_DELTA = 0.3
 SHORTEST_PART = 5        # readings needed on either side of a cut
+# Sensitivity: weights of the newest jump and of the level before it; the range of
+# levels in which the test is made keener; and what a level takes off itself.
+JUMP_WEIGHT, PAST_WEIGHT = 0.3, 0.7
+MOVING, WILD = 0.15, 0.4
+DELTA_FROM, DELTA_GAIN, DELTA_OFFSET = 0.3, 3, 0.08
+WILD_STEP = 0.1
+SMALL_JUMP = 0.4
+# (highest delta, lowest ratio, ratio's slope, step) for small and large jumps.
+SMALL, LARGE = (0.8, 0.35, 3.5, 0.0), (0.6, 0.5, 2.5, 0.015)
 TRIM_ABOVE = 100         # a resumed window wider than this loses its oldest bucket
 SMALLEST_DOUBLE = 5e-324  # where the running maximum starts
 
@@ -79,19 +89,13 @@ class DriftWindow:
 
     def _tune(self, jump: float) -> None:
         """Make the test keener while readings move, relative to their range."""
-        level = 0.3 * (jump / (self.high - self.low)) + 0.7 * self.relative
-        if 0.15 < level < 0.4:
-            keen = 0.3 + (level - 0.08) * 3
-            if jump < 0.4:
-                self.delta = min(0.8, keen)
-                self.ratio = max(0.35, 1.0 - level * 3.5)
-            else:
-                self.delta = min(0.6, keen)
-                self.ratio = max(0.5, 1.0 - level * 2.5)
-                level -= 0.015
-        elif level >= 0.4:
-            level -= 0.1
-        self.relative = level
+        level = JUMP_WEIGHT * (jump / (self.high - self.low)) + PAST_WEIGHT * self.relative
+        top, bottom, slope, step = SMALL if jump < SMALL_JUMP else LARGE
+        moving = MOVING < level < WILD
+        if moving:
+            self.delta = min(top, DELTA_FROM + (level - DELTA_OFFSET) * DELTA_GAIN)
+            self.ratio = max(bottom, 1.0 - level * slope)
+        self.relative = level - (step if moving else WILD_STEP if level >= WILD else 0.0)
 
     def _compress(self) -> None:
         rows = self.rows
@@ -241,7 +245,7 @@ class DriftCall:
         return [(*self.last, self.value, self.window.width, self.window.total)]
 
 
-def _scanner(emit: str, published: bool, keep_state: bool,
+def _scanner(emit: str, published: bool, keep_state: bool, trims: bool = False,
              ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """A scan over sorted series; a series may span any number of batches."""
 
@@ -273,7 +277,7 @@ def _scanner(emit: str, published: bool, keep_state: bool,
                     else:
                         # Stored state sorts before the readings of its series.
                         window = DriftWindow.load(json.loads(stored), adaptive, published)
-                        call = DriftCall(window, emit, resumed=True)
+                        call = DriftCall(window, emit, resumed=trims)
                         start += 1
                 found = call.feed(values[start:end].tolist(), times[start:end].tolist())
                 out += [(*key, *r, None) for r in found]
@@ -291,7 +295,7 @@ def is_adaptive(unit: Column) -> Column:
     return ~unit.isin(*STEADY_DRIFT_UNITS)
 
 
-def _drift_rows(scanned: DataFrame) -> DataFrame:
+def drift_rows(scanned: DataFrame) -> DataFrame:
     """Name every detected drift; the id is a function of the row."""
     return scanned.select(
         stable_id(F.lit("drift"), F.col("patient_id"), F.col("unit"), F.col("from_us"),
@@ -300,7 +304,7 @@ def _drift_rows(scanned: DataFrame) -> DataFrame:
         F.timestamp_micros("to_us").alias("to"), "value", "width", "total")
 
 
-def _series_rows(records: DataFrame, adaptive: Column | None) -> DataFrame:
+def series_rows(records: DataFrame, adaptive: Column | None) -> DataFrame:
     flag = is_adaptive(F.col("unit")) if adaptive is None else adaptive
     return records.select(*KEYS, F.unix_micros("ts").alias("us"), "value",
                           flag.alias("adaptive"))
@@ -313,25 +317,32 @@ def detect_drift(records: DataFrame, adaptive: Column | None = None,
     ``variant="paper"`` takes the published variance update instead of the
     default one.
     """
-    rows = _series_rows(records, adaptive)
+    rows = series_rows(records, adaptive)
     scanned = (rows.repartition(*KEYS).sortWithinPartitions(*KEYS, "us", "value")
                .mapInArrow(_scanner(emit, variant == "paper", False), SCAN_SCHEMA))
-    return _drift_rows(scanned)
+    return drift_rows(scanned)
 
 
-def detect_drift_in_slices(records: DataFrame, edges: Sequence[str], work_dir: str,
+def detect_drift_in_slices(records: DataFrame, edges: Sequence[str],
                            adaptive: Column | None = None, emit: str = "per_drift",
-                           variant: str = "reference") -> DataFrame:
+                           variant: str = "reference", calls: str = "whole") -> DataFrame:
     """The same scan as one job per time slice, each ending in a written table.
 
     ``edges`` are the inner boundaries between slices.  A task reads at most one
     slice of a series, and a lost executor costs at most one slice: windows are
-    handed from slice to slice as rows of the table.  Each slice is one call, as
-    a micro-batch of the stream is (see ``DriftWindow.trim``).
+    handed from slice to slice as rows of a table in the shared folder.  Where the
+    edges lie does not matter.  ``calls="per_slice"`` makes each slice a call of its
+    own, as a micro-batch of the stream is (see ``DriftWindow.trim``); only then has
+    ``emit="per_batch"`` a meaning.
     """
+    if calls not in ("whole", "per_slice"):
+        raise ValueError(f"calls is 'whole' or 'per_slice', not {calls!r}")
+    if calls == "whole" and emit != "per_drift":
+        raise ValueError("one call over all slices emits per drift")
+    work_dir = shared_dir(records.sparkSession, "drift-slices")
     spark = records.sparkSession
     bounds = [None, *edges, None]
-    scan = _scanner(emit, variant == "paper", True)
+    scan = _scanner(emit, variant == "paper", True, trims=calls == "per_slice")
     previous = None
     for i, (low, high) in enumerate(zip(bounds[:-1], bounds[1:])):
         part = records
@@ -339,7 +350,7 @@ def detect_drift_in_slices(records: DataFrame, edges: Sequence[str], work_dir: s
             part = part.filter(F.col("ts") >= F.lit(low).cast("timestamp"))
         if high is not None:
             part = part.filter(F.col("ts") < F.lit(high).cast("timestamp"))
-        part = _series_rows(part, adaptive).withColumn("state", F.lit(None).cast("string"))
+        part = series_rows(part, adaptive).withColumn("state", F.lit(None).cast("string"))
         if previous is not None:
             stored = spark.read.parquet(previous).filter(F.col("state").isNotNull())
             flags = is_adaptive(F.col("unit")) if adaptive is None else adaptive
@@ -351,4 +362,4 @@ def detect_drift_in_slices(records: DataFrame, edges: Sequence[str], work_dir: s
          .mapInArrow(scan, SCAN_SCHEMA).write.mode("overwrite").parquet(previous))
     found = (spark.read.schema(SCAN_SCHEMA + ", slice int").parquet(work_dir)
              .filter(F.col("state").isNull()))
-    return _drift_rows(found)
+    return drift_rows(found)

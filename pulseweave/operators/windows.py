@@ -26,9 +26,13 @@ def patient_windows(records: DataFrame, size: str = "1 minute") -> DataFrame:
                     "avg_value", "min_value", "max_value", "n_records"))
 
 
-def aggregated_records(aggregates: DataFrame) -> DataFrame:
-    """Shape window or session aggregates into aggregated records."""
-    parts = [F.lit("aggregate"), F.col("patient_id"), F.col("unit")]
+def aggregated_records(aggregates: DataFrame, kind: str = "window") -> DataFrame:
+    """Shape window or session aggregates into aggregated records.
+
+    ``kind`` says what was aggregated, such as ``"window 1 minute"``; it is part of
+    the id, as a window and a session of one series may have one moment.
+    """
+    parts = [F.lit("aggregate"), F.lit(kind), F.col("patient_id"), F.col("unit")]
     if "session_id" in aggregates.columns:
         parts.append(F.col("session_id"))
     return aggregates.select(

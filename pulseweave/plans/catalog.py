@@ -67,7 +67,7 @@ def _alert_arrivals(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _daily(records: DataFrame) -> DataFrame:
-    return windows.aggregated_records(windows.patient_windows(records, "1 day"))
+    return windows.aggregated_records(windows.patient_windows(records, "1 day"), "window 1 day")
 
 
 def _classes(spark: SparkSession) -> DataFrame:
@@ -238,11 +238,14 @@ def _per_patient(records: DataFrame) -> DataFrame:
     return records.withColumn("unit", F.lit("all"))
 
 
-def _drifts(records: DataFrame, emit: str = "per_drift") -> DataFrame:
-    shifted = _per_patient(records).withColumn(
+def _shifted(records: DataFrame) -> DataFrame:
+    return _per_patient(records).withColumn(
         "value", F.when(F.col("ts") >= F.lit(s.DRIFT_FROM).cast("timestamp"),
                         F.col("value") + 200).otherwise(F.col("value")))
-    return drift.detect_drift(shifted, adaptive=F.lit(False), emit=emit)
+
+
+def _drifts(records: DataFrame, emit: str = "per_drift") -> DataFrame:
+    return drift.detect_drift(_shifted(records), adaptive=F.lit(False), emit=emit)
 
 
 def _drifts_out(rows: DataFrame) -> DataFrame:
@@ -265,6 +268,13 @@ def drift_alerts_adaptive(spark: SparkSession, folder: str) -> DataFrame:
                                           adaptive=F.lit(True)))
 
 
+@query
+def drift_alerts_sliced(spark: SparkSession, folder: str) -> DataFrame:
+    """The first drift query as one job per time slice."""
+    shifted = _shifted(_records(spark, folder))
+    return _drifts_out(drift.detect_drift_in_slices(shifted, s.SLICES[1:-1], F.lit(False)))
+
+
 # --- read queries ---------------------------------------------------------------------
 
 def _stored(records: DataFrame, spec: TableSpec) -> DataFrame:
@@ -292,8 +302,9 @@ def search_patients(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def search_patients_ngram(spark: SparkSession, folder: str) -> DataFrame:
     ids = patients.distinct_patients(_records(spark, folder))
-    grams = patients.ngram_table(ids, 3, 3)
-    return reads.matching_patients_by_ngram(grams, s.FRAGMENT)
+    path = patients.store_ngrams(patients.ngram_table(ids, 3, 3), shared_dir(spark, "grams"))
+    stored = spark.read.schema("patient_id string, gram string, lead string").parquet(path)
+    return reads.matching_patients_by_ngram(stored, s.FRAGMENT)
 
 
 @query

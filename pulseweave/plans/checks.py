@@ -19,7 +19,13 @@ def _dashed(hex32: str) -> str:
 
 
 def _id(*parts: str) -> str:
-    return _dashed(f"md5(concat_ws(':', {', '.join(parts)}))")
+    """Parts with their lengths, one after the other."""
+    texts = [f"CAST({p} AS VARCHAR)" for p in parts]
+    joined = " || ".join(f"coalesce(length({t}) || ':' || {t}, '-')" for t in texts)
+    return _dashed(f"md5({joined})")
+
+
+_VALUE_PART = "CAST(round(value * 1000000) AS BIGINT)"
 
 
 def _floor(us: str, width: str) -> str:
@@ -47,12 +53,12 @@ STEPS = {
         SELECT * FROM (VALUES {_values((u, c, s.GAPS[c] * SECOND) for u, c in s.CLASSES.items())})
             AS t(unit, route, gap_us)""",
     "alert_rows": f"""
-        SELECT {_id("'alert'", "patient_id", "unit", "us")} AS id, patient_id, us // 1000 AS ts,
+        SELECT {_id("'alert'", "patient_id", "unit", "us", _VALUE_PART)} AS id, patient_id, us // 1000 AS ts,
                unit, value, us, arrival_us, user_id
         FROM sensor JOIN ranges USING (unit) WHERE NOT (value BETWEEN lo AND hi)""",
     "watched": f"SELECT DISTINCT patient_id FROM alert_rows WHERE value > {s.WATCHED_ABOVE}",
     "daily": f"""
-        SELECT {_id("'aggregate'", "patient_id", "unit", f"us // {DAY} * {DAY}")} AS id,
+        SELECT {_id("'aggregate'", "'window 1 day'", "patient_id", "unit", f"us // {DAY} * {DAY}")} AS id,
                patient_id, {_floor("us", str(DAY))} AS ts, unit, avg(value) AS avg_value,
                min(value) AS min_value, max(value) AS max_value, count(*) AS n_records
         FROM sensor GROUP BY patient_id, unit, us // {DAY}""",
@@ -308,6 +314,7 @@ CHECKS: dict[str, str] = {
     "credit_sessions_alerts": _credit("walk_alerts"),
     "credit_sessions_alerts_long": _credit("walk_alerts"),
     "drift_alerts": _drifts(False, f"SELECT {_DRIFT_COLUMNS} FROM found"),
+    "drift_alerts_sliced": _drifts(False, f"SELECT {_DRIFT_COLUMNS} FROM found"),
     "drift_alerts_adaptive": _drifts(True, f"SELECT {_DRIFT_COLUMNS} FROM found"),
     "drift_alerts_per_batch": _drifts(False, """
         SELECT f.id, patient_id, 'all' AS unit, f.from_us // 1000 AS "from",

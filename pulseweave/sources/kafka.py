@@ -6,8 +6,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 
+# Fixed value: what one micro-batch takes unless told otherwise; it bounds the rows
+# of one key that a stateful operator holds.
+MAX_OFFSETS = 500_000
+
+
 def kafka_options(servers: str, topics: str, starting: str = "latest",
-                  max_offsets: int | None = None, **extra: str) -> dict[str, str]:
+                  max_offsets: int | None = MAX_OFFSETS, **extra: str) -> dict[str, str]:
     """Reader options; ``max_offsets`` caps what one micro-batch takes."""
     options = {"kafka.bootstrap.servers": servers, "subscribe": topics,
                "startingOffsets": starting}

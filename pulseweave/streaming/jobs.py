@@ -43,7 +43,7 @@ def alert_job(records: DataFrame, ranges: DataFrame | None = None) -> DataFrame:
 def minute_job(records: DataFrame, size: str = "1 minute",
                delay: str = MINUTE_DELAY) -> DataFrame:
     timed = windows.with_event_time(records, delay)
-    return windows.aggregated_records(windows.patient_windows(timed, size))
+    return windows.aggregated_records(windows.patient_windows(timed, size), f"window {size}")
 
 
 def global_average_job(records: DataFrame, size: str = "1 minute",
@@ -66,7 +66,7 @@ def credit_session_job(records: DataFrame, alerts: DataFrame | None = None,
         found = stream_credit_sessions(al.with_alert_flag(records, ranges), caps)
     else:
         found = stream_credit_sessions(records, caps, alerts)
-    return windows.aggregated_records(found.withColumn("ts", F.col("last_ts")))
+    return windows.aggregated_records(found.withColumn("ts", F.col("last_ts")), "credit session")
 
 
 def session_window_job(records: DataFrame, grace: str = "70 seconds",

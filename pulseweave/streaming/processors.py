@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pulseweave.operators.credits import KEYS, SessionScan, in_series, with_caps, with_moments
 from pulseweave.operators.credits import SCAN_SCHEMA as SESSION_ROWS
 from pulseweave.operators.drift import (SCAN_COLUMNS, SCAN_SCHEMA, STATE_SCHEMA, DriftCall,
-                                        DriftWindow, _drift_rows, _series_rows)
+                                        DriftWindow, drift_rows, series_rows)
 
 RECORD, ALERT = 0, 1
 
@@ -167,10 +167,10 @@ def stream_drift(records: DataFrame, adaptive: Column | None = None, emit: str =
     State never expires unless ``ttl_ms`` is given.  With the default
     ``per_batch`` a series yields at most one row per micro-batch.
     """
-    found = _series_rows(records, adaptive).groupBy(*KEYS).transformWithStateInPandas(
+    found = series_rows(records, adaptive).groupBy(*KEYS).transformWithStateInPandas(
         DriftDetection(emit, variant == "paper", ttl_ms), outputStructType=SCAN_SCHEMA,
         outputMode="Update", timeMode="ProcessingTime" if ttl_ms else "None")
-    return _drift_rows(found)
+    return drift_rows(found)
 
 
 class CarryOver(StatefulProcessor):

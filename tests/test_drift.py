@@ -203,13 +203,25 @@ def test_per_batch_keeps_the_last_drift(records):
         assert last[p].value == max((r for r in rows if r[0] == p), key=lambda r: r[2])[3]
 
 
-def test_slices_equal_calls_with_stored_state(spark, records, tmp_path):
+@pytest.mark.parametrize("seed", range(3))
+def test_edges_of_slices_do_not_matter(records, seed):
+    rng = random.Random(seed)
+    rows = [("p", "u", i * 60.0, 50.0 + rng.random() + 30 * (i // 250 % 2)) for i in range(800)]
+    edges = sorted(f"1970-01-01 {rng.randint(0, 12):02d}:{rng.randint(0, 59):02d}:00"
+                   for _ in range(3))
+    frame = records(rows)
+    whole = sorted(map(tuple, detect_drift(frame, F.lit(False)).collect()))
+    assert whole and sorted(map(tuple, detect_drift_in_slices(
+        frame, edges, F.lit(False)).collect())) == whole
+
+
+def test_slices_equal_calls_with_stored_state(spark, records):
     """Each slice with readings of a series is one call on its stored window."""
     rows, _ = series(records)
     # One series pauses for the whole middle slice.
     rows = [r for r in rows if r[0] != "p1" or not 5400 <= r[2] < 14400]
     edges = ["1970-01-01 01:30:00", "1970-01-01 04:00:00"]
-    found = detect_drift_in_slices(records(rows), edges, str(tmp_path / "slices"), F.lit(False))
+    found = detect_drift_in_slices(records(rows), edges, F.lit(False), calls="per_slice")
     expected = []
     for p in sorted({r[0] for r in rows}):
         mine = sorted((r for r in rows if r[0] == p), key=lambda r: r[2])
