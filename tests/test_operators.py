@@ -379,3 +379,50 @@ def test_ids_and_times(spark):
     assert row.u == "00112233-4455-6677-8899-aabbccddeeff"
     assert row.raw == row.again and row.ms == 1700000000123
     assert row.label == "a / b / c" and row.mid.timestamp() == 0.002
+
+
+def test_two_readings_at_one_instant_are_two_alerts(spark, records):
+    frame = records([(P + "1", "HeartRate/Bpm", 5, 500.0), (P + "1", "HeartRate/Bpm", 5, 600.0),
+                     (P + "1", "HeartRate/Bpm", 5, float("nan"))])
+    found = al.alerts(frame, normal_ranges(spark))
+    assert series.dedup_by_id(found.unionByName(found)).count() == 3
+
+
+def test_parts_of_ids_do_not_run_together(spark):
+    from pulseweave.functions.ids import stable_id
+
+    rows = [("a:b", "c"), ("a", "b:c"), (None, "c"), ("-", "c"), ("", "c"), ("c", None)]
+    frame = spark.createDataFrame(rows, "x string, y string")
+    assert frame.select(stable_id(F.col("x"), F.col("y"))).distinct().count() == len(rows)
+
+
+def test_windows_and_sessions_have_ids_of_their_own(records):
+    found = windows.patient_windows(records([("p", "u", 0, 1.0)]), "1 minute")
+    ids = {windows.aggregated_records(found, kind).first().id
+           for kind in ("window 1 minute", "window 1 day", "credit session")}
+    assert len(ids) == 3
+
+
+def test_first_incremental_read(records):
+    frame = records([("p", "u", 86_400.0 * d, 1.0) for d in range(20)])
+    none = frame.limit(0)
+    assert series.since_latest(frame, none, "1970-01-20 00:00:00", "3 days").count() == 4
+    assert series.since_latest(frame, frame.filter("ts < '1970-01-06'")).count() == 16
+
+
+def test_records_without_latency_are_left_out(spark):
+    frame = spark.sql("SELECT * FROM VALUES (TIMESTAMP'1970-01-02', TIMESTAMP'1970-01-02'), "
+                      "(NULL, TIMESTAMP'1970-01-02'), (TIMESTAMP'1970-01-02', NULL) "
+                      "AS t(ts, arrival_ts)")
+    assert [r.n_records for r in meters.latency_stats(frame, "1 day").collect()] == [1]
+
+
+def test_gram_lookup_reads_one_partition(spark, tmp_path):
+    ids = spark.createDataFrame([(P + str(i),) for i in range(10)], "patient_id string")
+    path = patients.store_ngrams(patients.ngram_table(ids), str(tmp_path))
+    found = reads.matching_patients_by_ngram(spark.read.parquet(path), "0003")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(lead" in plan and "(lead" in plan
+    assert [r.patient_id for r in found.collect()] == [P + "3"]
+    with pytest.raises(ValueError):
+        patients.ngram_table(ids, shortest=4)
