@@ -21,7 +21,7 @@ from pulseweave.llm.tokens import rebyte, unbyte
 GROUP_BYTES = 4 << 20
 
 ASKED = "bucket int, grp int, keys binary, counts binary"
-ANSWERED = "grp int, keys binary, counts binary"
+ANSWERED = "grp int, bucket int, places binary, counts binary"
 
 
 def in_groups(docs: DataFrame, *extra: Column, group_bytes: int = GROUP_BYTES) -> tuple[DataFrame, int]:
@@ -37,9 +37,9 @@ def in_groups(docs: DataFrame, *extra: Column, group_bytes: int = GROUP_BYTES) -
 
 
 def pack(keys: np.ndarray, counts: np.ndarray) -> tuple[bytes, bytes]:
-    """Sorted keys and their counts, each byte by byte so that zero bytes compress."""
+    """Sorted keys (or places) and counts, each byte by byte so that zero bytes compress."""
     low = counts.astype("<u8").view(np.uint8).reshape(-1, 8).T
-    return unbyte(keys), low.tobytes()
+    return unbyte(keys.astype(np.uint64)), low.tobytes()
 
 
 def unpack(keys: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -78,13 +78,17 @@ def as_batch(rows: list[tuple], schema: pa.Schema) -> pa.Table:
 
 ASKED_SCHEMA = pa.schema([("bucket", pa.int32()), ("grp", pa.int32()),
                           ("keys", pa.binary()), ("counts", pa.binary())])
-ANSWERED_SCHEMA = pa.schema([("grp", pa.int32()), ("keys", pa.binary()),
-                             ("counts", pa.binary())])
+ANSWERED_SCHEMA = pa.schema([("grp", pa.int32()), ("bucket", pa.int32()),
+                             ("places", pa.binary()), ("counts", pa.binary())])
 
 
 def answers(asks: DataFrame) -> DataFrame:
-    """Totals per group: those of its keys whose total is not the group's own count."""
-    def merge(table: pa.Table) -> pa.Table:
+    """Totals per group: those of its keys whose total is not the group's own count.
+
+    A key is named by its place among the group's keys in the bucket, which the group
+    knows: a byte or two instead of a hash.
+    """
+    def merge(key: tuple, table: pa.Table) -> pa.Table:
         parts = [(g, *unpack(k, c)) for g, k, c in zip(
             table.column("grp").to_pylist(), table.column("keys").to_pylist(),
             table.column("counts").to_pylist())]
@@ -94,23 +98,24 @@ def answers(asks: DataFrame) -> DataFrame:
         distinct, total = summed(keys, own)
         total = total[np.searchsorted(distinct, keys)]
         rows, at = [], 0
-        for (group, k, c), n in zip(parts, size):
+        for (group, _, c), n in zip(parts, size):
             t = total[at:at + n]
             at += n
-            tell = t != c
-            if tell.any():
-                rows.append((group, *pack(k[tell], t[tell])))
+            tell = np.flatnonzero(t != c)
+            if len(tell):
+                rows.append((group, key[0].as_py(), *pack(tell, t[tell])))
         return as_batch(rows, ANSWERED_SCHEMA)
 
     return asks.groupBy("bucket").applyInArrow(merge, ANSWERED)
 
 
-def known(table: pa.Table, keys: np.ndarray, own: np.ndarray) -> np.ndarray:
+def known(table: pa.Table, keys: np.ndarray, own: np.ndarray, buckets: int) -> np.ndarray:
     """Totals of a group's distinct sorted keys: the answers, else its own counts."""
     total = own.copy()
-    for k, c in zip(table.column("keys").to_pylist(), table.column("counts").to_pylist()):
-        told, value = unpack(k, c)
-        total[np.searchsorted(keys, told)] = value
+    first = np.searchsorted(bucket_of(keys, buckets), np.arange(buckets))
+    for b, p, c in zip(*(table.column(x).to_pylist() for x in ("bucket", "places", "counts"))):
+        places, value = unpack(p, c)
+        total[first[b] + places.astype(np.int64)] = value
     return total
 
 

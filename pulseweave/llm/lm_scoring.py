@@ -161,7 +161,7 @@ def score(docs: DataFrame, order: int = ORDER, prior: float = PRIOR) -> DataFram
 
     def work(table: pa.Table, answer: pa.Table) -> pa.Table:
         keys, own = _group_keys(table, order)
-        model = Automaton(keys, known(answer, keys, own), tokens, types, prior)
+        model = Automaton(keys, known(answer, keys, own, groups), tokens, types, prior)
         out = []
         for batch in table.to_batches():
             for part in slices(batch):

@@ -87,7 +87,8 @@ SEGMENT_SCHEMA = pa.schema([("shard", pa.int32()), ("grp", pa.int32()), ("words"
                             ("at", pa.binary())])
 
 
-def _send(table: pa.Table, answer: pa.Table, window: int, anchor: int, shards: int) -> pa.Table:
+def _send(table: pa.Table, answer: pa.Table, window: int, anchor: int, groups: int,
+          shards: int) -> pa.Table:
     """The distinct segments of a group whose routes occur twice or more in the corpus,
     each with its places (doc_id, text_hash, first word)."""
     cut, routes, times = [], [np.zeros(0, U64)], [np.zeros(0, np.int64)]
@@ -99,7 +100,7 @@ def _send(table: pa.Table, answer: pa.Table, window: int, anchor: int, shards: i
             routes.append(route)
             times.append(1 + again)
     keys, own = summed(np.concatenate(routes), np.concatenate(times))
-    live = keys[known(answer, keys, own) > 1]
+    live = keys[known(answer, keys, own, groups) > 1]
     found: dict[bytes, list] = {}
     group = 0
     for part, words, first, n, route in cut:
@@ -360,6 +361,6 @@ def dedup_substrings(spark: SparkSession, docs: DataFrame, window: int = WINDOW,
     asks = rows.groupBy("grp").applyInArrow(
         lambda key, table: _ask(key, table, window, anchor, groups), ASKED)
     sent = per_group(rows, answers(asks),
-                     lambda t, a: _send(t, a, window, anchor, shards), SEGMENTS)
+                     lambda t, a: _send(t, a, window, anchor, groups, shards), SEGMENTS)
     covered = sent.groupBy("shard").applyInArrow(lambda t: _search(t, window), COVERED)
     return per_group(rows, covered, _cut, RESULT + ", kept string")
