@@ -12,6 +12,10 @@ HUB_TICK = "500 milliseconds"
 HUB_LIMIT = 20
 
 
+#: Batches that one lane of a tick fills.
+LANE_BATCHES = 10
+
+
 def flatten_batches(batches: DataFrame) -> DataFrame:
     """Batch -> hub record -> sensor record, keyed by patient.  No shuffle."""
     hubs = batches.select(F.explode("Batch").alias("hub"))
@@ -57,18 +61,31 @@ def pack_hub_records(records: DataFrame, tick: str = HUB_TICK,
 
 
 def pack_batches(records: DataFrame, tick: str = HUB_TICK, limit: int = HUB_LIMIT,
-                 batch_size: int = 100, lanes: int = 16) -> DataFrame:
-    """Hub records collected into wire batches of at most ``batch_size``.
+                 batch_size: int = 100, lanes: int | None = None) -> DataFrame:
+    """Hub records of a table collected into wire batches of at most ``batch_size``.
 
-    Batches form per tick and lane; a lane is a hash of the patient, so a tick
-    in which every patient reports is shared between ``lanes`` tasks.
+    Batches form per tick and lane; a lane is a hash of the patient.  Unless
+    ``lanes`` is given, a tick has one lane for every ``LANE_BATCHES`` batches that its
+    hubs fill, so a tick in which every patient reports spreads over as many tasks as
+    it needs.
     """
+    if records.isStreaming:
+        raise ValueError("hubs of a tick cannot be numbered on a stream; pack its stored records")
     hubs = pack_hub_records(records, tick, limit).select(
-        "tick",
-        F.pmod(F.xxhash64("patient_id", "part"), F.lit(lanes)).cast("int").alias("lane"),
+        "tick", F.xxhash64("patient_id", "part").alias("spread"),
         F.struct(bytes_from_uuid(F.col("patient_id")).alias("PatientId"),
                  F.col("Records")).alias("hub"),
     )
+    if lanes is None:
+        # One row per tick; records are counted per patient before the shuffle.
+        sizes = (records.groupBy(slot_start(F.col("ts"), tick).alias("tick_us"), "patient_id")
+                 .agg(F.ceil(F.count("*") / limit).alias("hubs"))
+                 .groupBy(F.timestamp_micros("tick_us").alias("tick"))
+                 .agg(F.ceil(F.sum("hubs") / (batch_size * LANE_BATCHES)).alias("lanes")))
+        hubs = hubs.join(sizes, "tick")
+    else:
+        hubs = hubs.withColumn("lanes", F.lit(lanes).cast("bigint"))
+    hubs = hubs.select("tick", F.pmod("spread", "lanes").alias("lane"), "hub")
     order = W.partitionBy("tick", "lane").orderBy("hub.PatientId")
     return (hubs.withColumn("chunk", F.floor((F.row_number().over(order) - 1) / batch_size))
             .groupBy("tick", "lane", "chunk")

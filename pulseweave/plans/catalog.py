@@ -137,7 +137,7 @@ def pack_hub_records(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def pack_batches(spark: SparkSession, folder: str) -> DataFrame:
-    packed = batches.pack_batches(_records(spark, folder), "1 day", batch_size=8, lanes=4)
+    packed = batches.pack_batches(_records(spark, folder), "1 day", batch_size=8)
     per_batch = packed.select(
         F.size("Batch").alias("hubs"),
         F.aggregate(F.transform("Batch", lambda h: F.size(h["Records"])), F.lit(0),

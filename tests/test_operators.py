@@ -426,3 +426,14 @@ def test_gram_lookup_reads_one_partition(spark, tmp_path):
     assert [r.patient_id for r in found.collect()] == [P + "3"]
     with pytest.raises(ValueError):
         patients.ngram_table(ids, shortest=4)
+
+
+def test_lanes_follow_the_hubs_of_a_tick(spark, records):
+    frame = records([(P[:-2] + f"{i:02d}", "u", 5.0 + i % 3, 1.0) for i in range(90)]
+                    + [(P + "1", "u", 100.0, 1.0)])
+    packed = batches.pack_batches(frame, "1 minute", batch_size=2)
+    sizes = [len(r.Batch) for r in packed.collect()]
+    assert sum(sizes) == 91 and max(sizes) <= 2 and len(sizes) < 91 / 2 + 10
+    with pytest.raises(ValueError):
+        batches.pack_batches(spark.readStream.format("rate").load().selectExpr(
+            "'p' AS patient_id", "'u' AS unit", "timestamp AS ts", "1D AS value"))
