@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pulseweave.dims import credit_caps, normal_ranges, unit_classes
-from pulseweave.operators import alerts as al, batches, reads, sessions, windows
+from pulseweave.operators import alerts as al, batches, reads, routing, sessions, windows
 from pulseweave.sources.tables import read_table
 from pulseweave.streaming.processors import (sessionized_records, stream_credit_sessions,
                                              stream_drift)
@@ -19,6 +19,7 @@ from pulseweave.streaming.processors import (sessionized_records, stream_credit_
 # How late a record may be for each kind of window.
 GLOBAL_GRACE = "30 seconds"
 MINUTE_DELAY = "1 minute"
+SESSION_GRACE = {"short": "40 seconds", "long": "70 seconds"}
 
 
 def file_stream(spark: SparkSession, schema: str, path: str,
@@ -81,6 +82,23 @@ def session_window_job(records: DataFrame, grace: str = "70 seconds",
         numbered, unit_classes(spark) if classes is None else classes, gaps)
 
 
+def class_window_job(records: DataFrame, route: str, classes: DataFrame | None = None,
+                     caps: DataFrame | None = None,
+                     gaps: dict[str, int] = sessions.SESSION_GAPS,
+                     graces: dict[str, str] = SESSION_GRACE) -> DataFrame:
+    """Gap sessions inside credit sessions of one unit class, with its own grace.
+
+    A query has one watermark, so classes that wait differently are queries of
+    their own; ``session_window_job`` takes all classes with the longest grace.
+    """
+    spark = records.sparkSession
+    classes = unit_classes(spark) if classes is None else classes
+    chosen = routing.routed(records, classes, route)
+    numbered = sessionized_records(windows.with_event_time(chosen, graces[route]),
+                                   credit_caps(spark) if caps is None else caps)
+    return sessions.class_sessions(numbered, classes, route, gaps)
+
+
 def drift_job(records: DataFrame, **options) -> DataFrame:
     return stream_drift(records, **options)
 

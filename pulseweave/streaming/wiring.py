@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
@@ -37,7 +38,10 @@ JOBS = {
     "averages": Job(("records",), "global_averages", jobs.global_average_job),
     "credit_sessions": Job(("records", "alerts"), "aggregated_records",
                            jobs.credit_session_job, "update"),
-    "session_windows": Job(("records",), "session_windows", jobs.session_window_job),
+    "short_windows": Job(("records",), "session_windows",
+                         partial(jobs.class_window_job, route="short")),
+    "long_windows": Job(("records",), "session_windows",
+                        partial(jobs.class_window_job, route="long")),
     "drifts": Job(("records",), "drift_alerts", jobs.drift_job, "update"),
 }
 

@@ -130,8 +130,7 @@ def test_chain_of_jobs_over_files(spark, records, tmp_path):
                 .option("checkpointLocation", str(tmp_path / f"check-{name}"))
                 .trigger(availableNow=True).start())
 
-    for name in ("flatten", "alerts", "minutes", "averages", "credit_sessions",
-                 "session_windows", "drifts"):
+    for name in JOBS:  # in the order of the chain
         run_job(name, read, write).awaitTermination()
     out = lambda t: spark.read.option("recursiveFileLookup", "true").parquet(str(tmp_path / t))
     assert sorted(map(tuple, out("records").select(*frame.columns).collect())) == \

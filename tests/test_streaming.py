@@ -301,3 +301,17 @@ def test_writers_of_one_table(spark, source, tmp_path):
     assert compact(spark, ALERTS, root, "2024-01-20 00:00:00") == days.count()
     assert sorted(r.id for r in read_stored(spark, ALERTS, root).collect()) == sorted(5 * expected)
     assert compact(spark, ALERTS, root, "2024-01-20 00:00:00") == 0
+
+
+def test_each_class_waits_for_its_own_grace(spark, tmp_path, records):
+    folder = str(tmp_path / "in")
+    rows = [[("p", "HeartRate/Bpm", 1000.0, 1.0), ("p", "BloodGlucose/mmol_L", 1000.0, 1.0)],
+            [("q", "HeartRate/Bpm", 1090.0, 1.0), ("q", "BloodGlucose/mmol_L", 1090.0, 1.0)],
+            [("q", "HeartRate/Bpm", 1091.0, 1.0), ("q", "BloodGlucose/mmol_L", 1091.0, 1.0)]]
+    for i, batch in enumerate(rows):
+        records(batch).coalesce(1).write.parquet(f"{folder}/part{i}")
+    found = {route: run(jobs.class_window_job(stream(spark, folder, 1), route), tmp_path)
+             for route in ("short", "long")}
+    # 1091 - 40 is past the end 1000 + 40 of the short session; 1091 - 70 is not.
+    assert [r[:2] for r in found["short"]] == [("p", "HeartRate/Bpm")]
+    assert found["long"] == []
