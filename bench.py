@@ -2,6 +2,8 @@
 
 Settings: BENCH_SF_DIR, BENCH_CPUS, BENCH_RUNS (best of n).  Every query is run
 in full and its result counted through a no-op sink, so no column is pruned.
+Streams (``stream_*``) are timed once and listed, but not part of the total: most
+of their time is the start and end of micro-batches.
 """
 
 from __future__ import annotations
@@ -35,7 +37,7 @@ def main() -> None:
     times = {}
     for name in names:
         best = None
-        for _ in range(RUNS):
+        for _ in range(1 if name.startswith("stream_") else RUNS):
             start = time.perf_counter()
             QUERIES[name](spark, SF_DIR).write.format("noop").mode("overwrite").save()
             spent = time.perf_counter() - start
@@ -43,8 +45,8 @@ def main() -> None:
         times[name] = round(best, 4)
     spark.stop()
     print(json.dumps({
-        "metric": "total time of all registered queries",
-        "value": round(sum(times.values()), 4),
+        "metric": "total time of all registered queries but streams",
+        "value": round(sum(t for n, t in times.items() if not n.startswith("stream_")), 4),
         "unit": "sec",
         "queries": times,
         "sf": os.path.basename(SF_DIR.rstrip("/")).removeprefix("sf"),
