@@ -9,7 +9,7 @@ is the least hash of its ``anchor``-word runs, and consecutive windows with one
 as one segment.  Routes that occur once in the corpus are dropped before any text moves
 (see ``exchange``).  A shard holds the distinct segments of its routes, as many shards as
 the live text needs, and each distinct segment once per group of documents at most, so a
-passage in every document is a few rows.
+passage in every document is one row a group.
 
 In a shard the segments are one sequence of words.  Its Burrows-Wheeler transform is kept in
 a wavelet matrix of bit vectors with block ranks.  All windows are streamed through it by
@@ -35,7 +35,7 @@ from pulseweave.llm.line_dedup import LAST, RangeHash
 from pulseweave.llm.tokens import U64, Words, grams, same_text, slices, words_of
 
 WINDOW, ANCHOR = 20, 6
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 1 << 20
 FEW = 6
 
 SEGMENTS = "shard int, grp int, words binary, at binary"
@@ -90,7 +90,9 @@ SEGMENT_SCHEMA = pa.schema([("shard", pa.int32()), ("grp", pa.int32()), ("words"
 def _send(table: pa.Table, answer: pa.Table, window: int, anchor: int, groups: int,
           shards: int) -> pa.Table:
     """The distinct segments of a group whose routes occur twice or more in the corpus,
-    each with its places (doc_id, text_hash, first word)."""
+    each with its first place (doc_id, text_hash, first word).  At its later places in
+    the group all words of a segment are covered: one row without words has those, as
+    (doc_id, text_hash, from, to)."""
     cut, routes, times = [], [np.zeros(0, U64)], [np.zeros(0, np.int64)]
     for batch in table.to_batches():
         for part in slices(batch):
@@ -118,8 +120,17 @@ def _send(table: pa.Table, answer: pa.Table, window: int, anchor: int, groups: i
                                words.ends[last].tolist(),
                                zip(docs.tolist(), hashes.tolist(), start.tolist())):
             found.setdefault((s, b" ".join(raw[a:b].split())), []).append(at)
-    return as_batch([(s, group, w, np.array(at, np.int64).tobytes())
-                     for (s, w), at in found.items()], SEGMENT_SCHEMA)
+    rows, later = [], []
+    for (shard, text), at in found.items():
+        at.sort(key=lambda x: (x[0], x[2]))
+        n = text.count(b" ") + 1
+        # Repeated rows of one document are at its first place together.
+        heads = [x for x in at if (x[0], x[2]) == (at[0][0], at[0][2])]
+        later += [(*x, x[2] + n) for x in at[len(heads):]]
+        rows.append((shard, group, text, np.array(heads, np.int64).tobytes()))
+    if later:
+        rows.append((group % shards, group, b"", np.array(later, np.int64).tobytes()))
+    return as_batch(rows, SEGMENT_SCHEMA)
 
 
 # --- the index ------------------------------------------------------------------------
@@ -266,9 +277,20 @@ COVERED_SCHEMA = pa.schema([("grp", pa.int32()), ("at", pa.binary())])
 
 def _search(table: pa.Table, window: int) -> pa.Table:
     """Covered words of a shard's segments, per group: (doc_id, text_hash, from, to)."""
+    bare = pa.compute.equal(table.column("words"), b"")
+    known_rows = table.filter(bare).select(COVERED_SCHEMA.names)
+    table = table.filter(pa.compute.invert(bare))
+    if not table.num_rows:
+        return known_rows
     distinct = table.column("words").combine_chunks().dictionary_encode()
     which = distinct.indices.to_numpy()
-    words = words_of(distinct.dictionary.cast(pa.large_binary()).cast(pa.large_string()))
+    texts = distinct.dictionary.cast(pa.large_binary()).cast(pa.large_string())
+    cut = [words_of(part.column("text")) for part in slices(
+        pa.record_batch([texts], names=["text"]))]
+    hashes = np.concatenate([w.hashes() for w in cut])
+    n = np.concatenate([np.diff(w.first) for w in cut])
+    first = np.cumsum(n) - n
+    del cut
     # Places of every segment, and the first of each distinct one.
     rows = [np.frombuffer(x, np.int64).reshape(-1, 3) for x in table.column("at").to_pylist()]
     sizes = np.array([len(x) for x in rows])
@@ -278,14 +300,13 @@ def _search(table: pa.Table, window: int) -> pa.Table:
     by = np.lexsort((places[:, 2], places[:, 0], which))
     which, places, group = which[by], places[by], group[by]
     heads = np.flatnonzero(np.diff(which, prepend=-1))
-    parts = len(words.first) - 1
-    n = np.diff(words.first)
+    parts = len(n)
     # One sequence: the words of a segment, then a part mark.
-    codes = np.zeros(len(words.starts) + parts, np.int64)
-    begin = words.first[:-1] + np.arange(parts)
+    codes = np.zeros(len(hashes) + parts, np.int64)
+    begin = first + np.arange(parts)
     inner = np.ones(len(codes), bool)
     inner[begin + n] = False
-    codes[inner] = np.unique(words.hashes(), return_inverse=True)[1] + 1
+    codes[inner] = np.unique(hashes, return_inverse=True)[1] + 1
     count = n - window + 1
     segment = np.repeat(np.arange(parts), count)
     offset = np.arange(len(segment)) - np.repeat(np.cumsum(count) - count, count)
@@ -311,19 +332,19 @@ def _search(table: pa.Table, window: int) -> pa.Table:
     later = (best_doc[window_at] < d) | ((best_doc[window_at] == d) & (best_start[window_at] < s))
     on = np.flatnonzero(later)
     if not len(on):
-        return as_batch([], COVERED_SCHEMA)
+        return known_rows
     # Runs of covered windows in one place.
     cut = np.ones(len(on), bool)
     cut[1:] = (np.diff(on) != 1) | (np.diff(mine[on]) != 0)
     head = np.flatnonzero(cut)
     tail = np.append(head[1:], len(on)) - 1
-    first, last = on[head], on[tail]
-    found = np.stack((d[first], places[mine[first], 1], s[first], s[last] + window), axis=1)
-    owner = group[mine[first]]
+    head, tail = on[head], on[tail]
+    found = np.stack((d[head], places[mine[head], 1], s[head], s[tail] + window), axis=1)
+    owner = group[mine[head]]
     by = np.argsort(owner, kind="stable")
     edges = np.flatnonzero(np.diff(owner[by])) + 1
-    return as_batch([(int(owner[x[0]]), found[x].tobytes()) for x in np.split(by, edges)],
-                    COVERED_SCHEMA)
+    return pa.concat_tables([known_rows, as_batch(
+        [(int(owner[x[0]]), found[x].tobytes()) for x in np.split(by, edges)], COVERED_SCHEMA)])
 
 
 def _cut(table: pa.Table, covered: pa.Table) -> pa.Table:
