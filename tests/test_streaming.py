@@ -67,7 +67,8 @@ def test_alerts(spark, source, tmp_path):
 def test_closed_windows(spark, source, tmp_path, files):
     records, folder = source
     found = run(jobs.minute_job(stream(spark, folder, files), "1 day"), tmp_path)
-    table = rows(windows.aggregated_records(windows.patient_windows(records, "1 day")))
+    table = rows(windows.aggregated_records(windows.patient_windows(records, "1 day"),
+                                            "window 1 day"))
     newest = max(r[2] for r in table)
     assert rounded(found) == rounded([r for r in table if r[2] < newest])
 
