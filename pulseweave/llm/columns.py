@@ -38,3 +38,16 @@ def written(spark: SparkSession, frame: DataFrame, purpose: str) -> DataFrame:
     path = shared_dir(spark, purpose)
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
+
+
+def salted(left: DataFrame, right: DataFrame, keys: list[str], spread: Column,
+           salts: int = 8) -> DataFrame:
+    """Inner join on ``keys`` with a hot key's left rows spread over ``salts`` tasks.
+
+    ``right`` has few rows a key and is repeated once per salt.  Both sides are dealt
+    for the join alone, so that the planner can split what is still too large.
+    """
+    name = "_salt"
+    a = left.withColumn(name, F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
+    b = right.withColumn(name, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return a.join(b, [*keys, name]).drop(name)

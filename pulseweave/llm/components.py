@@ -2,16 +2,16 @@
 
 Rounds of large-star and small-star: each node's neighbours are linked to the smallest
 label near it, until no edge changes.  Every round is an aggregation and a join over
-edges and is written to the shared folder; a hot node is one row of the aggregate, and its
-edges are split by the planner's skew join.  Rounds grow with the logarithm of a
-component's size, and only two counts a round reach the driver.
+edges and is written to the shared folder.  A hot node is one row of the aggregate, and
+its edges are salted.  Rounds grow with the logarithm of a component's size, and only two
+numbers a round reach the driver.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pulseweave.llm.columns import written
+from pulseweave.llm.columns import salted, written
 
 
 def _star(edges: DataFrame, both: bool) -> DataFrame:
@@ -20,12 +20,12 @@ def _star(edges: DataFrame, both: bool) -> DataFrame:
     if both:
         arcs = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         near = arcs.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-        out = arcs.filter("b > a").join(near, "a").select(F.col("b").alias("a"),
-                                                          F.col("m").alias("b"))
+        out = salted(arcs.filter("b > a"), near, ["a"], F.col("b")).select(
+            F.col("b").alias("a"), F.col("m").alias("b"))
     else:
         near = edges.groupBy("a").agg(F.min("b").alias("m"))
-        moved = edges.join(near, "a").filter("b <> m").select(F.col("b").alias("a"),
-                                                              F.col("m").alias("b"))
+        moved = salted(edges, near, ["a"], F.col("b")).filter("b <> m").select(
+            F.col("b").alias("a"), F.col("m").alias("b"))
         out = moved.union(near.select("a", F.col("m").alias("b")))
     return out.filter("a <> b").distinct()
 
