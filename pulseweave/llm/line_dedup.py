@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from pulseweave.llm.columns import text_or_empty, written
+from pulseweave.llm.columns import salted, text_or_empty, written
 from pulseweave.llm.exchange import GROUP_BYTES, per_group
 from pulseweave.llm.tokens import U64, Words, mix, slices, words_of
 
@@ -162,14 +162,16 @@ def removed_lines(spark: SparkSession, docs: DataFrame, bound: EditBound) -> tup
     lines = written(spark, rows.select("grp", "place", "text_hash", "text").mapInArrow(
         lambda parts: _scan(parts, bound), LINES), "lines")
     first = F.min(F.struct("place", "line", "grp", "text_hash")).alias("first")
-    classes = written(spark, lines.groupBy("h1", "h2").agg(first, *[
-        F.first(k).alias(k) for k in ("k1", "k2", "k3", "k4")]), "line-classes")
+    # The halves' hashes follow from the words, so as keys they part no class.
+    classes = written(spark, lines.groupBy("h1", "h2", "k1", "k2", "k3", "k4").agg(
+        first, F.count("*").alias("times")), "line-classes")
     halves = classes.filter("k1 IS NOT NULL").select(
         "h1", F.explode(F.array("k1", "k2", "k3", "k4")).alias("half"))
-    live = (halves.groupBy("half").agg(F.min("h1").alias("low"), F.max("h1").alias("high"))
-            .filter("low <> high").select("half"))
+    one_half = Window.partitionBy("half")
+    live = halves.withColumns({"low": F.min("h1").over(one_half),
+                               "high": F.max("h1").over(one_half)}).filter("low <> high")
     # h1 alone may take in a class too many here, which the variants then tell apart.
-    lively = halves.join(live, "half", "left_semi").select("h1").distinct()
+    lively = live.select("h1").distinct()
     wanted = (classes.filter("k1 IS NOT NULL").join(lively, "h1")
               .select(F.col("first.grp").alias("grp"), F.col("first.place").alias("place"),
                       F.col("first.text_hash").alias("text_hash"),
@@ -188,11 +190,11 @@ def removed_lines(spark: SparkSession, docs: DataFrame, bound: EditBound) -> tup
         "whole", "swapped")))
     earlier = (variants.withColumn("least", least).filter(F.col("least") < at)
                .groupBy("h1", "h2").agg(F.min("least").alias("least")))
-    known = (classes.select("h1", "h2", F.struct(
-        F.col("first.place").alias("place"), F.col("first.line").alias("line")).alias("own"))
-        .join(earlier, ["h1", "h2"], "left")
-        .select("h1", "h2", F.least("own", F.coalesce("least", "own")).alias("least")))
-    removed = (lines.join(known, ["h1", "h2"]).filter(at > F.col("least"))
+    # Only lines that occur again or have a near line earlier can lose an occurrence.
+    again = classes.filter("times > 1").select("h1", "h2", F.struct(
+        F.col("first.place").alias("place"), F.col("first.line").alias("line")).alias("least"))
+    known = again.union(earlier).groupBy("h1", "h2").agg(F.min("least").alias("least"))
+    removed = (salted(lines, known, ["h1", "h2"], F.col("place")).filter(at > F.col("least"))
                .select("grp", "place", "text_hash", "line"))
     return rows, removed
 
