@@ -36,18 +36,24 @@ LEAF, FAN = 32, 16
 SEED = 42
 
 
-def fingerprint(text: bytes, shingle: int = SHINGLE, seed: int = SEED) -> int:
-    """Bit i is set when it is set in over half of the shingles' hashes."""
+def shingles(text: bytes, shingle: int = SHINGLE, seed: int = SEED) -> np.ndarray:
+    """Hashes of the runs of ``shingle`` words, or of all words when there are fewer."""
     found = text.lower().split()  # bytes: A-Z only, and exactly the word rule's blanks
     if not found:
-        return 0
+        return np.zeros(0, np.uint64)
     line = b" ".join(found)
     ends = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)) + 1) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
     n = min(shingle, len(found))
     digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(line[a:b], seed) for a, b in zip(
+    return np.fromiter((digest(line[a:b], seed) for a, b in zip(
         starts[:len(found) - n + 1].tolist(), ends[n - 1:].tolist())), np.uint64)
+
+
+def fingerprint_of(hashes: np.ndarray) -> int:
+    """Bit i is set when it is set in over half of the hashes."""
+    if not len(hashes):
+        return 0
     ones = np.zeros(64, np.int64)
     for k in range(0, len(hashes), 1 << 14):
         part = hashes[k:k + (1 << 14)].astype("<u8").view(np.uint8).reshape(-1, 8)
@@ -56,6 +62,11 @@ def fingerprint(text: bytes, shingle: int = SHINGLE, seed: int = SEED) -> int:
     return int(set_bits.view("<u8")[0])
 
 
+def fingerprint(text: bytes, shingle: int = SHINGLE, seed: int = SEED) -> int:
+    """Bit i is set when it is set in over half of the shingles' hashes."""
+    return fingerprint_of(shingles(text, shingle, seed))
+
+
 def with_fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """(doc_id, text_hash, fp) of every row; fp is the fingerprint as a signed long."""
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -262,6 +273,11 @@ def keep_one(spark: SparkSession, docs: DataFrame, bits: int = BITS,
     Rows with a null doc_id stay."""
     rows = written(spark, with_fingerprints(docs, shingle), "fingerprints")
     firsts = _classes(rows, bits).select("first.*").filter("doc_id IS NOT NULL").distinct()
+    return _only(docs, firsts)
+
+
+def _only(docs: DataFrame, firsts: DataFrame) -> DataFrame:
+    """Rows of ``docs`` named in ``firsts`` (doc_id, text_hash), once, and those without id."""
     whole = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"),
                         F.xxhash64(text_or_empty()).alias("hash"))
     unknown = whole.filter("id IS NULL").select("row")
