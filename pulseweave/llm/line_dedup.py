@@ -1,15 +1,18 @@
 """Line deduplication by a deletion-neighbourhood join.
 
-Lines are compared as their words with A-Z in lower case.  Two lines are near when one word
-substituted, inserted or deleted makes them equal (both with at least ``near_words`` words)
-or when they are equal (at least ``exact_words`` words).  Every occurrence of a line that
+Lines are compared as their words with A-Z in lower case.  Two lines are near when they are
+equal (at least ``exact_words`` words), or when one unit substituted, inserted or deleted
+makes them equal: one word, if both have at least ``near_words`` words; one character of
+the words joined by single blanks, if both have fewer words and at least ``near_chars``
+characters (none: never).  ``BOUND`` so allows one unit in eight; lines of fewer than eight
+characters can only be equal.  Every occurrence of a line that
 has an equal or near line earlier in the corpus - smaller doc_id, or same document and
 earlier line - is removed; lines are judged on the input.
 
 Equal lines become one class first, by two independent 64-bit hashes, so that a line in a
 third of all documents is one row.  Of two near lines either the first or the last halves
 are equal; only classes that share such a half with another class emit their deletion
-neighbourhood: every variant with one word left out, as hashed keys.  Equal variants are
+neighbourhood: every variant with one unit left out, as hashed keys.  Equal variants are
 joined and verified by a second hash, by length and by the place left out: same length and
 same place is one substitution, a whole line against a variant is one insertion.  A group
 of equal variants gives each member the group's earliest line, not its pairs.
@@ -30,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from pulseweave.llm.columns import salted, text_or_empty, written
 from pulseweave.llm.exchange import GROUP_BYTES, per_group
-from pulseweave.llm.tokens import U64, Words, mix, slices, words_of
+from pulseweave.llm.tokens import U64, Words, mix, slices, spans, words_of
 
 LAST = (1 << 63) - 1
 SEEDS = (0xA0761D6478BD642F | 3, 0xE7037ED1A0B428DB | 3)
@@ -38,8 +41,13 @@ SEEDS = (0xA0761D6478BD642F | 3, 0xE7037ED1A0B428DB | 3)
 
 @dataclass(frozen=True)
 class EditBound:
-    exact_words: int = 3
+    exact_words: int = 1
     near_words: int = 8
+    near_chars: int | None = None
+
+
+#: One edit in eight words or, in shorter lines, in eight characters.
+BOUND = EditBound(near_chars=8)
 
 
 class RangeHash:
@@ -77,6 +85,32 @@ def lines_of(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return first, ends, number[first]
 
 
+def chars_of(words: Words, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Code points of lines (words a to b, joined by single blanks), their starts and ends."""
+    n = b - a
+    at = np.repeat(a, n) + spans(n)
+    size = words.ends[at] - words.starts[at] + 1
+    stop = np.cumsum(size)
+    data = words.data[np.minimum(np.repeat(words.starts[at], size) + spans(size),
+                                 max(0, len(words.data) - 1))]
+    data[stop - 1] = 32
+    codes = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), "<u4").astype(U64)
+    begun = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))
+    end = stop[np.cumsum(n) - 1] if len(n) else stop
+    start = np.concatenate(([0], end[:-1])) if len(n) else stop
+    return codes, begun[start], begun[end] - 1
+
+
+def _halves(run: RangeHash, a: np.ndarray, b: np.ndarray) -> list[np.ndarray]:
+    """Keys of both halves of the line, and of it with one unit less."""
+    out = []
+    for least in (b - a, b - a - 1):
+        half = least // 2
+        tag = mix(least.astype(U64))
+        out += [run.of(a, a + half) ^ tag, run.of(b - (least - half), b) ^ ~tag]
+    return out
+
+
 def _scan(parts: Iterator[pa.RecordBatch], bound: EditBound) -> Iterator[pa.RecordBatch]:
     for batch in parts:
         for part in slices(batch):
@@ -93,12 +127,14 @@ def _scan(parts: Iterator[pa.RecordBatch], bound: EditBound) -> Iterator[pa.Reco
             number = number - breaks[begin][text]
             runs = [RangeHash(words.hashes(), seed) for seed in SEEDS]
             n = b - a
-            halves = []
-            for least in (n, n - 1):
-                half = least // 2
-                tag = mix(least.astype(U64))
-                halves += [runs[0].of(a, a + half) ^ tag, runs[0].of(b - (least - half), b) ^ ~tag]
+            halves = _halves(runs[0], a, b)
             near = n >= bound.near_words
+            if bound.near_chars is not None:
+                short = np.flatnonzero(~near)
+                codes, c, d = chars_of(words, a[short], b[short])
+                near[short] = d - c >= bound.near_chars
+                for half, key in zip(halves, _halves(RangeHash(codes, SEEDS[0]), c, d)):
+                    half[short] = key
             yield pa.record_batch(
                 [pa.array(part.column(c).to_numpy(False)[text])
                  for c in ("grp", "text_hash", "place")]
@@ -113,7 +149,7 @@ LINES = ("grp int, text_hash long, place long, line long, n int, h1 long, h2 lon
          "k1 long, k2 long, k3 long, k4 long")
 
 
-def _variants(table: pa.Table, wanted: pa.Table) -> pa.Table:
+def _variants(table: pa.Table, wanted: pa.Table, bound: EditBound) -> pa.Table:
     """Deletion neighbourhoods of a group's wanted lines."""
     out: dict[str, list] = {c: [np.zeros(0, np.int64)] for c in
                             ("v1", "v2", "n", "left_out", "h1", "h2", "place", "line")}
@@ -130,18 +166,23 @@ def _variants(table: pa.Table, wanted: pa.Table) -> pa.Table:
             a, b, number = lines_of(words)
             keep = np.isin(number, list(asked))
             a, b, number = a[keep], b[keep], number[keep]
-            runs = [RangeHash(words.hashes(), seed) for seed in SEEDS]
-            n = b - a
-            line = np.repeat(np.arange(len(a)), n)
-            place = np.arange(len(line)) - np.repeat(np.cumsum(n) - n, n)
-            for c, r in (("v1", runs[0]), ("v2", runs[1])):
-                out[c] += [r.without(a[line], a[line] + place, b[line]).view(np.int64),
-                           r.of(a, b).view(np.int64)]
-            out["left_out"] += [place, np.full(len(a), -1)]
-            out["n"] += [n[line], n]
-            for c in ("h1", "h2", "place", "line"):
-                values = np.array([asked[x][c] for x in number.tolist()], np.int64)
-                out[c] += [values[line], values]
+            long = b - a >= bound.near_words
+            units = [(words.hashes(), a[long], b[long], number[long])]
+            if not long.all():
+                units.append((*chars_of(words, a[~long], b[~long]), number[~long]))
+            for values, a, b, number in units:
+                runs = [RangeHash(values, seed) for seed in SEEDS]
+                n = b - a
+                line = np.repeat(np.arange(len(a)), n)
+                place = np.arange(len(line)) - np.repeat(np.cumsum(n) - n, n)
+                for c, r in (("v1", runs[0]), ("v2", runs[1])):
+                    out[c] += [r.without(a[line], a[line] + place, b[line]).view(np.int64),
+                               r.of(a, b).view(np.int64)]
+                out["left_out"] += [place, np.full(len(a), -1)]
+                out["n"] += [n[line], n]
+                for c in ("h1", "h2", "place", "line"):
+                    known = np.array([asked[x][c] for x in number.tolist()], np.int64)
+                    out[c] += [known[line], known]
     return pa.table({c: np.concatenate(x).astype(np.int64) for c, x in out.items()})
 
 
@@ -180,7 +221,8 @@ def removed_lines(spark: SparkSession, docs: DataFrame, bound: EditBound) -> tup
     # One shuffle by variant serves both kinds of edit.
     same = Window.partitionBy("v1", "v2")
     is_whole = F.col("left_out") < 0
-    variants = per_group(rows, wanted, _variants, VARIANTS).repartition("v1").withColumns({
+    variants = per_group(rows, wanted, lambda table, some: _variants(table, some, bound),
+                         VARIANTS).repartition("v1").withColumns({
         # One substitution: same length, same place left out.
         "swapped": F.min(at).over(Window.partitionBy("v1", "v2", "n", "left_out")),
         # One insertion: a whole line equal to a variant of a line one word longer.
@@ -199,7 +241,7 @@ def removed_lines(spark: SparkSession, docs: DataFrame, bound: EditBound) -> tup
     return rows, removed
 
 
-def dedup_lines(spark: SparkSession, docs: DataFrame, bound: EditBound = EditBound()) -> DataFrame:
+def dedup_lines(spark: SparkSession, docs: DataFrame, bound: EditBound = BOUND) -> DataFrame:
     """``docs`` without removed lines, and without documents left with no words.
 
     ``n_chars``, where there is one, becomes the length of the shortened text.
@@ -207,7 +249,7 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, bound: EditBound = EditBou
     return _rest(spark, docs, bound).filter("NOT gone").select(*docs.columns)
 
 
-def dedup_report(spark: SparkSession, docs: DataFrame, bound: EditBound = EditBound()) -> DataFrame:
+def dedup_report(spark: SparkSession, docs: DataFrame, bound: EditBound = BOUND) -> DataFrame:
     """Per row of ``docs``: doc_id, n_lines, n_removed, kept_sha256 of the rest, gone."""
     found = _rest(spark, docs.select("doc_id", "text"), bound)
     return found.select("doc_id", "n_lines", "n_removed",
