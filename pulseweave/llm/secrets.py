@@ -5,8 +5,8 @@ What they find is the labelled data: per kind at most ``sample`` distinct values
 the smallest hashes, and as many ordinary runs of credential characters.  Each set becomes a
 prefix tree over character classes whose states are merged while their outgoing and stopping
 frequencies agree within a Hoeffding bound, which gives a probabilistic automaton per kind.
-Every run of at least ``shortest`` credential characters with letters and digits that no base
-span overlaps is a candidate; the log-likelihood of its format under the best kind, less that
+Every run of at least ``shortest`` credential characters, less what base spans cover, is a
+candidate, whatever its mix of letters, digits and dots; the log-likelihood of its format under the best kind, less that
 under ordinary runs, is its score, and candidates from ``threshold`` on are added as spans of
 kind ``grammar``.
 
@@ -39,7 +39,8 @@ HEX = re.compile(r"[0-9a-f]{32,}")
 BASE_KINDS = ("assign", "access", "hex")
 HINTS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
-RUN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}")
+# Dots join parts of a run and never end one.
+RUN = re.compile(r"[A-Za-z0-9+/_=-]+(?:\.+[A-Za-z0-9+/_=-]+)*")
 OUT = ("doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, "
        "spans string, n_grammar long")
 
@@ -47,7 +48,7 @@ OUT = ("doc_id long, n_assign long, n_access long, n_hex long, base_sha256 strin
 @dataclass(frozen=True)
 class Inference:
     sample: int = 1000
-    shortest: int = 16
+    shortest: int = 8
     confidence: float = 0.05
     threshold: float = 10.0
 
@@ -66,15 +67,18 @@ def base_spans(text: str) -> list[tuple[int, int, str, str]]:
 
 
 def candidates(text: str, spans: list[tuple], shortest: int) -> Iterator[tuple[int, int, str]]:
-    """Runs with letters and digits that no span overlaps."""
+    """Runs of ``shortest`` characters or more, and what base spans leave of them."""
     for m in RUN.finditer(text):
-        a, b, run = m.start(), m.end(), m[0]
-        if b - a < shortest or run.isalpha() or run.isdigit():
+        at, end = m.span()
+        if end - at < shortest:
             continue
-        if not any(c.isdigit() for c in run) or not any(c.isalpha() for c in run):
-            continue
-        if not any(s < b and a < e for s, e, *_ in spans):
-            yield a, b, run
+        for s, e, *_ in [*(x for x in spans if x[0] < end and at < x[1]), (end, end)]:
+            # A part begins and ends without dots, like a run.
+            part = text[at:s].strip(".")
+            if len(part) >= shortest:
+                a = text.index(part, at)
+                yield a, a + len(part), part
+            at = max(at, e)
 
 
 # --- automata -------------------------------------------------------------------------
@@ -212,8 +216,7 @@ def labelled(spark: SparkSession, docs: DataFrame, rule: Inference) -> dict[str,
                 for _, _, kind, value in spans:
                     found[kind].add(value)
                 # Words as well as mixed runs: what a credential must be told from.
-                found[""].update(m[0] for m in RUN.finditer(text) if not any(
-                    s < m.end() and m.start() < e for s, e, *_ in spans))
+                found[""].update(run for _, _, run in candidates(text, spans, rule.shortest))
             rows = [(k, v, h) for k, values in found.items()
                     for h, v in heapq.nsmallest(rule.sample, ((_hash(v), v) for v in values))]
             yield pa.record_batch([pa.array([r[i] for r in rows], t) for i, t in enumerate(
