@@ -34,7 +34,7 @@ from pulseweave.llm.exchange import (ASKED, ASKED_SCHEMA, answers, as_batch, ask
                                      in_groups, known, pack, per_group, summed, unpack)
 from pulseweave.llm.tokens import BASE, U64, mix, slices, words_of
 
-ORDER = 2
+ORDER = 3
 PRIOR = 20.0
 START, END = U64(0x243F6A8885A308D3), U64(0x13198A2E03707344)
 
