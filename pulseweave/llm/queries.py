@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pulseweave.llm import (decontamination, kd_shards, line_dedup, lm_scoring, pseudonyms,
-                            quality, secrets, sentencepiece_backend, simhash, substring_dedup)
+from pulseweave.llm import (conversations, decontamination, kd_shards, line_dedup, lm_scoring,
+                            merkle, pseudonyms, quality, secrets, sentencepiece_backend, simhash,
+                            substring_dedup)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -99,3 +100,15 @@ def model_bytes(path: str = MODEL) -> bytes:
 def op10_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     """Token ids of every document, parity with sentencepiece, and the round trip."""
     return sentencepiece_backend.encode(documents(spark, folder), model_bytes())
+
+
+@query
+def op12_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    """Leaf, roots, siblings' digest and verification of every document."""
+    return merkle.manifest(spark, documents(spark, folder))
+
+
+@query
+def op13_conversations(spark: SparkSession, folder: str) -> DataFrame:
+    """Faults and cheapest repair of every (damaged) conversation."""
+    return conversations.repair(spark, spark.read.parquet(f"{folder}/conversations.parquet"))
