@@ -60,10 +60,9 @@ def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
 def asked(group: int, keys: np.ndarray, counts: np.ndarray, buckets: int) -> Iterator[tuple]:
     """Rows of ``ASKED`` for a group's distinct sorted keys."""
     bucket = bucket_of(keys, buckets)
-    edges = np.searchsorted(bucket, np.arange(buckets + 1))
-    for b in np.flatnonzero(np.diff(edges)):
-        part = slice(edges[b], edges[b + 1])
-        yield int(b), group, *pack(keys[part], counts[part])
+    present, first = np.unique(bucket, return_index=True)
+    for b, start, end in zip(present.tolist(), first, [*first[1:], len(keys)]):
+        yield b, group, *pack(keys[start:end], counts[start:end])
 
 
 def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
@@ -112,10 +111,11 @@ def answers(asks: DataFrame) -> DataFrame:
 def known(table: pa.Table, keys: np.ndarray, own: np.ndarray, buckets: int) -> np.ndarray:
     """Totals of a group's distinct sorted keys: the answers, else its own counts."""
     total = own.copy()
-    first = np.searchsorted(bucket_of(keys, buckets), np.arange(buckets))
-    for b, p, c in zip(*(table.column(x).to_pylist() for x in ("bucket", "places", "counts"))):
+    told = table.column("bucket").to_numpy()
+    first = np.searchsorted(bucket_of(keys, buckets), told)
+    for start, p, c in zip(first, *(table.column(x).to_pylist() for x in ("places", "counts"))):
         places, value = unpack(p, c)
-        total[first[b] + places.astype(np.int64)] = value
+        total[start + places.astype(np.int64)] = value
     return total
 
 

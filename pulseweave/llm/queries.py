@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pulseweave.llm import (conversations, decontamination, kd_shards, line_dedup, lm_scoring,
                             merkle, pseudonyms, quality, secrets, sentencepiece_backend, simhash,
-                            substring_dedup)
+                            substring_dedup, suffix_dedup)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -102,6 +102,12 @@ def op10_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return sentencepiece_backend.encode(documents(spark, folder), model_bytes())
 
 
+@query
+def op11_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Bytes removed from every document, and a digest of the rest."""
+    return suffix_dedup.dedup_bytes(spark, documents(spark, folder)).drop("kept")
+
+
 @query
 def op12_merkle(spark: SparkSession, folder: str) -> DataFrame:
     """Leaf, roots, siblings' digest and verification of every document."""

@@ -103,6 +103,43 @@ def words_of(texts: pa.Array, lower: bool = False, parting: np.ndarray = BLANK)
     return Words(data, starts, ends, np.searchsorted(starts, at))
 
 
+class RollingBytes:
+    """Bytes of consecutive texts, with a hash of any range inside."""
+
+    def __init__(self, texts: pa.Array):
+        texts = texts.fill_null("").cast(pa.large_string())
+        _, bounds, values = texts.buffers()
+        at = np.frombuffer(bounds, np.int64)[texts.offset:texts.offset + len(texts) + 1]
+        raw = np.frombuffer(values, np.uint8) if values is not None else np.zeros(0, np.uint8)
+        self.data = raw[at[0]:at[-1]]
+        self.at = at - at[0]
+        power, self.inverse = _POWERS.get(len(self.data) + 1)
+        self.sums = np.empty(len(self.data) + 1, U64)
+        self.sums[0] = 0
+        np.cumsum((self.data.astype(U64) + U64(1)) * power[:len(self.data)], out=self.sums[1:])
+
+    def hashes(self, n: int) -> np.ndarray:
+        """Hash of the ``n`` bytes from each place on (across texts too)."""
+        m = len(self.data) - n + 1
+        if m <= 0:
+            return np.zeros(0, U64)
+        return mix((self.sums[n:] - self.sums[:m]) * self.inverse[:m])
+
+    def hash_of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return mix((self.sums[end] - self.sums[start]) * self.inverse[start])
+
+    def windows(self, n: int) -> np.ndarray:
+        """Which places start ``n`` bytes of one text."""
+        m = max(0, len(self.data) - n + 1)
+        ok = np.ones(m, bool)
+        for edge in np.unique(self.at[1:-1]):
+            ok[max(0, edge - n + 1):min(m, edge)] = False
+        return ok
+
+    def text_of(self, place: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.at, place, "right") - 1
+
+
 def slices(batch: pa.RecordBatch, column: str = "text",
            size: int = SLICE) -> Iterator[pa.RecordBatch]:
     """Consecutive parts of a batch of about ``size`` bytes of text, one row at least."""
