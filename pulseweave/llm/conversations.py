@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pulseweave.llm.columns import BLANKS, salted, written
 from pulseweave.llm.positions import numbered
 
-CHUNK = 64
+CHUNK = 16
 DELETE, INSERT, KEEP, REROLE = "DIKR"
 COST = {DELETE: 3, INSERT: 2, KEEP: 0, REROLE: 2}
 TRUNCATED_COST = 1
@@ -65,6 +65,23 @@ def _kept(place: int, initial: str) -> int | None:
     return A if initial == "a" and place == U else None
 
 
+@lru_cache(maxsize=None)
+def _moves(code: str, place: int) -> tuple[tuple[str, int, int, int], ...]:
+    """The edits of a row in ASCII order: (edit, rows consumed, place, cost)."""
+    stays = TRUNCATED_COST if code[0] == "t" else 0
+    moves = [(DELETE, 1, place, COST[DELETE]), (INSERT, 0, NEXT[place], COST[INSERT])]
+    if not _forced(code):
+        kept = _kept(place, code[1])
+        if kept is not None:
+            moves.append((KEEP, 1, kept, COST[KEEP] + stays))
+        moves.append((REROLE, 1, NEXT[place], COST[REROLE] + stays))
+    return tuple(moves)
+
+
+def _least_cost(code: str) -> int:
+    return (COST[DELETE] if _forced(code) else TRUNCATED_COST if code[0] == "t" else 0)
+
+
 @lru_cache(maxsize=1 << 14)
 def search(codes: str, entry: int, after: tuple) -> tuple[int, str, int] | None:
     """(cost, edits, last place) of the best edits of a chunk, all its rows consumed.
@@ -73,60 +90,53 @@ def search(codes: str, entry: int, after: tuple) -> tuple[int, str, int] | None:
     last place, None where it cannot be."""
     rows = [codes[i:i + 2] for i in range(0, len(codes), 2)]
     n = len(rows)
-    if entry != START:
-        after = (None, *after[1:])
-    if entry not in (START, S) or not (entry == S or any(
-            r[1] == "s" and not _forced(r) for r in rows)):
-        after = (after[0], None, *after[2:])
+    # The start is left for good, and s is only reached from it by a row that is kept.
+    first_s = entry == S or entry == START and any(
+        r[1] == "s" and not _forced(r) for r in rows)
+    after = (after[0] if entry == START else None, after[1] if first_s else None, *after[2:])
     open_after = [x for x in after if x is not None]
     if not open_after:
         return None
-    floor = [0] * (n + 1)
-    floor[n] = min(open_after)
+    floor = [0] * n + [min(open_after)]
     for i in range(n - 1, -1, -1):
-        floor[i] = floor[i + 1] + (COST[DELETE] if _forced(rows[i]) else
-                                   TRUNCATED_COST if rows[i][0] == "t" else 0)
-    bound = floor[0]
-    while True:
-        failed: dict[tuple[int, int], int] = {}
-        path: list[str] = []
-        beyond: list[int] = []
-
-        def walk(i: int, place: int, budget: int) -> int | None:
-            """Last place of the first accepted path within ``budget``."""
-            if floor[i] > budget:
-                beyond.append(floor[i] - budget)
-                return None
-            if i == n:
-                if after[place] is None:
-                    return None
-                if after[place] > budget:
-                    beyond.append(after[place] - budget)
-                    return None
+        floor[i] = floor[i + 1] + _least_cost(rows[i])
+    far = 1 << 60
+    bound, beyond = floor[0], far
+    failed: dict[tuple[int, int], int] = {}
+    path: list[str] = []
+
+    def walk(i: int, place: int, budget: int) -> int | None:
+        """Last place of the first accepted path within ``budget``."""
+        nonlocal beyond
+        if i == n:
+            rest = after[place]
+            if rest is not None and rest <= budget:
                 return place
-            if failed.get((i, place), -1) >= budget:
-                return None
-            row = rows[i]
-            stays = TRUNCATED_COST if row[0] == "t" else 0
-            moves = [(DELETE, i + 1, place, COST[DELETE]), (INSERT, i, NEXT[place], COST[INSERT])]
-            if not _forced(row):
-                kept = _kept(place, row[1])
-                if kept is not None:
-                    moves.append((KEEP, i + 1, kept, COST[KEEP] + stays))
-                moves.append((REROLE, i + 1, NEXT[place], COST[REROLE] + stays))
-            for edit, row_after, place_after, cost in moves:
-                path.append(edit)
-                last = walk(row_after, place_after, budget - cost)
-                if last is not None:
-                    return last
-                path.pop()
-            failed[(i, place)] = budget
+            if rest is not None:
+                beyond = min(beyond, rest - budget)
             return None
+        if failed.get((i, place), -1) >= budget:
+            return None
+        for edit, rows_used, then, cost in _moves(rows[i], place):
+            left = budget - cost
+            if floor[i + rows_used] > left:
+                beyond = min(beyond, floor[i + rows_used] - left)
+                continue
+            path.append(edit)
+            last = walk(i + rows_used, then, left)
+            if last is not None:
+                return last
+            path.pop()
+        failed[(i, place)] = budget
+        return None
 
+    while True:
         last = walk(0, entry, bound)
         if last is not None:
             return bound, "".join(path), last
-        bound += min(beyond)
+        # The table holds within one bound: there a state's first failure has told what it lacks.
+        failed.clear()
+        bound, beyond = bound + beyond, far
 
 
 def _through(codes: str) -> list[list[int | None]]:

@@ -95,7 +95,7 @@ def test_plain_program(spark, rows, monkeypatch, chunk):
 
 
 def test_one_conversation_holds_most_rows(spark):
-    """3,000 rows of one conversation, many equal, over 47 chunks."""
+    """3,000 rows of one conversation, many equal, over 188 chunks."""
     rng = random.Random(1)
     rows = [(1, i, rng.choice(["user", "assistant"]), rng.choice(["same.", f"{i}", f"{i}."]))
             for i in range(3000)]
