@@ -491,8 +491,8 @@ def table_sink_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     ]
     counts = None
     for spec, rows in kinds:
-        path = append_table(rows, spec, root)
-        stored = spark.read.parquet(path)
+        append_table(rows, spec, root)
+        stored = read_stored(spark, spec, root)
         one = stored.groupBy(F.col(spec.partition).alias("part")).agg(
             F.count("*").alias("n_rows"), F.min(spec.time).alias("first_ts"))
         one = _ms(one.select(F.lit(spec.name).alias("table_name"), "part", "n_rows", "first_ts"),

@@ -1,22 +1,20 @@
 """Time-partitioned tables.
 
-All writers share one layout: the time partition first, below it who wrote
-(``writer``) and which batch (``batch_id``).  Appends, replaced micro-batches and
-streams may therefore write to one table at the same time, every reader sees all
-of them, and a batch that is written again replaces itself and nothing else.
+Appends, replaced micro-batches, streams and compaction may go to one table at the same
+time: each is a commit of the table's log (``table_log``), every reader sees a
+snapshot of all commits, and a batch that is written again replaces itself and nothing
+else.  Rows keep their time partition as a column; files hold narrow ranges of it, and a
+time-bounded read opens the files that can have rows in its bounds.
 """
 
 from __future__ import annotations
 
-import uuid
-from urllib.parse import unquote
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pulseweave.operators.patients import distinct_patients, new_patients
 from pulseweave.schemas import TableSpec
-
-BATCH = ["writer", "batch_id"]
+from pulseweave.sinks import table_log
+from pulseweave.sinks.table_log import APPEND, table_path
 
 
 def stored_rows(records: DataFrame, spec: TableSpec) -> DataFrame:
@@ -49,10 +47,9 @@ def ranged(rows: DataFrame, spec: TableSpec, tasks: int | None = None) -> DataFr
     return rows.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
 
 
-def _write(rows: DataFrame, spec: TableSpec, path: str, writer: str, batch_id: int) -> None:
-    (rows.withColumn("writer", F.lit(writer)).withColumn("batch_id", F.lit(batch_id))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(spec.partition, *BATCH).parquet(path))
+def _placed(rows: DataFrame, spec: TableSpec, layout: str = "rebalance",
+            tasks: int | None = None) -> DataFrame:
+    return ranged(rows, spec, tasks) if layout == "range" else rebalanced(rows, spec)
 
 
 def append_table(records: DataFrame, spec: TableSpec, root: str, layout: str = "rebalance",
@@ -62,64 +59,36 @@ def append_table(records: DataFrame, spec: TableSpec, root: str, layout: str = "
     ``layout="range"`` makes files of narrow patient ranges, for inputs that are
     cheap to compute twice.
     """
-    path = f"{root.rstrip('/')}/{spec.name}"
-    rows = stored_rows(records, spec)
-    placed = ranged(rows, spec, tasks) if layout == "range" else rebalanced(rows, spec)
-    _write(placed, spec, path, f"append-{uuid.uuid4().hex}", 0)
+    path = table_path(spec, root)
+    table_log.append(_placed(stored_rows(records, spec), spec, layout, tasks), spec, path,
+                     "append", APPEND)
     return path
 
 
 def replace_batch(records: DataFrame, spec: TableSpec, root: str, writer: str,
-                  batch_id: int) -> str:
+                  batch_id: int, added_patients: int = 0) -> str:
     """Write one micro-batch; writing it again replaces it.
 
-    Only the directories of this writer and batch are overwritten, so a retry
-    after a failure leaves neither gaps nor copies.  ``writer`` names the query;
+    A retry after a failure leaves neither gaps nor copies.  ``writer`` names the query;
     keep it with the query's checkpoint.
     """
-    path = f"{root.rstrip('/')}/{spec.name}"
-    _write(rebalanced(stored_rows(records, spec), spec), spec, path, writer, batch_id)
+    path = table_path(spec, root)
+    table_log.append(_placed(stored_rows(records, spec), spec), spec, path, writer, batch_id,
+                     added_patients)
     return path
 
 
-def read_stored(spark: SparkSession, spec: TableSpec, root: str) -> DataFrame:
-    """The rows of a table, whoever wrote them."""
-    return spark.read.parquet(f"{root.rstrip('/')}/{spec.name}").drop(*BATCH)
-
-
-def _file_system(spark: SparkSession, path: str):
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+def read_stored(spark: SparkSession, spec: TableSpec, root: str, version: int | None = None,
+                since: str | None = None, until: str | None = None) -> DataFrame:
+    """The rows of a table, whoever wrote them; ``since`` and ``until`` bound the time
+    partition and choose the files."""
+    return table_log.read(spark, spec, table_path(spec, root), version, since, until)
 
 
 def compact(spark: SparkSession, spec: TableSpec, root: str, before: str) -> int:
-    """Rewrite each time partition before ``before`` ('yyyy-MM-dd HH:mm:ss') that has
-    several batches as one; returns how many.
-
-    For closed partitions: nothing may write to or read from them meanwhile.  The new
-    files are complete in a folder beside the table before they take the place of
-    the old ones.
-    """
-    path = f"{root.rstrip('/')}/{spec.name}"
-    files, table = _file_system(spark, path)
-    closed = []
-    for entry in files.listStatus(table):
-        name = entry.getPath().getName()
-        if not name.startswith(f"{spec.partition}=") or unquote(name.split("=", 1)[1]) >= before:
-            continue
-        batches = sum(len(files.listStatus(w.getPath()))
-                      for w in files.listStatus(entry.getPath()) if w.isDirectory())
-        if batches > 1:
-            closed.append(name)
-    for name in closed:
-        staged = f"{root.rstrip('/')}/_compact/{spec.name}-{uuid.uuid4().hex}"
-        rows = spark.read.parquet(f"{path}/{name}").drop(*BATCH)
-        (rows.hint("rebalance").sortWithinPartitions(spec.cluster, spec.time)
-         .write.parquet(f"{staged}/writer=compact/batch_id=0"))
-        old = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}")
-        files.delete(old, True)
-        files.rename(spark._jvm.org.apache.hadoop.fs.Path(staged), old)
-    return len(closed)
+    """Rewrite the commits that lie before ``before`` ('yyyy-MM-dd HH:mm:ss') as one, in
+    files of narrow ranges; returns how many they were."""
+    return table_log.compact(spark, spec, table_path(spec, root), before, ranged)
 
 
 def add_new_patients(records: DataFrame, root: str) -> int:
@@ -134,9 +103,9 @@ def add_new_patients(records: DataFrame, root: str) -> int:
     try:
         if ids.isEmpty():
             return 0
-        files, table = _file_system(spark, path)
+        files = table_log.Files(spark, path)
         found = ids
-        if files.exists(table):
+        if files.fs.exists(files.path(path)):
             found = new_patients(ids, spark.read.schema("patient_id string").parquet(path))
         found = found.persist()
         try:

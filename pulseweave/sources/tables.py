@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pulseweave.functions.ids import uuid_from_long
+from pulseweave.schemas import TABLES
 from pulseweave.session import use_utc
+from pulseweave.sinks.tables import read_stored
 
 EVENTS_SCHEMA = (
     "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string"
@@ -13,12 +15,12 @@ EVENTS_SCHEMA = (
 
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """The rows of a stored table, without who wrote them."""
-    return spark.read.parquet(f"{root.rstrip('/')}/{name}").drop("writer", "batch_id")
+    """The rows of a stored table by its name, as they are now."""
+    return read_stored(spark, TABLES[name], root)
 
 
 def known_patients(spark: SparkSession, root: str) -> DataFrame:
-    return read_table(spark, root, "patient_ids").select("patient_id")
+    return spark.read.parquet(f"{root.rstrip('/')}/patient_ids").select("patient_id")
 
 
 def known_patients_jdbc(spark: SparkSession, url: str, table: str = "patient_ids",
