@@ -91,7 +91,7 @@ class Counts:
             self.cut(whole)
             return
         self.starts = self.starts + np.cumsum(more) - more
-        np.add.at(self.table, (symbols, block), 1)
+        np.add.at(self.table.reshape(-1), symbols.astype(np.int64) * len(self.starts) + block, 1)
         self._sum()
 
 
@@ -209,13 +209,13 @@ def repeats(texts: list[np.ndarray], length: int) -> list[np.ndarray]:
         own, behind, follows = own[order], behind[order], (after >= 0)[order]
         front = ends[texts_now] - j - 1
         new = np.where(sizes[texts_now] > j, data[np.maximum(front, 0)], 0).astype(np.uint8)
-        fresh = np.zeros(n + len(place), bool)
-        fresh[place] = True
+        stays = np.ones(n + len(place), bool)
+        stays[place] = False
         whole = np.empty(n + len(place), np.uint8)
         whole[place] = new
-        whole[~fresh] = old
+        whole[stays] = old
         joint = np.empty(n + len(place), np.uint8)
-        joint[~fresh] = prefix
+        joint[stays] = prefix
         joint[place[follows] + 1] = np.minimum(behind[follows], length)
         joint[place] = np.minimum(own, length)
         symbols.write(whole)

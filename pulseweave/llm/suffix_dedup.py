@@ -31,12 +31,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pulseweave.llm.bwt import repeats
 from pulseweave.llm.columns import written
 from pulseweave.llm.exchange import (ASKED, ASKED_SCHEMA, answers, as_batch, asked, in_groups,
-                                     known, per_group, summed)
+                                     known, per_group, summed, unpack)
 from pulseweave.llm.line_dedup import LAST
 from pulseweave.llm.tokens import U64, RollingBytes, mix, slices
 
 LENGTH, ANCHOR = 200, 24
-HOT = 2048
+HOT = 8192
 SHARD_BYTES = 2 << 20
 
 SENT = "grp int, route long, seg long, body binary, at binary, n long"
@@ -130,6 +130,9 @@ def _hot_windows(cut: list[Segments], hot: np.ndarray) -> tuple[np.ndarray, np.n
 
 def _ask_windows(table: pa.Table, answer: pa.Table, length: int, anchor: int, buckets: int,
                  hot: int) -> pa.Table:
+    if not any((unpack(p, c)[1] > hot).any() for p, c in zip(
+            answer.column("places").to_pylist(), answer.column("counts").to_pylist())):
+        return as_batch([], ASKED_SCHEMA)
     cut = [s for _, s in _cut_table(table, length, anchor)]
     keys, own = _totals([(s.route, s.times) for s in cut])
     busy = keys[known(answer, keys, own, buckets) > hot]
