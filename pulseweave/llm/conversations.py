@@ -37,6 +37,7 @@ from pulseweave.llm.columns import BLANKS, salted, written
 from pulseweave.llm.positions import numbered
 
 CHUNK = 16
+TASK_CHUNKS = 256  # a task's chunks, as long as there are enough tasks
 DELETE, INSERT, KEEP, REROLE = "DIKR"
 COST = {DELETE: 3, INSERT: 2, KEEP: 0, REROLE: 2}
 TRUNCATED_COST = 1
@@ -258,6 +259,10 @@ def options(spark: SparkSession, rows: DataFrame) -> DataFrame:
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("position", "code"))),
                                  lambda x: x["code"]), "").alias("codes")),
         "conversation-chunks")
+    # The search is work per row, not per byte: spread it further than the bytes call for.
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(1, min(tasks, chunks.count() // TASK_CHUNKS))
+    chunks = chunks.repartition(tasks, "grp", "chunk")
     one = chunks.filter(F.col("members") <= CHUNK).select(
         "*", *[F.lit(c).cast("long").alias(f"a{k}") for k, c in enumerate(END)])
     many = chunks.filter(F.col("members") > CHUNK)
@@ -267,7 +272,7 @@ def options(spark: SparkSession, rows: DataFrame) -> DataFrame:
               .mapInArrow(_sum_back, f"grp string, chunk long, {AFTER}"))
     columns = ["grp", "chunk", "codes", "a0", "a1", "a2", "a3"]
     return one.select(columns).union(many.join(follow, ["grp", "chunk"]).select(columns)) \
-        .mapInArrow(_options, OPTIONS_TYPE)
+        .repartition(tasks, "grp", "chunk").mapInArrow(_options, OPTIONS_TYPE)
 
 
 # --- the pass over a conversation -----------------------------------------------------
