@@ -32,9 +32,11 @@ from pulseweave.llm.tokens import U64, Words, slices
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = range(1, 7)
 UNIGRAM, BPE = 1, 2
-TABLE = 400_000
-#: Bytes of text that are encoded together.
-PART = 2 << 20
+#: Stretches whose ids a worker keeps, and how many new ones are kept apart before they are
+#: sorted in among them.
+TABLE, APART = 400_000, 1 << 15
+#: Bytes of text, and stretches, that are encoded together.
+PART, BATCH = 1 << 19, 1 << 12
 
 ENCODED = "doc_id long, ids array<int>, parity boolean, round_trip boolean"
 
@@ -199,61 +201,94 @@ class Encoder:
         self.clear()
 
     def clear(self) -> None:
-        self.keys = np.zeros(0, U64)
-        self.first = np.zeros(1, np.int64)
-        self.ids = np.zeros(0, np.int32)
-        self.agree = np.zeros(0, bool)
-
-    def plain(self, texts: list[str]) -> tuple[list[list[int]], np.ndarray]:
-        """Ids of whole texts, and where the sentencepiece library gives the same."""
-        ids = [e.ids for e in self.backend.encode_batch_fast(texts, add_special_tokens=False)]
-        if self.other is None:
-            return ids, np.ones(len(ids), bool)
-        theirs = self.other.encode(texts, num_threads=1)
-        return ids, np.array([a == b for a, b in zip(ids, theirs)], bool)
+        self.known = [Known.empty(), Known.empty()]
+
+    def plain(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Flat ids of whole texts, ids per text, and where the sentencepiece library gives
+        the same; ``BATCH`` texts at a time, whose encodings are dropped before the next."""
+        flat, sizes, agree = [np.zeros(0, np.int32)], [], []
+        for start in range(0, len(texts), BATCH):
+            part = texts[start:start + BATCH]
+            ids = [e.ids for e in self.backend.encode_batch_fast(part, add_special_tokens=False)]
+            theirs = ids if self.other is None else self.other.encode(part, num_threads=1)
+            agree += [a == b for a, b in zip(ids, theirs)]
+            sizes += [len(x) for x in ids]
+            flat.append(np.fromiter((i for x in ids for i in x), np.int32))
+        return np.concatenate(flat), np.array(sizes, np.int64), np.array(agree, bool)
 
     def _learn(self, keys: np.ndarray, stretches: list[str]) -> None:
-        ids, agree = self.plain(stretches)
-        size = np.array([len(x) for x in ids], np.int64)
-        flat = np.fromiter((i for x in ids for i in x), np.int32, int(size.sum()))
-        if len(self.keys) + len(keys) > TABLE:
-            self.clear()
-        both = np.concatenate((self.keys, keys))
-        order = np.argsort(both)
-        sizes = np.concatenate((np.diff(self.first), size))
-        begin = np.concatenate((self.first[:-1], len(self.ids) + np.cumsum(size) - size))
-        self.ids = _gather(np.concatenate((self.ids, flat)), begin[order], sizes[order])
-        self.keys = both[order]
-        self.first = np.concatenate(([0], np.cumsum(sizes[order])))
-        self.agree = np.concatenate((self.agree, agree))[order]
+        flat, size, agree = self.plain(stretches)
+        new = Known(keys, np.concatenate(([0], np.cumsum(size))), flat, agree)
+        main, apart = self.known
+        if len(main.keys) + len(apart.keys) + len(keys) > TABLE:
+            main = apart = Known.empty()
+        apart = apart.merged(new)
+        if len(apart.keys) > APART:
+            main, apart = main.merged(apart), Known.empty()
+        self.known = [main, apart]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Flat ids, ids per text, and parity per text."""
         if not self.apart:
-            ids, agree = self.plain(texts.to_pylist())
-            size = np.array([len(x) for x in ids], np.int64)
-            return np.fromiter((i for x in ids for i in x), np.int32, int(size.sum())), size, agree
+            return self.plain(texts.to_pylist())
         found = stretches_of(texts)
         keys, at, back = np.unique(found.hashes(), return_index=True, return_inverse=True)
-        fresh = np.ones(len(keys), bool)
-        if len(self.keys):
-            near = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-            fresh = self.keys[near] != keys
+        fresh = ~(self.known[0].has(keys) | self.known[1].has(keys))
         if fresh.any():
-            if len(self.keys) + int(fresh.sum()) > TABLE:
+            if sum(len(k.keys) for k in self.known) + int(fresh.sum()) > TABLE:
                 fresh[:] = True  # the table is emptied first
             raw = found.data.tobytes()
             self._learn(keys[fresh], [raw[a:b].decode() for a, b in zip(
                 _without_space(found, at[fresh]).tolist(), found.ends[at[fresh]].tolist())])
-        place = np.searchsorted(self.keys, keys)[back]
-        size = np.diff(self.first)[place]
-        ids = _gather(self.ids, self.first[:-1][place], size)
+        here = self.known[0].pick(keys).merged(self.known[1].pick(keys))
+        place = np.searchsorted(here.keys, keys)[back]
+        size = np.diff(here.first)[place]
+        ids = _gather(here.ids, here.first[:-1][place], size)
         ends = np.concatenate(([0], np.cumsum(size)))
         per_text = ends[found.first[1:]] - ends[found.first[:-1]]
-        wrong = np.concatenate(([0], np.cumsum(~self.agree[place])))
+        wrong = np.concatenate(([0], np.cumsum(~here.agree[place])))
         return ids, per_text, wrong[found.first[1:]] == wrong[found.first[:-1]]
 
 
+@dataclass
+class Known:
+    """Ids of stretches by the sorted hash of the stretch: ids first[i] to first[i + 1]."""
+    keys: np.ndarray
+    first: np.ndarray
+    ids: np.ndarray
+    agree: np.ndarray
+
+    @classmethod
+    def empty(cls) -> Known:
+        return cls(np.zeros(0, U64), np.zeros(1, np.int64), np.zeros(0, np.int32),
+                   np.zeros(0, bool))
+
+    def has(self, keys: np.ndarray) -> np.ndarray:
+        if not len(self.keys):
+            return np.zeros(len(keys), bool)
+        near = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return self.keys[near] == keys
+
+    def pick(self, keys: np.ndarray) -> Known:
+        """Those of the sorted ``keys`` that are known."""
+        keys = keys[self.has(keys)]
+        at = np.searchsorted(self.keys, keys)
+        size = np.diff(self.first)[at]
+        return Known(keys, np.concatenate(([0], np.cumsum(size))),
+                     _gather(self.ids, self.first[:-1][at], size), self.agree[at])
+
+    def merged(self, other: Known) -> Known:
+        if not len(self.keys) or not len(other.keys):
+            return other if not len(self.keys) else self
+        keys = np.concatenate((self.keys, other.keys))
+        order = np.argsort(keys, kind="stable")
+        size = np.concatenate((np.diff(self.first), np.diff(other.first)))
+        begin = np.concatenate((self.first[:-1], len(self.ids) + other.first[:-1]))
+        return Known(keys[order], np.concatenate(([0], np.cumsum(size[order]))),
+                     _gather(np.concatenate((self.ids, other.ids)), begin[order], size[order]),
+                     np.concatenate((self.agree, other.agree))[order])
+
+
 def _gather(values: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
     """values[begin:begin + size] of every pair, one after the other."""
     total = int(size.sum())
