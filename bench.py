@@ -16,6 +16,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pulseweave import build_session  # noqa: E402
+from pulseweave.plans import streams  # noqa: E402,F401  registers the queries over streams
 from pulseweave.plans.catalog import QUERIES  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")

@@ -143,12 +143,12 @@ class SessionScan:
         self.credits, self.grant = on_alert(self.credits, self.grant, self.floor)
 
 
-def with_moments(scanned: DataFrame) -> DataFrame:
+def with_moments(scanned: DataFrame, *extra: Column) -> DataFrame:
     """Scan output with timestamps for the session's first and last record."""
     return scanned.select(
         *KEYS, "session_id", F.timestamp_micros("first_us").alias("first_ts"),
         F.timestamp_micros("last_us").alias("last_ts"), "n_records", "avg_value",
-        "min_value", "max_value")
+        "min_value", "max_value", *extra)
 
 
 def session_ends(alert_at: list[int], n: int, credits: int, grant: int, cap: int,

@@ -62,16 +62,38 @@ def latency_stats(records: DataFrame, size: str = "1 minute",
     """
     records = records.filter(F.col("ts").isNotNull() & F.col("arrival_ts").isNotNull())
     if records.isStreaming:
-        ranks = [F.expr(f"percentile_disc({p / 100}) WITHIN GROUP (ORDER BY {LATENCY})")
-                 .cast("bigint").alias(f"p{p}") for p in percentiles]
-        return (with_latency(records).groupBy(_arrival_window(size))
-                .agg(F.max(LATENCY).alias("max_latency"), F.min(LATENCY).alias("min_latency"),
-                     F.avg(LATENCY).alias("avg_latency"), F.count("*").alias("n_records"), *ranks)
-                .select(F.col("w.start").alias("window_start"), "max_latency", "min_latency",
-                        "avg_latency", "n_records", *[f"p{p}" for p in percentiles]))
+        return _latency_stats_of_stream(with_latency(records), size, percentiles)
     return _latency_stats_of_table(with_latency(records), size, percentiles)
 
 
+def _latency_stats_of_stream(records: DataFrame, size: str,
+                             percentiles: Sequence[int]) -> DataFrame:
+    """Two aggregations in one query: counts per window and latency, whose state is one number
+    each, and then, of closed windows only, everything else from the counts.  A window's
+    second step holds its distinct latencies, never its records."""
+    counts = records.groupBy(_arrival_window(size), LATENCY).agg(F.count("*").alias("n"))
+    rows = F.array_sort(F.collect_list(F.struct(LATENCY, "n")))
+    closed = counts.groupBy(F.window(F.window_time("w"), size).alias("v")).agg(
+        F.max(LATENCY).alias("max_latency"), F.min(LATENCY).alias("min_latency"),
+        F.sum("n").alias("n_records"), F.sum(F.col(LATENCY) * F.col("n")).alias("total"),
+        rows.alias("rows"))
+
+    def at_rank(percentile: int) -> Column:
+        rank = F.floor((F.lit(percentile) * F.col("n_records") + 99) / 100)
+        start = F.struct(F.lit(0).cast("bigint").alias("seen"),
+                         F.lit(None).cast("bigint").alias("value"))
+        found = F.aggregate("rows", start, lambda acc, row: F.struct(
+            (acc["seen"] + row["n"]).alias("seen"),
+            F.when(acc["value"].isNull() & (acc["seen"] + row["n"] >= rank), row[LATENCY])
+            .otherwise(acc["value"]).alias("value")))
+        return found["value"].alias(f"p{percentile}")
+
+    return closed.select(
+        F.col("v.start").alias("window_start"), "max_latency", "min_latency",
+        (F.col("total") / F.col("n_records")).alias("avg_latency"), "n_records",
+        *[at_rank(p) for p in percentiles])
+
+
 def _latency_stats_of_table(records: DataFrame, size: str, percentiles: Sequence[int]) -> DataFrame:
     """Exact percentiles without sorting a window's records in one task.
 

@@ -30,12 +30,3 @@ def ngram_table(patient_ids: DataFrame, shortest: int = 3, longest: int = 8) ->
         raise ValueError("lookups need grams of three characters")
     return patient_ids.select(
         "patient_id", F.explode(ngrams(F.col("patient_id"), shortest, longest)).alias("gram"))
-
-
-def store_ngrams(grams: DataFrame, root: str) -> str:
-    """Write a gram table partitioned by the grams' first three characters (``lead``),
-    so that a lookup lists one partition; returns where."""
-    path = f"{root.rstrip('/')}/patient_ngrams"
-    (grams.withColumn("lead", F.substring("gram", 1, 3)).hint("rebalance", "lead")
-     .write.mode("append").partitionBy("lead").parquet(path))
-    return path

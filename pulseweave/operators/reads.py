@@ -106,18 +106,16 @@ def matching_patients(patient_ids: DataFrame, fragment: str) -> DataFrame:
 
 
 def matching_patients_by_ngram(gram_table: DataFrame, fragment: str) -> DataFrame:
-    """The same search over ``patients.ngram_table``: the fragment's leading
-    gram picks one partition of the table, the rest is checked on the ids.
+    """The same search over ``patients.ngram_table``: the fragment's leading gram
+    chooses rows, the rest is checked on the ids.
 
-    The table must hold grams of the shortest fragment's length (three).  Stored with
-    ``patients.store_ngrams``, only the partition of the gram is read.
+    The table must hold grams of the shortest fragment's length (three).  A stored index
+    is ``gram_index``.
     """
     ids = gram_table.select("patient_id").distinct()
     if len(fragment) < SHORTEST_FRAGMENT:
         return ids.filter(F.lit(False))
     gram = fragment[:SHORTEST_FRAGMENT]
-    if "lead" in gram_table.columns:
-        gram_table = gram_table.filter(F.col("lead") == F.lit(gram))
     return (gram_table.filter((F.col("gram") == F.lit(gram))
                               & F.col("patient_id").contains(F.lit(fragment)))
             .select("patient_id").distinct())

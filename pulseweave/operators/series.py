@@ -26,6 +26,17 @@ def one_per_key(rows: DataFrame, keys: Sequence[str], order: Sequence[str] = ())
     return best.select(*keys, "best.*").select(*rows.columns)
 
 
+def dedup_within(rows: DataFrame, keys: Sequence[str], within: str,
+                 time: str = "ts") -> DataFrame:
+    """One row per key of a stream whose repeats come at most ``within`` apart in event time.
+
+    Keys leave the state once the watermark (``within`` behind the newest row) has passed
+    them, so the state holds a stretch of the stream instead of all of it.  A repeat that comes
+    later than that is dropped as late or stays, as any late row.
+    """
+    return rows.withWatermark(time, within).dropDuplicatesWithinWatermark(list(keys))
+
+
 def dedup_points(rows: DataFrame, order: Sequence[str] = ()) -> DataFrame:
     """One row per patient, unit and time."""
     return one_per_key(rows, ["patient_id", "unit", "ts"], order)

@@ -13,12 +13,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pulseweave.dims import credit_caps, normal_ranges, unit_classes
 from pulseweave.functions.ids import bytes_from_uuid, stable_id, uuid_from_bytes
 from pulseweave.functions.times import from_millis, to_millis
-from pulseweave.operators import (alerts as al, batches, credits, drift, meters, notify,
+from pulseweave.operators import (alerts as al, batches, credits, drift, gram_index, meters, notify,
                                   patients, reads, routing, series, sessions, windows)
 from pulseweave.plans import settings as s
+from pulseweave.plans.slices import open_slices, slices
 from pulseweave.schemas import (AGGREGATED_RECORDS, ALERTS, DRIFT_ALERTS, GLOBAL_AVERAGES,
-                                SENSOR_RECORD, TableSpec)
-from pulseweave.session import ROCKSDB_PROVIDER, shared_dir
+                                TableSpec)
+from pulseweave.session import shared_dir
 from pulseweave.sinks.tables import append_table, read_stored, replace_batch, stored_rows
 from pulseweave.sources.dimensions import parse_ranges
 from pulseweave.sources.tables import (EVENTS_SCHEMA, as_sensor_records, events, user_of,
@@ -302,9 +303,8 @@ def search_patients(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def search_patients_ngram(spark: SparkSession, folder: str) -> DataFrame:
     ids = patients.distinct_patients(_records(spark, folder))
-    path = patients.store_ngrams(patients.ngram_table(ids, 3, 3), shared_dir(spark, "grams"))
-    stored = spark.read.schema("patient_id string, gram string, lead string").parquet(path)
-    return reads.matching_patients_by_ngram(stored, s.FRAGMENT)
+    path = gram_index.build_gram_index(ids, shared_dir(spark, "grams"))
+    return gram_index.lookup(gram_index.read_gram_index(spark, path), s.FRAGMENT)
 
 
 @query
@@ -552,20 +552,8 @@ def throughput_5s(spark: SparkSession, folder: str) -> DataFrame:
 # The events are laid out in time slices, which a file stream then reads one per
 # micro-batch until they are used up; each query returns what its stream stored.
 
-def _slices(spark: SparkSession, folder: str) -> str:
-    path = shared_dir(spark, "slices")
-    records = _records(spark, folder)
-    for i, (low, high) in enumerate(zip(s.SLICES, s.SLICES[1:])):
-        part = records.filter((F.col("ts") >= F.lit(low).cast("timestamp"))
-                              & (F.col("ts") < F.lit(high).cast("timestamp")))
-        part.coalesce(1).write.parquet(f"{path}/part{i}")
-    return path
-
-
-def _stream(spark: SparkSession, path: str) -> DataFrame:
-    if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != ROCKSDB_PROVIDER:
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
-    return file_stream(spark, SENSOR_RECORD, f"{path}/part*/*.parquet", 1)
+def _slices(spark: SparkSession, folder: str) -> tuple[str, int]:
+    return slices(spark, _records(spark, folder))
 
 
 def _stored_stream(spark: SparkSession, rows: DataFrame, spec: TableSpec,
@@ -591,21 +579,21 @@ def _kept_stream(spark: SparkSession, rows: DataFrame) -> DataFrame:
 
 @query
 def stream_alerts(spark: SparkSession, folder: str) -> DataFrame:
-    incoming = _stream(spark, _slices(spark, folder))
+    incoming = open_slices(spark, _slices(spark, folder))
     found = _stored_stream(spark, alert_job(incoming, normal_ranges(spark, s.RANGES)), ALERTS)
     return _ms(found.drop(ALERTS.partition), "ts")
 
 
 @query
 def stream_minutely(spark: SparkSession, folder: str) -> DataFrame:
-    incoming = _stream(spark, _slices(spark, folder))
+    incoming = open_slices(spark, _slices(spark, folder))
     found = _stored_stream(spark, minute_job(incoming, "1 day"), AGGREGATED_RECORDS)
     return _ms(_rounded(found.drop(AGGREGATED_RECORDS.partition), "avg_v"), "ts")
 
 
 @query
 def stream_global_averages(spark: SparkSession, folder: str) -> DataFrame:
-    incoming = _stream(spark, _slices(spark, folder))
+    incoming = open_slices(spark, _slices(spark, folder))
     found = _stored_stream(spark, global_average_job(incoming, "1 hour"), GLOBAL_AVERAGES)
     return _ms(_rounded(found.select(F.col("u").alias("unit"), "ts", F.col("v").alias("value")),
                         "value"), "ts")
@@ -616,22 +604,22 @@ def stream_credit_sessions(spark: SparkSession, folder: str) -> DataFrame:
     """Records and their alerts as two streams."""
     path = _slices(spark, folder)
     ranges = normal_ranges(spark, s.RANGES)
-    raised = al.out_of_range(_stream(spark, path), ranges)
-    found = _kept_stream(spark, stream_credits(_stream(spark, path), credit_caps(spark, s.CAPS),
+    raised = al.out_of_range(open_slices(spark, path), ranges)
+    found = _kept_stream(spark, stream_credits(open_slices(spark, path), credit_caps(spark, s.CAPS),
                                                raised))
     return _ms(_rounded(found, "avg_value"), "first_ts", "last_ts")
 
 
 @query
 def stream_drift(spark: SparkSession, folder: str) -> DataFrame:
-    incoming = _per_patient(_stream(spark, _slices(spark, folder)))
+    incoming = _per_patient(open_slices(spark, _slices(spark, folder)))
     return _drifts_out(_kept_stream(spark, drift_stream(incoming, F.lit(True), "per_drift")))
 
 
 @query
 def stream_new_patients(spark: SparkSession, folder: str) -> DataFrame:
     root = shared_dir(spark, "ids")
-    run = patient_stream(_stream(spark, _slices(spark, folder)), root,
+    run = patient_stream(open_slices(spark, _slices(spark, folder)), root,
                          shared_dir(spark, "checkpoint"), trigger={"availableNow": True})
     run.awaitTermination()
     return spark.read.parquet(f"{root}/patient_ids")
@@ -651,7 +639,7 @@ def stream_fan_out(spark: SparkSession, folder: str) -> DataFrame:
         "push": notification_target(notify.alert_events, lambda _: watched, send),
         "off": table_target(ALERTS, root, "off"),
     }
-    incoming = _stream(spark, _slices(spark, folder))
+    incoming = open_slices(spark, _slices(spark, folder))
     run = fan_out(alert_job(incoming, normal_ranges(spark, s.RANGES)), targets, {"off": False},
                   shared_dir(spark, "checkpoint"))
     run.awaitTermination()

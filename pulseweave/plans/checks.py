@@ -190,15 +190,41 @@ def _credit(walk: str) -> str:
         GROUP BY w.patient_id, w.unit, w.session_id HAVING bool_or(w.closes)""", walk)
 
 
-def _stats(days: int) -> str:
-    width = days * DAY
+def _stats(width: int, source: str = "alert_rows") -> str:
     return _with(f"""
         SELECT {_floor("arrival_us", str(width))} AS window_start, max(l) AS max_latency,
                min(l) AS min_latency, round(avg(l), 9) AS avg_latency, count(*) AS n_records,
                quantile_disc(l, 0.2) AS p20, quantile_disc(l, 0.5) AS p50,
                quantile_disc(l, 0.8) AS p80
-        FROM (SELECT *, arrival_us // 1000 - us // 1000 AS l FROM alert_rows) AS x
-        GROUP BY arrival_us // {width}""", "alert_rows")
+        FROM (SELECT *, arrival_us // 1000 - us // 1000 AS l FROM {source}) AS x
+        GROUP BY arrival_us // {width}""", source)
+
+
+#: The time slice of a row, from 0.
+_SLICE = ("CAST((" + " + ".join(
+    f"CAST(us >= epoch_us(TIMESTAMP '{x} 00:00:00') AS INTEGER)" for x in s.SLICES[1:-1])
+    + ") AS BIGINT)")
+
+#: Unsigned crc32 of an ASCII text, bit by bit.
+_CRC32 = ("xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform("
+          "string_split({t}, ''), lambda ch: ascii(ch)::BIGINT)), lambda crc, b: "
+          "list_reduce(list_prepend(xor(crc, b), [0::BIGINT, 1, 2, 3, 4, 5, 6, 7]), "
+          "lambda v, k: xor(v >> 1, 3988292384 * (v & 1)))), 4294967295)")
+
+
+def _expiry() -> str:
+    """Credit sessions of lives: a life is a series of its own."""
+    lives = f"""
+        SELECT patient_id || '@' || min(us) OVER (PARTITION BY patient_id, unit, life)
+                   AS patient_id, unit, value, us, user_id, arrival_us
+        FROM (SELECT *, sum(opens) OVER (PARTITION BY patient_id, unit ORDER BY us, value) AS life
+              FROM (SELECT *, CASE WHEN us - lag(us) OVER (PARTITION BY patient_id, unit
+                               ORDER BY us, value) > {s.EXPIRE_US} THEN 1 ELSE 0 END AS opens
+                    FROM sensor) AS a) AS b"""
+    walked = _credit("walk_plain").replace("numbered AS (", f"lives AS ({lives}),\nnumbered AS (",
+                                           1).replace("FROM sensor),\ncaps", "FROM lives),\ncaps")
+    return f"""SELECT * REPLACE (split_part(patient_id, '@', 1) AS patient_id),
+        CAST(split_part(patient_id, '@', 2) AS BIGINT) // 1000 AS since FROM ({walked}) AS w"""
 
 
 def _hourly(select: str, source: str = "sensor", width: int = HOUR) -> str:
@@ -245,6 +271,19 @@ _NOTIFY_GROUPS = f"""
 _BURST_FLOOR = """(SELECT patient_id, unit, least(1000.0, min(min_value)) AS floor
                    FROM daily GROUP BY patient_id, unit)"""
 
+SESSIONIZED = _with("""
+    SELECT patient_id, unit, session_id, (min(us // 1000) + max(us // 1000)) // 2 AS ts,
+           round(avg(value), 9) AS avg_value, min(value) AS min_value,
+           max(value) AS max_value, count(*) AS n_records
+    FROM (SELECT *, sum(opens) OVER (PARTITION BY patient_id, unit, session_id ORDER BY us) AS no
+          FROM (SELECT n.*, w.session_id, CASE WHEN n.us - lag(n.us) OVER
+                           (PARTITION BY n.patient_id, n.unit, w.session_id ORDER BY n.us)
+                           > gap_us THEN 1 ELSE 0 END AS opens
+                FROM walk_plain w JOIN numbered n
+                    ON n.patient_id = w.patient_id AND n.unit = w.unit AND n.rn = w.rn
+                JOIN classes k ON k.unit = n.unit) AS a) AS b
+    GROUP BY patient_id, unit, session_id, no""", "walk_plain", "classes")
+
 CHECKS: dict[str, str] = {
     "alerts": _with("SELECT id, patient_id, ts, unit, value FROM alert_rows", "alert_rows"),
     "alert_flags": _with(
@@ -298,18 +337,8 @@ CHECKS: dict[str, str] = {
     "session_long": _with(
         "SELECT * EXCLUDE (route) FROM class_sessions WHERE route = 'long'", "class_sessions"),
     "session_union": _with("SELECT * EXCLUDE (route) FROM class_sessions", "class_sessions"),
-    "sessionized_windows": _with("""
-        SELECT patient_id, unit, session_id, (min(us // 1000) + max(us // 1000)) // 2 AS ts,
-               round(avg(value), 9) AS avg_value, min(value) AS min_value,
-               max(value) AS max_value, count(*) AS n_records
-        FROM (SELECT *, sum(opens) OVER (PARTITION BY patient_id, unit, session_id ORDER BY us) AS no
-              FROM (SELECT n.*, w.session_id, CASE WHEN n.us - lag(n.us) OVER
-                               (PARTITION BY n.patient_id, n.unit, w.session_id ORDER BY n.us)
-                               > gap_us THEN 1 ELSE 0 END AS opens
-                    FROM walk_plain w JOIN numbered n
-                        ON n.patient_id = w.patient_id AND n.unit = w.unit AND n.rn = w.rn
-                    JOIN classes k ON k.unit = n.unit) AS a) AS b
-        GROUP BY patient_id, unit, session_id, no""", "walk_plain", "classes"),
+    "sessionized_windows": SESSIONIZED,
+    "stream_sessions": SESSIONIZED,
     "credit_sessions": _credit("walk_plain"),
     "credit_sessions_alerts": _credit("walk_alerts"),
     "credit_sessions_alerts_long": _credit("walk_alerts"),
@@ -359,8 +388,8 @@ CHECKS: dict[str, str] = {
         SELECT id, patient_id, ts AS timestamp, unit, value
         FROM alert_rows WHERE patient_id = '{s.PATIENT}'
             AND us BETWEEN {s.WEEK_MS[0]} * 1000 AND {s.WEEK_MS[1]} * 1000""", "alert_rows"),
-    "latency_stats_short": _stats(1),
-    "latency_stats_long": _stats(15),
+    "latency_stats_short": _stats(DAY),
+    "latency_stats_long": _stats(15 * DAY),
     "latency_per_second": _hourly("greatest(0, max(l)) AS max_latency, count(*) AS n_records"),
     "batch_earliest": _hourly("""
         arg_min(us // 1000, (us, patient_id, unit)) AS ts,
@@ -462,6 +491,27 @@ CHECKS: dict[str, str] = {
     "stream_credit_sessions": _credit("walk_alerts"),
     "stream_drift": _drifts(True, f"SELECT {_DRIFT_COLUMNS} FROM found"),
     "stream_new_patients": _with("SELECT DISTINCT patient_id FROM sensor", "sensor"),
+    "stream_resumed": _with("""
+        SELECT id, patient_id, ts, unit AS u, round(avg_value, 9) AS avg_v,
+               min_value AS min_v, max_value AS max_v FROM daily""", "daily"),
+    "stream_expiry": _expiry(),
+    "stream_latency_stats": f"""
+        SELECT *, '1 minute' AS size FROM ({_stats(60 * SECOND, "sensor")}) AS a UNION ALL
+        SELECT *, '15 minutes' AS size FROM ({_stats(900 * SECOND, "sensor")}) AS b""",
+    "stream_throughput": _throughput(HOUR),
+    "stream_chunks": _with(f"""
+        SELECT batch, i AS chunk, least(n - i * {s.CHUNK_ROWS}, {s.CHUNK_ROWS}) AS n_rows
+        FROM (SELECT {_SLICE} AS batch, count(*) AS n FROM alert_rows GROUP BY batch) AS b,
+             unnest(range((n + {s.CHUNK_ROWS} - 1) // {s.CHUNK_ROWS})) AS u(i)""", "alert_rows"),
+    "stream_accepted": _with(f"""
+        SELECT 'alerts' AS writer, count(DISTINCT {_SLICE}) AS batches, count(*) AS n_rows,
+               count(DISTINCT patient_id) AS new_patients FROM alert_rows
+        HAVING count(*) > 0""", "alert_rows"),
+    "stream_subscriptions": _with(f"""
+        SELECT id, patient_id AS channel, ts, {_SLICE} AS batch FROM alert_rows
+        WHERE {_CRC32.format(t="patient_id")} % 3 <= {_SLICE}""", "alert_rows"),
+    "stream_dedup": _with(f"SELECT {_SENSOR_MS} FROM sensor", "sensor"),
+    "stream_debounced": _with(_NOTIFY_GROUPS, "watched"),
     "stream_fan_out": _with("""
         SELECT (SELECT count(*) FROM alert_rows) AS n_alerts,
                (SELECT count(DISTINCT patient_id) FROM alert_rows) AS n_patients,

@@ -30,3 +30,8 @@ QUIET_SECONDS = 6 * 3600
 HALF = "2024-01-16 00:00:00"
 # Edges of the time slices that streams read one by one; together all of the data.
 SLICES = ("1970-01-01", "2024-01-09", "2024-01-17", "2024-01-25", "2100-01-01")
+# Streams: how long a series may be silent, how far arrivals may be out of order, rows a write.
+EXPIRE = "2 days"
+EXPIRE_US = 2 * 86_400_000_000
+ARRIVAL_DELAY = "2 days"
+CHUNK_ROWS = 500

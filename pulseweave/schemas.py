@@ -71,5 +71,12 @@ GLOBAL_AVERAGES = TableSpec(
     time="ts", partition="ts_day", grain="day", cluster="u",
     trigger="100 milliseconds",
 )
+SESSION_WINDOWS = TableSpec(
+    name="session_windows",
+    columns={c: c for c in ("patient_id", "unit", "session_id", "ts", "avg_value", "min_value",
+                            "max_value", "n_records")},
+    time="ts", partition="ts_day", grain="day", cluster="patient_id",
+    trigger="2 seconds",
+)
 
 TABLES = {t.name: t for t in (AGGREGATED_RECORDS, ALERTS, DRIFT_ALERTS, GLOBAL_AVERAGES)}

@@ -78,6 +78,36 @@ def replace_batch(records: DataFrame, spec: TableSpec, root: str, writer: str,
     return path
 
 
+def in_chunks(rows: DataFrame, size: int) -> DataFrame:
+    """Add ``chunk``, 0, 1, ...: chunks of exactly ``size`` rows, the last one of what is left.
+
+    Rows are numbered within their partition and partitions begin after the rows of earlier
+    ones; only one count per partition is ordered.  The rows must come in the same
+    partitions each time they are computed: pass a persisted or stored frame.
+    """
+    low_bits = 33  # of monotonically_increasing_id: the row number within a partition
+    numbered = rows.withColumn("_at", F.monotonically_increasing_id())
+    part, row = F.shiftright("_at", low_bits), F.col("_at").bitwiseAND((1 << low_bits) - 1)
+    numbered = numbered.withColumn("_part", part)
+    starts = (numbered.groupBy("_part").agg(F.count("*").alias("_n"))
+              .selectExpr("_part", "sum(_n) OVER (ORDER BY _part) - _n AS _start"))
+    place = row + F.col("_start")
+    return (numbered.join(starts, "_part")
+            .withColumn("chunk", F.floor(place / size)).drop("_at", "_part", "_start"))
+
+
+def replace_chunks(records: DataFrame, spec: TableSpec, root: str, writer: str, batch_id: int,
+                   size: int) -> str:
+    """Write one micro-batch as chunks of ``size`` rows, one file each; writing it again
+    replaces them.  The stored rows keep their ``batch`` and ``chunk``."""
+    path = table_path(spec, root)
+    chunks = in_chunks(stored_rows(records, spec), size).withColumn("batch", F.lit(batch_id))
+    count = -(-records.count() // size)
+    placed = chunks.repartitionByRange(max(1, count), "chunk").sortWithinPartitions("chunk")
+    table_log.append(placed, spec, path, writer, batch_id, maxRecordsPerFile=size)
+    return path
+
+
 def read_stored(spark: SparkSession, spec: TableSpec, root: str, version: int | None = None,
                 since: str | None = None, until: str | None = None) -> DataFrame:
     """The rows of a table, whoever wrote them; ``since`` and ``until`` bound the time

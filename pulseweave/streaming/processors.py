@@ -14,6 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from pulseweave.functions.times import micros
 from pulseweave.operators.credits import KEYS, SessionScan, in_series, with_caps, with_moments
 from pulseweave.operators.credits import SCAN_SCHEMA as SESSION_ROWS
 from pulseweave.operators.drift import (SCAN_COLUMNS, SCAN_SCHEMA, STATE_SCHEMA, DriftCall,
@@ -201,6 +202,123 @@ class CarryOver(StatefulProcessor):
         pass
 
 
+class ExpiringCreditSessions(CreditSessions):
+    """Credit sessions of series that end: a series silent for longer than ``expire_us`` of
+    event time loses its state, with the session that is open.  A record after that begins
+    a new life: session 1 with the first credits.  Each session says when its life began.
+
+    Silence within one micro-batch counts like silence between two, so results do not
+    depend on how the stream is cut; a timer frees the state of series that do not return.
+    """
+
+    def __init__(self, expire_us: int):
+        super().__init__()
+        self.expire_us = expire_us
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self.handle = handle
+        self.life = handle.getValueState("life", "since bigint, last bigint")
+
+    def _deadline(self, last_us: int) -> int:
+        # Timers are in whole milliseconds; a series expires after, not at, the bound.
+        return (last_us + self.expire_us) // 1000 + 1
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        frame = _in_order(rows, ["us", "kind", "value"])
+        since, last = self.life.get() if self.life.exists() else (None, None)
+        if last is not None:
+            self.handle.deleteTimer(self._deadline(last))
+        us = frame["us"]
+        silent = us.diff() > self.expire_us
+        if last is not None:
+            silent.iloc[0] = us.iloc[0] - last > self.expire_us
+        for _, part in frame.groupby(silent.cumsum(), sort=True):
+            if silent.loc[part.index[0]] and self.state.exists():
+                self.state.clear()
+                since = None
+            since = int(part["us"].iat[0]) if since is None else since
+            for out in super().handleInputRows(key, iter([part]), timerValues):
+                yield out.assign(since_us=since)
+            if part.index[-1] != frame.index[-1]:
+                self.state.clear()
+                since = None
+        last = int(us.iloc[-1])
+        self.life.update((since, last))
+        self.handle.registerTimer(self._deadline(last))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if self.life.exists() and self._deadline(self.life.get()[1]) <= \
+                expiredTimerInfo.getExpiryTimeInMs():
+            self.life.clear()
+            self.state.clear()
+        return iter(())
+
+
+def stream_expiring_sessions(records: DataFrame, caps: DataFrame, expire: str,
+                             delay: str) -> DataFrame:
+    """Full credit sessions of a stream whose series expire after ``expire`` without records;
+    ``delay`` is how late records may be."""
+    rows = in_series(records.withWatermark("ts", delay)).select(
+        *KEYS, "ts", "value", F.lit(False).alias("is_alert"), F.lit(RECORD).alias("kind"),
+        F.unix_micros("ts").alias("us"))
+    found = with_caps(rows, caps).groupBy(*KEYS).transformWithStateInPandas(
+        ExpiringCreditSessions(micros(expire)),
+        outputStructType=f"{SESSION_ROWS}, since_us bigint",
+        outputMode="Append", timeMode="EventTime")
+    return with_moments(found, F.timestamp_micros("since_us").alias("since"))
+
+
+class Debounce(StatefulProcessor):
+    """One row per burst of a key, sent once the key has been quiet for ``quiet_us``."""
+
+    def __init__(self, quiet_us: int):
+        self.quiet_us = quiet_us
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.burst = handle.getValueState("burst", "last bigint, n bigint")
+
+    def _deadline(self, last_us: int) -> int:
+        return -(-(last_us + self.quiet_us) // 1000)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        last, n = self.burst.get() if self.burst.exists() else (None, 0)
+        if last is not None:
+            self.handle.deleteTimer(self._deadline(last))
+        sent = []
+        for us in _in_order(rows, ["us"])["us"].tolist():
+            if last is not None and us - last >= self.quiet_us:
+                sent.append((*key, last + self.quiet_us, n))
+                n = 0
+            last, n = us, n + 1
+        self.burst.update((last, n))
+        self.handle.registerTimer(self._deadline(last))
+        if sent:
+            yield self._frame(sent)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if self.burst.exists():
+            last, n = self.burst.get()
+            if self._deadline(last) <= expiredTimerInfo.getExpiryTimeInMs():
+                self.burst.clear()
+                yield self._frame([(*key, last + self.quiet_us, n)])
+
+    @staticmethod
+    def _frame(rows: list[tuple]) -> pd.DataFrame:
+        return pd.DataFrame.from_records(rows, columns=["patient_id", "sent_us", "n_records"])
+
+
+def debounced(records: DataFrame, quiet: str, delay: str, arrival: str = "arrival_ts") -> DataFrame:
+    """(patient_id, sent_ts, n_records) of every burst of a patient's records by arrival."""
+    rows = records.withWatermark(arrival, delay).select(
+        "patient_id", arrival, F.unix_micros(arrival).alias("us")).filter("us IS NOT NULL")
+    sent = rows.groupBy("patient_id").transformWithStateInPandas(
+        Debounce(micros(quiet)), outputStructType="patient_id string, sent_us bigint, n_records bigint",
+        outputMode="Append", timeMode="EventTime")
+    return sent.select("patient_id", F.timestamp_micros("sent_us").alias("sent_ts"), "n_records")
+
+
 def carry_over(windows: DataFrame) -> DataFrame:
     """Add ``latest_ts`` and ``n_previous`` to a stream of closed windows with
     columns window_start, window_end, n_records, latest_here and max_latency."""

@@ -11,7 +11,9 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from pulseweave.operators.patients import distinct_patients
 from pulseweave.schemas import TableSpec
-from pulseweave.sinks.tables import add_new_patients, replace_batch
+from pulseweave.sinks import table_log
+from pulseweave.sinks.tables import (add_new_patients, read_stored, replace_batch,
+                                     replace_chunks)
 
 Target = Callable[[DataFrame, int], None]
 
@@ -49,13 +51,16 @@ def table_stream(records: DataFrame, spec: TableSpec, root: str, checkpoint: str
 
 def table_target(spec: TableSpec, root: str, writer: str, patients: bool = False,
                  accepted: Accepted | None = None) -> Target:
-    """A target that stores each micro-batch once, however often it is tried."""
+    """A target that stores each micro-batch once, however often it is tried.
+
+    The table's log keeps how many rows and new patients each batch brought
+    (``table_log.accepted``), also over restarts; ``accepted`` counts this process's own."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = batch.count()
         if rows:
-            replace_batch(batch, spec, root, writer, batch_id)
             added = add_new_patients(batch, root) if patients else 0
+            replace_batch(batch, spec, root, writer, batch_id, added)
             if accepted is not None:
                 accepted.new_patients += added
         if accepted is not None:
@@ -83,20 +88,49 @@ def patient_stream(records: DataFrame, root: str, checkpoint: str,
             .trigger(**(trigger or {"processingTime": "2 seconds"})).start())
 
 
+def chunk_target(spec: TableSpec, root: str, writer: str, size: int) -> Target:
+    """A target that stores each micro-batch in chunks of ``size`` rows: the trigger bounds
+    how long rows wait, the size how many go into one write."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        if not batch.isEmpty():
+            replace_chunks(batch, spec, root, writer, batch_id, size)
+
+    write.reads_again = True  # type: ignore[attr-defined]
+    return write
+
+
 def notification_target(make: Callable[[DataFrame, DataFrame], DataFrame],
-                        subscriptions: Callable[[SparkSession], DataFrame],
-                        write: Callable[[DataFrame, int], None]) -> Target:
+                        subscriptions: Callable[..., DataFrame],
+                        write: Callable[[DataFrame, int], None],
+                        per_batch: bool = False) -> Target:
     """Notifications of a micro-batch for whoever is subscribed at that time.
 
-    ``subscriptions`` is called, and so read again, for every micro-batch.
+    ``subscriptions`` is called, and so read again, for every micro-batch; with ``per_batch``
+    it is given the batch id too, so that a batch that is tried again finds the same set
+    (see ``subscribed_at``).
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        write(make(batch, subscriptions(batch.sparkSession)), batch_id)
+        now = (subscriptions(batch.sparkSession, batch_id) if per_batch
+               else subscriptions(batch.sparkSession))
+        write(make(batch, now), batch_id)
 
     return run
 
 
+def subscribed_at(spec: TableSpec, root: str, reader: str
+                  ) -> Callable[[SparkSession, int], DataFrame]:
+    """Subscriptions from a stored table, polled at each micro-batch: the newest snapshot the
+    first time, and the same one whenever the batch is tried again."""
+
+    def read(spark: SparkSession, batch_id: int) -> DataFrame:
+        version = table_log.pinned(spark, table_log.table_path(spec, root), reader, batch_id)
+        return read_stored(spark, spec, root, version).select("patient_id").distinct()
+
+    return read
+
+
 def fan_out(records: DataFrame, targets: dict[str, Target], enabled: dict[str, bool],
             checkpoint: str, trigger: dict | None = None,
             mode: str = "append") -> StreamingQuery:

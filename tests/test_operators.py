@@ -420,17 +420,6 @@ def test_records_without_latency_are_left_out(spark):
     assert [r.n_records for r in meters.latency_stats(frame, "1 day").collect()] == [1]
 
 
-def test_gram_lookup_reads_one_partition(spark, tmp_path):
-    ids = spark.createDataFrame([(P + str(i),) for i in range(10)], "patient_id string")
-    path = patients.store_ngrams(patients.ngram_table(ids), str(tmp_path))
-    found = reads.matching_patients_by_ngram(spark.read.parquet(path), "0003")
-    plan = found._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(lead" in plan and "(lead" in plan
-    assert [r.patient_id for r in found.collect()] == [P + "3"]
-    with pytest.raises(ValueError):
-        patients.ngram_table(ids, shortest=4)
-
-
 def test_lanes_follow_the_hubs_of_a_tick(spark, records):
     frame = records([(P[:-2] + f"{i:02d}", "u", 5.0 + i % 3, 1.0) for i in range(90)]
                     + [(P + "1", "u", 100.0, 1.0)])
