@@ -58,13 +58,14 @@ def test_expiry_does_not_depend_on_batches(spark, records, tmp_path):
 
 
 def test_debounce_does_not_depend_on_batches(spark, records, tmp_path):
-    rows = [("p", "view", t, 1) for t in (0, 5, 9, 20, 29, 100, 109, 120, 500)]
+    # Not from time 0 on: the first watermark is there, and what is not after it is late.
+    rows = [("p", "view", 1000 + t, 1) for t in (0, 5, 9, 20, 29, 100, 109, 120, 500)]
     found = []
     for batches in (1, 4):
         folder = laid(records, str(tmp_path / f"in{batches}"), rows, batches)
         stream = jobs.file_stream(spark, SCHEMA, f"{folder}/part*/*.parquet", 1)
         sent = debounced(stream, "10 seconds", "1 second", "ts").filter("patient_id = 'p'")
-        found.append([(r[1].timestamp(), r[2]) for r in run(sent, tmp_path, f"c{batches}")])
+        found.append([(r[1].timestamp() - 1000, r[2]) for r in run(sent, tmp_path, f"c{batches}")])
     assert found[0] == found[1] == [(19.0, 3), (39.0, 2), (119.0, 2), (130.0, 1), (510.0, 1)]
 
 
