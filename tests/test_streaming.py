@@ -171,7 +171,7 @@ def test_restart_neither_loses_nor_repeats(spark, source, tmp_path):
             frame, {"table": sinks.table_target(AGGREGATED_RECORDS, table, "credits")}, {},
             checkpoint, mode="update")
         query.awaitTermination()
-        total = spark.read.parquet(f"{table}/aggregated_records").count()
+        total = read_stored(spark, AGGREGATED_RECORDS, table).count()
     whole = credits.credit_sessions_with_alerts(al.with_alert_flag(records, ranges), caps)
     assert total == whole.count()
 
