@@ -3,8 +3,9 @@
 import corpus_pipeline
 import pytest
 
-from pulseweave.llm import (decontamination, kd_shards, line_dedup, lm_scoring, pseudonyms,
-                            quality, secrets, sentencepiece_backend, simhash, substring_dedup)
+from pulseweave.llm import (decontamination, kd_shards, line_dedup, lm_scoring, merkle,
+                            pseudonyms, quality, secrets, sentencepiece_backend, simhash,
+                            substring_dedup, suffix_dedup)
 from pulseweave.llm.queries import model_bytes
 
 OPERATORS = {
@@ -16,6 +17,8 @@ OPERATORS = {
     "lines": line_dedup.dedup_report,
     "simhash": simhash.near_duplicates,
     "quality": lambda spark, docs: quality.judge(docs),
+    "bytes": suffix_dedup.dedup_bytes,
+    "merkle": merkle.manifest,
     "encode": lambda spark, docs: sentencepiece_backend.encode(docs, model_bytes()),
 }
 
