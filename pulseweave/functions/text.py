@@ -26,10 +26,6 @@ def unit_label(unit: Column) -> Column:
     return F.replace(unit, F.lit("/"), F.lit(" / "))
 
 
-def series_key(patient_id: Column, unit: Column) -> Column:
-    return F.concat(patient_id, unit)
-
-
 def ngrams(text: Column, shortest: int = 3, longest: int = 8) -> Column:
     """Distinct lower-case n-grams of one text value, as an array.
 
