@@ -1,17 +1,22 @@
 """Per-series state machines for ``transformWithState``.
 
-They run the same step functions as the batch scans.  Rows of one key arrive in
-any order within a micro-batch and are sorted there; what one call holds in
-memory is one key's rows of one micro-batch, which the source's rate limit
-bounds.
+They run the same step functions as the batch scans.  A call costs milliseconds
+whatever it is given, so the key of a call is a bucket of series: its state is a list
+with a row per series, and the call goes through the bucket's series one by one.  Rows
+arrive in any order within a micro-batch and are sorted there; what one call holds in
+memory is one bucket's rows of one micro-batch, which the source's rate limit and the
+number of buckets bound, and its states.  That number belongs to a query's state: keep
+it over restarts.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from itertools import groupby
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, GroupedData, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from pulseweave.functions.times import micros
@@ -21,6 +26,9 @@ from pulseweave.operators.drift import (SCAN_COLUMNS, SCAN_SCHEMA, STATE_SCHEMA,
                                         DriftWindow, drift_rows, series_rows)
 
 RECORD, ALERT = 0, 1
+BUCKETS = 512
+SCANNED = ["max_credits", "min_credits", "us", "kind", "value", "is_alert"]
+SESSION_COLUMNS = [field.split()[0] for field in SESSION_ROWS.split(", ")]
 
 
 def _in_order(frames: Iterator[pd.DataFrame], columns: list[str]) -> pd.DataFrame:
@@ -28,6 +36,43 @@ def _in_order(frames: Iterator[pd.DataFrame], columns: list[str]) -> pd.DataFram
     return whole.sort_values(columns, kind="stable")
 
 
+def in_buckets(rows: DataFrame, buckets: int) -> GroupedData:
+    return rows.withColumn("bucket", F.pmod(F.xxhash64(*KEYS), F.lit(buckets))).groupBy("bucket")
+
+
+class SeriesProcessor(StatefulProcessor):
+    """Runs the series of a bucket: a list of states, each of patient, unit and ``STATE``."""
+
+    STATE = ""
+    ORDER = ["us", "kind", "value"]
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.states = handle.getListState("series", self._schema())
+
+    def _schema(self) -> str:
+        return f"patient_id string, unit string, {self.STATE}"
+
+    def _load(self) -> dict[tuple, tuple]:
+        return {row[:2]: row[2:] for row in self.states.get()}
+
+    def _store(self, states: dict[tuple, tuple]) -> None:
+        self.states.put([(*key, *state) for key, state in states.items()])
+
+    def _ordered(self, rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
+        return _in_order(rows, [*KEYS, *self.ORDER])
+
+    @staticmethod
+    def _series(frame: pd.DataFrame, *columns: str) -> Iterator[tuple[tuple, list[list]]]:
+        """Each series of an ordered frame with these columns of its rows."""
+        lists, at = [frame[c].tolist() for c in columns], 0
+        for key, same in groupby(zip(frame["patient_id"].tolist(), frame["unit"].tolist())):
+            start, at = at, at + sum(1 for _ in same)
+            yield key, [values[start:at] for values in lists]
+
+    def close(self) -> None:
+        pass
+
+
 class CreditSessions(StatefulProcessor):
     """Credit sessions fed by records (kind 0) and alerts (kind 1)."""
 
@@ -67,6 +112,16 @@ class CreditSessions(StatefulProcessor):
         pass
 
 
+def _kept(scan: SessionScan) -> tuple:
+    return (scan.session_id, scan.credits, scan.grant, scan.n, scan.total, scan.lowest,
+            scan.highest, scan.first_us)
+
+
+def _resume(scan: SessionScan, state: tuple) -> None:
+    (scan.session_id, scan.credits, scan.grant, scan.n, scan.total, scan.lowest,
+     scan.highest, scan.first_us) = state
+
+
 def stream_credit_sessions(flagged: DataFrame, caps: DataFrame, alerts: DataFrame | None = None,
                            ttl_ms: int | None = None) -> DataFrame:
     """Full credit sessions of a stream.
@@ -202,67 +257,74 @@ class CarryOver(StatefulProcessor):
         pass
 
 
-class ExpiringCreditSessions(CreditSessions):
+class ExpiringCreditSessions(SeriesProcessor):
     """Credit sessions of series that end: a series silent for longer than ``expire_us`` of
     event time loses its state, with the session that is open.  A record after that begins
     a new life: session 1 with the first credits.  Each session says when its life began.
 
     Silence within one micro-batch counts like silence between two, so results do not
-    depend on how the stream is cut; a timer frees the state of series that do not return.
+    depend on how the stream is cut.  Every call frees the bucket's series that do not
+    return, and a timer the last of them.
     """
 
+    STATE = ("session_id bigint, credits bigint, grant bigint, n bigint, total double, "
+             "lowest double, highest double, first_us bigint, since bigint, last bigint")
+
     def __init__(self, expire_us: int):
-        super().__init__()
         self.expire_us = expire_us
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         super().init(handle)
         self.handle = handle
-        self.life = handle.getValueState("life", "since bigint, last bigint")
 
     def _deadline(self, last_us: int) -> int:
         # Timers are in whole milliseconds; a series expires after, not at, the bound.
         return (last_us + self.expire_us) // 1000 + 1
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        frame = _in_order(rows, ["us", "kind", "value"])
-        since, last = self.life.get() if self.life.exists() else (None, None)
-        if last is not None:
-            self.handle.deleteTimer(self._deadline(last))
-        us = frame["us"]
-        silent = us.diff() > self.expire_us
-        if last is not None:
-            silent.iloc[0] = us.iloc[0] - last > self.expire_us
-        for _, part in frame.groupby(silent.cumsum(), sort=True):
-            if silent.loc[part.index[0]] and self.state.exists():
-                self.state.clear()
-                since = None
-            since = int(part["us"].iat[0]) if since is None else since
-            for out in super().handleInputRows(key, iter([part]), timerValues):
-                yield out.assign(since_us=since)
-            if part.index[-1] != frame.index[-1]:
-                self.state.clear()
-                since = None
-        last = int(us.iloc[-1])
-        self.life.update((since, last))
-        self.handle.registerTimer(self._deadline(last))
+        states, closed = self._load(), []
+        if states:
+            self.handle.deleteTimer(self._deadline(max(s[-1] for s in states.values())))
+        for series, (caps, floors, *columns) in self._series(self._ordered(rows), *SCANNED):
+            cap, floor = int(caps[0]), int(floors[0])
+            scan, since, last = SessionScan(cap, floor), None, None
+            if series in states:
+                *state, since, last = states[series]
+                _resume(scan, state)
+            for us, kind, value, raises in zip(*columns):
+                if last is None or us - last > self.expire_us:
+                    scan, since = SessionScan(cap, floor), us
+                last = us
+                if kind == RECORD:
+                    done = scan.step(us, value)
+                    if done is not None:
+                        closed.append((*series, *done, since))
+                if kind == ALERT or raises:
+                    scan.alert()
+            states[series] = (*_kept(scan), since, last)
+        passed = timerValues.getCurrentWatermarkInMs()
+        alive = {k: state for k, state in states.items() if self._deadline(state[-1]) > passed}
+        self._store(alive)
+        if alive:
+            self.handle.registerTimer(self._deadline(max(s[-1] for s in alive.values())))
+        if closed:
+            yield pd.DataFrame.from_records(closed, columns=[*SESSION_COLUMNS, "since_us"])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if self.life.exists() and self._deadline(self.life.get()[1]) <= \
-                expiredTimerInfo.getExpiryTimeInMs():
-            self.life.clear()
-            self.state.clear()
+        if all(self._deadline(state[-1]) <= expiredTimerInfo.getExpiryTimeInMs()
+               for state in self._load().values()):
+            self.states.clear()
         return iter(())
 
 
 def stream_expiring_sessions(records: DataFrame, caps: DataFrame, expire: str,
-                             delay: str) -> DataFrame:
+                             delay: str, buckets: int = BUCKETS) -> DataFrame:
     """Full credit sessions of a stream whose series expire after ``expire`` without records;
     ``delay`` is how late records may be."""
     rows = in_series(records.withWatermark("ts", delay)).select(
         *KEYS, "ts", "value", F.lit(False).alias("is_alert"), F.lit(RECORD).alias("kind"),
         F.unix_micros("ts").alias("us"))
-    found = with_caps(rows, caps).groupBy(*KEYS).transformWithStateInPandas(
+    found = in_buckets(with_caps(rows, caps), buckets).transformWithStateInPandas(
         ExpiringCreditSessions(micros(expire)),
         outputStructType=f"{SESSION_ROWS}, since_us bigint",
         outputMode="Append", timeMode="EventTime")
