@@ -73,43 +73,48 @@ class SeriesProcessor(StatefulProcessor):
         pass
 
 
-class CreditSessions(StatefulProcessor):
-    """Credit sessions fed by records (kind 0) and alerts (kind 1)."""
+class CreditSessions(SeriesProcessor):
+    """Credit sessions fed by records (kind 0) and alerts (kind 1).
+
+    With ``ttl_ms`` a series that has had no rows for so long begins anew; the list goes
+    once its whole bucket has had none.
+    """
 
     STATE = ("session_id bigint, credits bigint, grant bigint, n bigint, total double, "
-             "lowest double, highest double, first_us bigint")
+             "lowest double, highest double, first_us bigint, seen_ms bigint")
 
     def __init__(self, ttl_ms: int | None = None):
         self.ttl_ms = ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("credit", self.STATE, self.ttl_ms)
+        self.states = handle.getListState("series", self._schema(), self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        frame = _in_order(rows, ["us", "kind", "value"])
-        cap, floor = int(frame["max_credits"].iat[0]), int(frame["min_credits"].iat[0])
-        scan = SessionScan(cap, floor)
-        if self.state.exists():
-            (scan.session_id, scan.credits, scan.grant, scan.n, scan.total, scan.lowest,
-             scan.highest, scan.first_us) = self.state.get()
-        closed = []
-        for us, kind, value, raises in zip(*(frame[c].tolist()
-                                             for c in ("us", "kind", "value", "is_alert"))):
-            if kind == RECORD:
-                done = scan.step(us, value)
-                if done is not None:
-                    closed.append((*key, *done))
-            if kind == ALERT or raises:
-                scan.alert()
-        self.state.update((scan.session_id, scan.credits, scan.grant, scan.n, scan.total,
-                           scan.lowest, scan.highest, scan.first_us))
+        states, closed = _alive(self._load(), self.ttl_ms, timerValues), []
+        now = timerValues.getCurrentProcessingTimeInMs() if self.ttl_ms else 0
+        for series, (caps, floors, *columns) in self._series(self._ordered(rows), *SCANNED):
+            scan = SessionScan(int(caps[0]), int(floors[0]))
+            if series in states:
+                _resume(scan, states[series][:8])
+            for us, kind, value, raises in zip(*columns):
+                if kind == RECORD:
+                    done = scan.step(us, value)
+                    if done is not None:
+                        closed.append((*series, *done))
+                if kind == ALERT or raises:
+                    scan.alert()
+            states[series] = (*_kept(scan), now)
+        self._store(states)
         if closed:
-            yield pd.DataFrame.from_records(closed, columns=[
-                "patient_id", "unit", "session_id", "first_us", "last_us", "n_records",
-                "avg_value", "min_value", "max_value"])
+            yield pd.DataFrame.from_records(closed, columns=SESSION_COLUMNS)
 
-    def close(self) -> None:
-        pass
+
+def _alive(states: dict[tuple, tuple], ttl_ms: int | None, timerValues) -> dict[tuple, tuple]:
+    """The states (which end in ``seen_ms``) without those that are too old."""
+    if not ttl_ms:
+        return states
+    now = timerValues.getCurrentProcessingTimeInMs()
+    return {key: state for key, state in states.items() if state[-1] + ttl_ms > now}
 
 
 def _kept(scan: SessionScan) -> tuple:
@@ -123,7 +128,7 @@ def _resume(scan: SessionScan, state: tuple) -> None:
 
 
 def stream_credit_sessions(flagged: DataFrame, caps: DataFrame, alerts: DataFrame | None = None,
-                           ttl_ms: int | None = None) -> DataFrame:
+                           ttl_ms: int | None = None, buckets: int = BUCKETS) -> DataFrame:
     """Full credit sessions of a stream.
 
     Alerts come either as an ``is_alert`` column of the records, or as a second
@@ -139,7 +144,7 @@ def stream_credit_sessions(flagged: DataFrame, caps: DataFrame, alerts: DataFram
             *KEYS, "ts", F.lit(0.0).alias("value"), F.lit(False).alias("is_alert"),
             F.lit(ALERT).alias("kind")))
     inputs = with_caps(rows, caps).withColumn("us", F.unix_micros("ts")).drop("ts")
-    return with_moments(inputs.groupBy(*KEYS).transformWithStateInPandas(
+    return with_moments(in_buckets(inputs, buckets).transformWithStateInPandas(
         CreditSessions(ttl_ms), outputStructType=SESSION_ROWS, outputMode="Update",
         timeMode="ProcessingTime" if ttl_ms else "None"))
 

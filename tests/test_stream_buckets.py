@@ -69,6 +69,22 @@ def call(processor, rows, ms=0):
             for r in out.itertuples(index=False)]
 
 
+def test_a_call_reads_and_writes_its_state_once():
+    processor, handle = CreditSessions(), Handle()
+    processor.init(handle)
+    found = call(processor, [(f"p{i}", i) for i in range(300)])
+    assert len(found) == 300 and len(handle.listed.rows) == 300 and handle.listed.uses == 2
+
+
+def test_a_series_too_old_begins_anew_beside_others():
+    processor, handle = CreditSessions(ttl_ms=100), Handle()
+    processor.init(handle)
+    call(processor, [("old", 1), ("new", 1)], 0)
+    call(processor, [("new", 2)], 60)
+    found = call(processor, [("old", 3), ("new", 3), ("new", 4)], 120)
+    assert sorted((r[0], r[2]) for r in found) == [("new", 3), ("old", 1)]
+
+
 def test_calls_and_the_timer_free_expired_series():
     processor, handle = ExpiringCreditSessions(10_000), Handle()
     processor.init(handle)
