@@ -149,32 +149,29 @@ def stream_credit_sessions(flagged: DataFrame, caps: DataFrame, alerts: DataFram
         timeMode="ProcessingTime" if ttl_ms else "None"))
 
 
-class NumberBySession(StatefulProcessor):
+class NumberBySession(SeriesProcessor):
     """Hands every record on with the id of its credit session."""
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState(
-            "credit", "session_id bigint, credits bigint, grant bigint")
+    STATE = "session_id bigint, credits bigint, grant bigint"
+    ORDER = ["ts", "value"]
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        frame = _in_order(rows, ["ts", "value"])
-        scan = SessionScan(int(frame["max_credits"].iat[0]), int(frame["min_credits"].iat[0]))
-        if self.state.exists():
-            scan.session_id, scan.credits, scan.grant = self.state.get()
-        ids = []
-        for value, raises in zip(frame["value"].tolist(), frame["is_alert"].tolist()):
-            ids.append(scan.session_id)
-            scan.step(0, value)
-            if raises:
-                scan.alert()
-        self.state.update((scan.session_id, scan.credits, scan.grant))
+        states, frame, ids = self._load(), self._ordered(rows), []
+        for series, (caps, floors, values, alerts) in self._series(
+                frame, "max_credits", "min_credits", "value", "is_alert"):
+            scan = SessionScan(int(caps[0]), int(floors[0]), states.get(series))
+            for value, raises in zip(values, alerts):
+                ids.append(scan.session_id)
+                scan.step(0, value)
+                if raises:
+                    scan.alert()
+            states[series] = (scan.session_id, scan.credits, scan.grant)
+        self._store(states)
         yield frame[["patient_id", "unit", "ts", "value"]].assign(session_id=ids)
 
-    def close(self) -> None:
-        pass
-
 
-def sessionized_records(flagged: DataFrame, caps: DataFrame) -> DataFrame:
+def sessionized_records(flagged: DataFrame, caps: DataFrame,
+                        buckets: int = BUCKETS) -> DataFrame:
     """The stream of records keyed by (patient, unit, session).
 
     Event time is passed on, so gap sessions can follow in the same query:
@@ -183,7 +180,7 @@ def sessionized_records(flagged: DataFrame, caps: DataFrame) -> DataFrame:
     rows = flagged
     if "is_alert" not in rows.columns:
         rows = rows.withColumn("is_alert", F.lit(False))
-    return with_caps(in_series(rows), caps).groupBy(*KEYS).transformWithStateInPandas(
+    return in_buckets(with_caps(in_series(rows), caps), buckets).transformWithStateInPandas(
         NumberBySession(),
         outputStructType="patient_id string, unit string, ts timestamp, value double, "
                          "session_id bigint",

@@ -76,6 +76,15 @@ def test_a_call_reads_and_writes_its_state_once():
     assert len(found) == 300 and len(handle.listed.rows) == 300 and handle.listed.uses == 2
 
 
+def test_numbering_reads_and_writes_its_state_once():
+    processor, handle = NumberBySession(), Handle()
+    processor.init(handle)
+    rows = frame([(f"p{i}", i) for i in range(300)]).assign(ts=lambda f: f["us"])
+    for _ in range(2):
+        found = pd.concat(processor.handleInputRows((0,), iter([rows]), at(0)))
+    assert len(found) == 300 and set(found["session_id"]) == {2} and handle.listed.uses == 4
+
+
 def test_a_series_too_old_begins_anew_beside_others():
     processor, handle = CreditSessions(ttl_ms=100), Handle()
     processor.init(handle)
