@@ -187,45 +187,52 @@ def sessionized_records(flagged: DataFrame, caps: DataFrame,
         outputMode="Append", timeMode="EventTime", eventTimeColumnName="ts")
 
 
-class DriftDetection(StatefulProcessor):
+class DriftDetection(SeriesProcessor):
     """One drift window per series; one call per micro-batch."""
 
+    STATE = f"{STATE_SCHEMA}, seen_ms bigint"
+    ORDER = ["us", "value"]
+
     def __init__(self, emit: str, published: bool, ttl_ms: int | None):
         self.emit, self.published, self.ttl_ms = emit, published, ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.names = [field.split()[0] for field in STATE_SCHEMA.split(", ")]
-        self.state = handle.getValueState("window", STATE_SCHEMA, self.ttl_ms)
+        self.states = handle.getListState("series", self._schema(), self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        frame = _in_order(rows, ["us", "value"])
-        adaptive = bool(frame["adaptive"].iat[0])
-        resumed = self.state.exists()
-        if resumed:
-            window = DriftWindow.load(dict(zip(self.names, self.state.get())), adaptive,
-                                      self.published)
-        else:
-            window = DriftWindow(adaptive, self.published)
-        call = DriftCall(window, self.emit, resumed)
-        found = call.feed(frame["value"].tolist(), frame["us"].tolist()) + call.close()
-        stored = window.dump()
-        self.state.update(tuple(stored[n] for n in self.names))
+        states, found = _alive(self._load(), self.ttl_ms, timerValues), []
+        now = timerValues.getCurrentProcessingTimeInMs() if self.ttl_ms else 0
+        for series, (flags, values, times) in self._series(
+                self._ordered(rows), "adaptive", "value", "us"):
+            adaptive = bool(flags[0])
+            resumed = series in states
+            if resumed:
+                window = DriftWindow.load(dict(zip(self.names, states[series])), adaptive,
+                                          self.published)
+            else:
+                window = DriftWindow(adaptive, self.published)
+            call = DriftCall(window, self.emit, resumed)
+            if isinstance(times[0], float) and not any(map(math.isnan, times)):
+                times = [int(us) for us in times]  # floats as another series lacks a time
+            drifts = call.feed(values, times) + call.close()
+            found += [(*series, *drift, None) for drift in drifts]
+            stored = window.dump()
+            states[series] = (*(stored[n] for n in self.names), now)
+        self._store(states)
         if found:
-            yield pd.DataFrame.from_records([(*key, *r, None) for r in found],
-                                            columns=SCAN_COLUMNS)
-
-    def close(self) -> None:
-        pass
+            yield pd.DataFrame.from_records(found, columns=SCAN_COLUMNS)
 
 
 def stream_drift(records: DataFrame, adaptive: Column | None = None, emit: str = "per_batch",
-                 variant: str = "reference", ttl_ms: int | None = None) -> DataFrame:
+                 variant: str = "reference", ttl_ms: int | None = None,
+                 buckets: int = BUCKETS) -> DataFrame:
     """Drifts of every series of a stream.
 
     State never expires unless ``ttl_ms`` is given.  With the default
     ``per_batch`` a series yields at most one row per micro-batch.
     """
-    found = series_rows(records, adaptive).groupBy(*KEYS).transformWithStateInPandas(
+    found = in_buckets(series_rows(records, adaptive), buckets).transformWithStateInPandas(
         DriftDetection(emit, variant == "paper", ttl_ms), outputStructType=SCAN_SCHEMA,
         outputMode="Update", timeMode="ProcessingTime" if ttl_ms else "None")
     return drift_rows(found)

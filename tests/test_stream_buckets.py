@@ -122,3 +122,32 @@ def emitted(frame, tmp_path, name):
     return sorted(out, key=str)
 
 
+def test_results_do_not_depend_on_the_number_of_buckets(spark, records, made, tmp_path):
+    rows = made[0]
+    for i in range(3):
+        records(rows[i * 400:i * 400 + 400]).coalesce(1).write.parquet(f"{tmp_path}/in/part{i}")
+    found = {}
+    for n in (1, 64):
+        stream = jobs.file_stream(spark, SCHEMA, f"{tmp_path}/in/part*/*.parquet", 1)
+        caps = credit_caps(spark, {"u": (3, 1), "v": (2, 1)})
+        flagged = stream.withColumn("is_alert", F.col("value") > 50.9)
+        found[n] = [emitted(stream_credit_sessions(flagged, caps, buckets=n), tmp_path, f"credit{n}"),
+                    emitted(stream_expiring_sessions(stream, caps, "1 day", "1 minute", buckets=n),
+                            tmp_path, f"expire{n}"),
+                    emitted(stream_drift(stream, F.lit(True), "per_drift", buckets=n), tmp_path,
+                            f"drift{n}")]
+    assert found[1] == found[64] and len(found[1][0]) > 200 and len(found[1][1]) > 200
+
+
+def test_a_missing_key_or_time_leaves_other_series_as_they_are(spark, records, tmp_path):
+    steps = [("p", "u", i, 0 if i < 60 else 100) for i in range(120)]
+    odd = spark.sql("SELECT 'q' patient_id, 'u' unit, CAST(NULL AS TIMESTAMP) ts, 1D value "
+                    "UNION ALL SELECT NULL, 'u', TIMESTAMP'2024-01-01', 1D")
+    whole = records(steps).unionByName(odd)
+    whole.coalesce(1).write.parquet(f"{tmp_path}/in/part0")
+    stream = jobs.file_stream(spark, SCHEMA, f"{tmp_path}/in/part*/*.parquet", 1)
+    found = emitted(stream_drift(stream, F.lit(True), "per_drift", buckets=1), tmp_path, "odd")
+    expected = sorted((tuple(r) for r in detect_drift(records(steps), F.lit(True)).collect()), key=str)
+    assert found == expected and found
+
+
