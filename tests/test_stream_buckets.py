@@ -151,3 +151,18 @@ def test_a_missing_key_or_time_leaves_other_series_as_they_are(spark, records, t
     assert found == expected and found
 
 
+def test_a_commit_gathers_file_bounds_in_parallel(spark, records, tmp_path):
+    """What the aggregation of a partition keeps is not held for all of them in one task."""
+    context, tracker = spark.sparkContext, spark.sparkContext.statusTracker()
+    rows = records([("p", "u", i, 1) for i in range(9)]).withColumn("id", F.lit("x")).coalesce(1)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    context.setJobGroup("bounds", "bounds")
+    try:
+        made = table_log.write_rows(stored_rows(rows, ALERTS), ALERTS, str(tmp_path / "t"), "w", 0)
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    jobs_run = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup("bounds")]
+    tasks = [tracker.getStageInfo(s).numTasks for j in jobs_run for s in j.stageIds
+             if tracker.getStageInfo(s)]
+    assert made.rows == 9 and int(spark.conf.get("spark.sql.shuffle.partitions")) in tasks
