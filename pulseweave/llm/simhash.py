@@ -196,18 +196,26 @@ def _forest(n: int, blocks: Iterator[tuple[np.ndarray, np.ndarray]]) -> np.ndarr
     return root
 
 
-def group_links(fps: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links that join the components of one group, one fewer than members in each."""
+def group_forest(fps: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the links that join the components of one group, one fewer than members in
+    each."""
+    order = np.arange(len(fps))
     if len(fps) <= LEAF:
         i, j = np.triu_indices(len(fps), 1)
         near = np.bitwise_count(fps[i] ^ fps[j]) <= bits
         blocks = iter([(i[near], j[near])])
     else:
-        fps = fps[np.argsort(gray_rank(fps), kind="stable")]
-        blocks = close_pairs(fps, bits)
+        order = np.argsort(gray_rank(fps), kind="stable")
+        blocks = close_pairs(fps[order], bits)
     root = _forest(len(fps), blocks)
     linked = np.flatnonzero(root != np.arange(len(fps)))
-    return fps[linked], fps[root[linked]]
+    return order[linked], order[root[linked]]
+
+
+def group_links(fps: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The fingerprints at the ends of each link of ``group_forest``."""
+    a, b = group_forest(fps, bits)
+    return fps[a], fps[b]
 
 
 def links(fps: DataFrame, bits: int = BITS, split_above: int = 20_000) -> DataFrame:
