@@ -4,9 +4,10 @@ Round ``j`` inserts, for every text of at least ``j`` symbols, the suffix of its
 symbols: its place follows from the symbol in front of the suffix that the round before
 inserted (how often that symbol stands before it), and its common prefix with its
 neighbours is one more than the least common prefix between the two suffixes behind that
-symbol.  The transform and the common prefixes live in two files each round of which is
-read and written once from front to back; the old files are dropped.  Beside them a round
-keeps a few numbers per text and a table of symbol counts per block.
+symbol.  The transform and the common prefixes are two columns each round of which is
+read and written once from front to back; a column of over ``HELD`` bytes lives in a file, and
+the old files are dropped.  Beside them a round keeps a few numbers per text and a table of
+symbol counts per block.
 
 The files are unnamed and lie where Spark puts a task's spilled rows; they belong to one task
 and vanish with it, so nothing else reads them and a lost task starts afresh.
@@ -22,23 +23,30 @@ import numpy as np
 U64 = np.uint64
 REACH = 128  # symbols looked at around a place at once; blocks never grow beyond it
 NEW_BLOCK = 64
+HELD = 4 << 20
 
 
 class Column:
-    """A column of bytes in an unnamed file, written once and read once a round."""
+    """A column of bytes, written once and read once a round; a long one is in an unnamed file."""
 
     def __init__(self) -> None:
         folder = os.environ.get("SPARK_LOCAL_DIRS", "").split(",")[0]
         self.folder = folder if os.path.isdir(folder) else None
-        self.file = None
+        self.file = self.held = None
 
     def write(self, values: np.ndarray) -> None:
         if self.file:
             self.file.close()
+        self.file, self.held = None, values
+        if len(values) <= HELD:
+            return
+        self.held = None
         self.file = tempfile.TemporaryFile(dir=self.folder)
         values.tofile(self.file)
 
     def read(self) -> np.ndarray:
+        if self.file is None:
+            return self.held
         self.file.seek(0)
         return np.fromfile(self.file, np.uint8)
 
@@ -97,7 +105,7 @@ class Counts:
 
 def _windows(symbols: np.ndarray, at: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     """Bits of the ``REACH`` symbols from each place of ``at`` on that equal ``wanted``."""
-    rows = np.lib.stride_tricks.sliding_window_view(symbols, REACH)[at]
+    rows = np.ndarray((len(symbols) - REACH + 1, REACH), np.uint8, symbols, 0, (1, 1))[at]
     return np.packbits(rows == wanted[:, None], axis=1, bitorder="little").view("<u8")
 
 

@@ -55,10 +55,8 @@ def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     """Distinct keys in order, and the sum of the counts of each."""
     if not len(keys):
         return keys, counts
-    order = np.argsort(keys)
-    keys, counts = keys[order], counts[order]
-    at = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
-    return keys[at], np.add.reduceat(counts, at)
+    distinct, order, first, _ = ranked(keys)
+    return distinct, np.add.reduceat(counts[order], first)
 
 
 def asked(group: int, keys: np.ndarray, counts: np.ndarray, buckets: int) -> Iterator[tuple]:

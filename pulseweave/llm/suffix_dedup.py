@@ -11,10 +11,13 @@ occur over ``hot`` times groups also ask for each window, and send only the runs
 that occur again: what stands around a passage of very many documents is cut off, and what
 is sent of it repeats, so that equal segments are one.
 
-A shard inserts its distinct segments into a transform with common prefixes (``bwt``); a window
-repeats if the common prefix with a neighbour has its length, or if its segment was sent
-from several places.  A segment that was sent from several places and has its route alone needs
-no insertion: nothing else can match it.  Shards hold about ``shard_bytes`` of segments.
+A shard first cuts its segments to their open pieces: the runs of windows all of whose strings of
+half a window's length occur again under the route.  A window with a string that occurs once
+cannot repeat; what is left may.  The distinct pieces are inserted into a transform with common
+prefixes (``bwt``); a window repeats if the common prefix with a neighbour has its length, or if
+its piece was sent from several places.  A piece that was sent from several places and has its
+route alone needs no insertion: nothing else can match it.  Shards hold about ``shard_bytes`` of
+segments.
 
 Null text: no bytes.  Rows with equal doc_id and equal text are places of their own, so they
 remove each other, as equal texts do.  Texts shorter than ``length`` keep all bytes.
@@ -23,6 +26,7 @@ remove each other, as equal texts do.  Texts shorter than ``length`` keep all by
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -31,13 +35,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pulseweave.llm.bwt import repeats
 from pulseweave.llm.columns import written
 from pulseweave.llm.exchange import (ASKED, ASKED_SCHEMA, answers, as_batch, asked, in_groups,
-                                     known, per_group, summed, unpack)
+                                     known, per_group, ranked, summed, unpack)
 from pulseweave.llm.line_dedup import LAST
-from pulseweave.llm.tokens import U64, RollingBytes, mix, slices
+from pulseweave.llm.tokens import U64, RollingBytes, mix, slices, spans
 
 LENGTH, ANCHOR = 200, 24
 HOT = 8192
-SHARD_BYTES = 2 << 20
+SHARD_BYTES = 8 << 20
+#: Bytes of segments that a shard cuts at once; more if one route has more.
+CUT_BYTES = 1 << 20
 
 SENT = "grp int, route long, seg long, body binary, at binary, n long"
 SENT_SCHEMA = pa.schema([("grp", pa.int32()), ("route", pa.int64()), ("seg", pa.int64()),
@@ -65,26 +71,31 @@ class Segments:
             least = np.minimum(least[:-step], least[step:])
             done += step
         inside = self.bytes.windows(length)
-        start = np.flatnonzero(inside)
-        route = least[start]
-        fresh = np.ones(len(start), bool)
-        fresh[1:] = (route[1:] != route[:-1]) | (np.diff(start) != 1)
-        head = np.flatnonzero(fresh)
+        head = inside.copy()
+        head[1:] &= (least[1:] != least[:-1]) | ~inside[:-1]
+        first = np.flatnonzero(head)
+        before = np.concatenate(([0], np.cumsum(inside, dtype=np.int64)))
+        n = np.diff(before[np.append(first, len(inside))])
         # Long runs (periodic texts) are cut, so that no segment is long.
-        number = np.arange(len(start)) - np.repeat(head, np.diff(np.append(head, len(start))))
-        fresh |= number % width == 0
-        head = np.flatnonzero(fresh)
-        self.first = start[head]
-        self.n = np.diff(np.append(head, len(start)))
-        self.route = route[head]
-        size = self.n + width - 1
-        ends = np.cumsum(size)
-        if len(size):
-            at = np.arange(ends[-1]) + np.repeat(self.first - (ends - size), size)
-            same = (runs[at] == np.repeat(self.route, size)).astype(np.int64)
-            self.times = 1 + (np.add.reduceat(same, ends - size) > 1)
-        else:
-            self.times = np.zeros(0, np.int64)
+        parts = -(-n // width)
+        nth = spans(parts)
+        self.first = np.repeat(first, parts) + nth * width
+        self.n = np.minimum(np.repeat(n, parts) - nth * width, width)
+        self.route = least[self.first]
+        # Only strings that are the least of a window can be a route.
+        padded = np.zeros(len(least) + 2 * (width - 1), U64)
+        padded[width - 1:width - 1 + len(least)] = least
+        most, done = padded, 1
+        while done < width:  # maxima of the windows that a string is in
+            step = min(done, width - done)
+            most = np.maximum(most[:-step], most[step:])
+            done += step
+        routes = np.flatnonzero(most == runs) if len(least) else np.zeros(0, np.int64)
+        low = np.searchsorted(routes, self.first)
+        count = np.searchsorted(routes, self.first + self.n + width - 1) - low
+        owner = np.repeat(np.arange(len(count)), count)
+        same = runs[routes[low[owner] + spans(count)]] == self.route[owner]
+        self.times = 1 + (np.bincount(owner[same], minlength=len(count)) > 1)
 
     def windows(self, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The hash of every window of the segments ``of``, and the segment of each."""
@@ -197,24 +208,85 @@ def _send(table: pa.Table, answer: pa.Table, length: int, anchor: int, buckets:
 
 # --- shards ---------------------------------------------------------------------------
 
+def _open_pieces(route: np.ndarray, many: np.ndarray, texts: list[np.ndarray], length: int
+                 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of windows that may occur again: the segment, first window and number of windows."""
+    gram = max(1, length // 2)
+    sizes = np.array([len(t) for t in texts])
+    starts = np.cumsum(sizes) - sizes
+    strings = pa.LargeStringArray.from_buffers(
+        len(texts), pa.py_buffer(np.append(starts, sizes.sum()).astype("<i8")),
+        pa.py_buffer(np.concatenate(texts)))
+    hashes = RollingBytes(strings).hashes(gram)
+    n = sizes - gram + 1
+    first_gram = np.cumsum(n) - n
+    owner = np.repeat(np.arange(len(texts)), n)
+    keys = hashes[np.arange(len(owner)) + (starts - first_gram)[owner]] ^ route.view(U64)[owner]
+    _, order, first, number = ranked(keys)
+    times = np.add.reduceat(1 + many[owner[order]].astype(np.int64), first)
+    inside = np.concatenate(([0], np.cumsum(times[number] > 1)))
+    n = sizes - length + 1
+    first_window = np.cumsum(n) - n
+    owner = np.repeat(np.arange(len(texts)), n)
+    at = np.arange(len(owner)) + (first_gram - first_window)[owner]
+    width = length - gram + 1
+    kept = np.flatnonzero(inside[at + width] - inside[at] == width)
+    if not len(kept):
+        return kept, kept, kept
+    fresh = np.ones(len(kept), bool)
+    fresh[1:] = (np.diff(kept) != 1) | (np.diff(owner[kept]) != 0)
+    head = np.flatnonzero(fresh)
+    segment = owner[kept[head]]
+    return segment, kept[head] - first_window[segment], np.diff(np.append(head, len(kept)))
+
+
+def _pieces(route: np.ndarray, many: np.ndarray, times: np.ndarray, texts: list[np.ndarray],
+            length: int) -> dict[tuple, list]:
+    """(route, bytes) of every distinct open piece: how often it was sent, and its places as
+    (segment, first window).  Routes are independent, so a few are cut at a time."""
+    by = np.argsort(route, kind="stable")
+    ends = np.cumsum([len(texts[i]) for i in by])
+    last = np.append(np.diff(route[by]) != 0, True)
+    out: dict[tuple, list] = {}
+    start = 0
+    for stop in (np.flatnonzero(last) + 1).tolist():
+        if stop < len(by) and ends[stop - 1] - (ends[start - 1] if start else 0) < CUT_BYTES:
+            continue
+        part, start = by[start:stop], stop
+        for i, a, n in zip(*(x.tolist() for x in _open_pieces(
+                route[part], many[part], [texts[i] for i in part], length))):
+            i = part[i]
+            piece = out.setdefault((route[i], texts[i][a:a + n + length - 1].tobytes()), [0])
+            piece[0] += int(times[i])
+            piece.append((i, a))
+    return out
+
+
 def _marks(table: pa.Table, length: int) -> pa.Table:
     """The runs of repeated windows of a shard's segments, as (from, to) in bytes."""
     route, seg = table.column("route").to_numpy(), table.column("seg").to_numpy()
-    many = table.column("n").to_numpy() > 1
+    times = table.column("n").to_numpy()
     texts = [np.frombuffer(x.as_buffer(), np.uint8) for x in table.column("body")]
     _, which, count = np.unique(route, return_inverse=True, return_counts=True)
-    alone = many & (count[which] == 1)
-    inserted = np.flatnonzero(~alone)
-    found = repeats([texts[i] for i in inserted], length) if len(inserted) else []
+    alone = (times > 1) & (count[which] == 1)
     rows = []
     for i in np.flatnonzero(alone):
         rows.append((route[i], seg[i], np.array([[0, len(texts[i])]], np.int32).tobytes()))
-    for i, again in zip(inserted, found):
-        edge = np.flatnonzero(np.diff(np.concatenate(([False], again | many[i], [False]))))
-        if len(edge):
+    rest = np.flatnonzero(~alone)
+    pieces = _pieces(route[rest], times[rest] > 1, times[rest], [texts[i] for i in rest], length)
+    kinds = Counter(r for r, _ in pieces)
+    inserted = {key: np.frombuffer(key[1], np.uint8) for key, (n, *_) in pieces.items()
+                if n == 1 or kinds[key[0]] > 1}
+    found = dict(zip(inserted, repeats(list(inserted.values()), length))) if inserted else {}
+    for key, (n, *places) in pieces.items():
+        if n > 1:
+            runs = np.array([[0, len(key[1])]], np.int32)
+        else:
+            edge = np.flatnonzero(np.diff(np.concatenate(([False], found[key], [False]))))
             runs = edge.reshape(-1, 2).astype(np.int32)
             runs[:, 1] += length - 1
-            rows.append((route[i], seg[i], runs.tobytes()))
+        for i, a in places if len(runs) else ():
+            rows.append((key[0], seg[rest[i]], (runs + np.int32(a)).tobytes()))
     return as_batch(rows, MARKS_SCHEMA)
 
 

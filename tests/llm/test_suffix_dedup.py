@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from pulseweave.llm import bwt, suffix_dedup
@@ -72,3 +73,37 @@ def test_awkward(spark, corpus, awkward):
         (20, "a" * 3000), (21, "ab" * 900), (22, "é漢" * 300), (22, "other"), (5, None)]
     check(spark, corpus, rows, 200)
     check(spark, corpus, [], 200)
+
+
+def test_only_open_pieces_are_inserted(monkeypatch):
+    """Of segments with one route only windows that may occur again enter the transform, and
+    the marks are those of counting."""
+    rng = random.Random(5)
+    letters = lambda n: "".join(rng.choices("abcdefghijkl ", k=n)).encode()
+    base = letters(330)
+    bodies = [base, base[:270] + letters(60), letters(60) + base[60:], base[40:300],
+              *(letters(300) for _ in range(20))]
+    inserted = []
+    monkeypatch.setattr(suffix_dedup, "repeats",
+                        lambda texts, n: inserted.extend(texts) or bwt.repeats(texts, n))
+    table = pa.table({"route": [7] * len(bodies), "seg": range(len(bodies)),
+                      "body": pa.array(bodies, pa.binary()), "n": [1] * len(bodies)})
+    marked = {i: np.zeros(len(b) + 1, bool) for i, b in enumerate(bodies)}
+    for row in suffix_dedup._marks(table, 200).to_pylist():
+        for a, b in np.frombuffer(row["runs"], np.int32).reshape(-1, 2):
+            marked[row["seg"]][a:b] = True
+    seen = Counter(b[i:i + 200] for b in bodies for i in range(len(b) - 199))
+    for i, body in enumerate(bodies):
+        gone = np.zeros(len(body) + 1, bool)
+        for k in range(len(body) - 199):
+            if seen[body[k:k + 200]] > 1:
+                gone[k:k + 200] = True
+        assert (marked[i] == gone).all()
+    assert 0 < sum(map(len, inserted)) <= sum(map(len, bodies[:4])) < sum(map(len, bodies)) // 5
+
+
+def test_segments_of_periodic_texts():
+    """Long runs are cut, and a route that is in a segment twice is counted twice."""
+    found = suffix_dedup.Segments(pa.array(["a" * 500, "x" + "ab" * 60, "short"]), 40, 12)
+    assert found.n.max() == 29 and found.n.sum() == 500 - 39 + 121 - 39
+    assert found.times[:10].tolist() == [2] * 10
