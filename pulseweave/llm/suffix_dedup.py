@@ -244,6 +244,8 @@ def _pieces(route: np.ndarray, many: np.ndarray, times: np.ndarray, texts: list[
             length: int) -> dict[tuple, list]:
     """(route, bytes) of every distinct open piece: how often it was sent, and its places as
     (segment, first window).  Routes are independent, so a few are cut at a time."""
+    if not len(route):
+        return {}
     by = np.argsort(route, kind="stable")
     ends = np.cumsum([len(texts[i]) for i in by])
     last = np.append(np.diff(route[by]) != 0, True)

@@ -107,3 +107,12 @@ def test_segments_of_periodic_texts():
     found = suffix_dedup.Segments(pa.array(["a" * 500, "x" + "ab" * 60, "short"]), 40, 12)
     assert found.n.max() == 29 and found.n.sum() == 500 - 39 + 121 - 39
     assert found.times[:10].tolist() == [2] * 10
+
+
+def test_shard_of_exact_copies_alone():
+    """Nothing is left to cut or insert, and every copy is marked whole."""
+    table = pa.table({"route": [7, 8], "seg": [1, 2], "n": [2, 3],
+                      "body": pa.array([b"a" * 210, b"b" * 220], pa.binary())})
+    rows = suffix_dedup._marks(table, 200).to_pylist()
+    assert [(r["seg"], *np.frombuffer(r["runs"], np.int32).tolist()) for r in rows] == [
+        (1, 0, 210), (2, 0, 220)]
