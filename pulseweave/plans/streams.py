@@ -83,25 +83,29 @@ def stream_sessions(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def stream_resumed(spark: SparkSession, folder: str) -> DataFrame:
     """Daily aggregates of a query that stops with a batch's rows written and not committed,
-    and goes on from its checkpoint."""
+    and goes on from its checkpoint.  Any failure but that stop is raised."""
     laid = slices(spark, _records(spark, folder), _marker(spark).drop("arrival_ts"))
     root, check = shared_dir(spark, "resumed"), shared_dir(spark, "checkpoint")
     path = table_log.table_path(AGGREGATED_RECORDS, root)
     store = sinks.table_target(AGGREGATED_RECORDS, root, "daily")
+    stopped = []
 
     def stop_half_way(batch: DataFrame, batch_id: int) -> None:
         if batch_id == 2:
             table_log.write_rows(stored_rows(batch, AGGREGATED_RECORDS), AGGREGATED_RECORDS,
                                  path, "daily", batch_id)
+            stopped.append(batch_id)
             raise RuntimeError("stopped between data and manifest")
         store(batch, batch_id)
 
-    for target in (stop_half_way, store):
-        rows = minute_job(open_slices(spark, laid), "1 day")
-        try:
-            _run(rows, target, check)
-        except StreamingQueryException:
-            pass
+    try:
+        _run(minute_job(open_slices(spark, laid), "1 day"), stop_half_way, check)
+    except StreamingQueryException:
+        if not stopped:
+            raise
+    if not stopped:
+        raise RuntimeError("the query was to stop in its third batch and did not")
+    _run(minute_job(open_slices(spark, laid), "1 day"), store, check)
     found = read_stored(spark, AGGREGATED_RECORDS, root).filter(F.col("patient_id") != MARKER)
     return _ms(_rounded(found.drop(AGGREGATED_RECORDS.partition), "avg_v"), "ts")
 

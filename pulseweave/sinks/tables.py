@@ -111,7 +111,8 @@ def replace_chunks(records: DataFrame, spec: TableSpec, root: str, writer: str,
 def read_stored(spark: SparkSession, spec: TableSpec, root: str, version: int | None = None,
                 since: str | None = None, until: str | None = None) -> DataFrame:
     """The rows of a table, whoever wrote them; ``since`` and ``until`` bound the time
-    partition and choose the files."""
+    partition and choose the files.  What is there is all that was committed up to the
+    version: a lost manifest or file, or a version to come, raises FileNotFoundError."""
     return table_log.read(spark, spec, table_path(spec, root), version, since, until)
 
 
